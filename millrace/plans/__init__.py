@@ -1,0 +1,6 @@
+"""The registered queries."""
+
+from millrace.plans import basic, related, timed
+from millrace.plans.registry import QUERIES
+
+__all__ = ["QUERIES", "basic", "related", "timed"]
