@@ -12,7 +12,7 @@ def fields(line: Column | str, separator: str = ",") -> Column:
     """Trimmed fields of a delimited line, without the empty ones at its end."""
     kept = F.regexp_replace(F.rtrim(as_column(line)), f"(?:\\Q{separator}\\E)+$", "")
     parts = F.split(kept, f"\\Q{separator}\\E")
-    return F.transform(parts, F.trim)
+    return F.transform(parts, lambda part: F.trim(part))
 
 
 def words(text: Column | str, pattern: str = ",") -> Column:

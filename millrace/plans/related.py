@@ -259,7 +259,7 @@ def cdc_latest(spark, sf):
     return cdc.current_table(_log(spark, sf), ["user_id"], ["ts", "event_id"])
 
 
-@query(LOG + "SELECT user_id, value, epoch_ms(ts) AS ts_ms FROM last WHERE op <> 'd'")
+@query(LOG + "SELECT user_id, value, epoch_us(ts) // 1000 AS ts_ms FROM last WHERE op <> 'd'")
 def cdc_envelopes(spark, sf):
     row = F.struct("user_id", "event_id", "value")
     log = _log(spark, sf).select(
