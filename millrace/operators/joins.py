@@ -128,16 +128,17 @@ def latest_rule(
         found = data.withColumn("__rule", F.when(where >= 0, F.get(what, where)))
         return found.withColumns({c: F.col(f"__rule.{c}") for c in payload}).drop("__rule")
 
-    marked = data.withColumn("__rule", F.lit(None).cast(
-        rules.select(F.struct(*payload).alias("s")).schema["s"].dataType
-    )).withColumn("__is_rule", F.lit(False))
+    kind = rules.select(F.struct(*payload).alias("s")).schema["s"].dataType
+    # At equal order a rule comes first, as in the search above.
+    marked = data.withColumns({"__rule": F.lit(None).cast(kind), "__is_data": F.lit(1)})
     both = marked.unionByName(
-        rules.select(*order, F.struct(*payload).alias("__rule"), F.lit(True).alias("__is_rule")),
+        rules.select(*order, F.struct(*payload).alias("__rule"), F.lit(0).alias("__is_data")),
         allowMissingColumns=True,
     )
-    scanned = Ordered.of(both, [], order).scan({"__in_force": latest("__rule")}).result()
-    scanned = scanned.filter(~F.col("__is_rule")).drop("__is_rule", "__rule")
-    return scanned.withColumns({c: F.col(f"__in_force.{c}") for c in payload}).drop("__in_force")
+    scanned = Ordered.of(both, [], [*order, "__is_data"]).scan({"__in_force": latest("__rule")})
+    found = scanned.result().filter(F.col("__is_data") == 1)
+    found = found.withColumns({c: F.col(f"__in_force.{c}") for c in payload})
+    return found.drop("__is_data", "__rule", "__in_force")
 
 
 def switched(
