@@ -14,7 +14,7 @@ from millrace.functions.times import interval, with_window
 from millrace.operators.ordered import Ordered
 
 
-def _seconds(text: str) -> timedelta:
+def _span(text: str) -> timedelta:
     return pd.Timedelta(text).to_pytimedelta()
 
 
@@ -31,24 +31,36 @@ def windowed(
     A sliding window would repeat every row once per window it is in. In batch the rows
     are aggregated once per slide, and only those few results are repeated and merged.
     """
-    bounds = ["window_start", "window_end"]
-    merged = [m.merge(F.col(n)).alias(n) for n, m in outputs.items()]
-    direct = [m.rows.alias(n) for n, m in outputs.items()]
-    if slide is None or slide == size:
-        return with_window(df, ts, size).groupBy(*bounds, *keys).agg(*direct)
-    steps, rest = divmod(_seconds(size), _seconds(slide))
-    if df.isStreaming or rest:
-        return with_window(df, ts, size, slide).groupBy(*bounds, *keys).agg(*direct)
-
-    panes = with_window(df, ts, slide).groupBy(*bounds, *keys).agg(*direct)
+    steps, rest = divmod(_span(size), _span(slide or size))
+    if steps == 1 or df.isStreaming or rest:
+        return _aggregated(df, ts, size, keys, outputs, slide)
+
+    panes = _aggregated(df, ts, slide, keys, outputs)
     first = F.col("window_start") - interval(slide) * F.lit(steps - 1)
     starts = F.sequence(first, F.col("window_start"), interval(slide))
     return (
         panes.withColumn("window_start", F.explode(starts))
         .withColumn("window_end", F.col("window_start") + interval(size))
-        .groupBy(*bounds, *keys)
-        .agg(*merged)
+        .groupBy("window_start", "window_end", *keys)
+        .agg(*[m.merge(F.col(n)).alias(n) for n, m in outputs.items()])
+    )
+
+
+def _aggregated(
+    df: DataFrame,
+    ts: str,
+    size: str,
+    keys: Sequence[str],
+    outputs: Mapping[str, Mergeable],
+    slide: str | None = None,
+) -> DataFrame:
+    """Grouped by the window itself, which on a stream carries the watermark."""
+    window = F.window(ts, size, slide) if slide else F.window(ts, size)
+    result = df.groupBy(window.alias("__w"), *keys).agg(
+        *[m.rows.alias(n) for n, m in outputs.items()]
     )
+    bounds = [F.col("__w.start").alias("window_start"), F.col("__w.end").alias("window_end")]
+    return result.select(*bounds, *keys, *outputs)
 
 
 def cumulative(

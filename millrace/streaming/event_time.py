@@ -74,7 +74,9 @@ def window_join_stream(
     and an outer join can tell when a window has no partner any more.
     """
     window = F.window(ts, size).alias("w")
+    # The window carries the watermark; a second event-time column is not allowed.
     left = event_time(left, ts, delay).select("*", window)
+    left = left.withColumn(ts, F.col(ts).alias(ts, metadata={}))
     right = event_time(right, ts, delay).select(
         *keys, window, *[F.col(c).alias(n) for c, n in right_columns.items()]
     )
