@@ -8,16 +8,11 @@ from pyspark.sql import functions as F
 from millrace.functions.mergeable import as_column
 
 
-def fields(line: Column | str, separator: str = ",") -> Column:
-    """Trimmed fields of a delimited line, without the empty ones at its end."""
-    kept = F.regexp_replace(F.rtrim(as_column(line)), f"(?:\\Q{separator}\\E)+$", "")
-    parts = F.split(kept, f"\\Q{separator}\\E")
-    return F.transform(parts, lambda part: F.trim(part))
-
-
-def words(text: Column | str, pattern: str = ",") -> Column:
-    """Lower-cased pieces of a text, empty ones left out."""
-    return F.filter(F.split(F.lower(as_column(text)), pattern), lambda w: F.trim(w) != "")
+def without_empty_end(line: Column | str, separator: str = ",") -> Column:
+    """A delimited line without the empty fields at its end."""
+    if len(separator) == 1:
+        return F.rtrim(as_column(line), F.lit(separator))
+    return F.regexp_replace(as_column(line), f"(?:\\Q{separator}\\E)+$", "")
 
 
 def not_blank(text: Column | str) -> Column:

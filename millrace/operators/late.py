@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from millrace.functions.mergeable import Mergeable, highest
 from millrace.functions.times import interval, with_window
 from millrace.operators.ordered import Ordered
+from millrace.session import pin
 
 ON_TIME, ALLOWED, LATE = "on_time", "allowed", "late"
 # A window counts as closed once the watermark reaches its last millisecond.
@@ -82,7 +83,8 @@ def window_firings(
     outputs: Mapping[str, Mergeable],
 ) -> DataFrame:
     """Every result a window emits: one when it closes, one more per allowed late row."""
-    counted = classified.filter(F.col("status") != LATE)
+    # Read several times below, and itself the result of a scan over all rows.
+    counted = pin(classified.filter(F.col("status") != LATE))
     rows = (
         Ordered.of(counted, [*keys, "window_start"], arrival)
         .scan(outputs)

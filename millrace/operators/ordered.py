@@ -26,8 +26,8 @@ from millrace.functions.mergeable import Mergeable, count
 
 SEGMENT = "__segment"
 SEGMENT_ROWS = 1_000_000
-MAX_SEGMENTS = 20_000
-SAMPLES_PER_SEGMENT = 25
+MAX_SEGMENTS = 50_000
+SAMPLES_PER_SEGMENT = 10
 
 _JSON = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping
+from typing import Any
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.text import not_blank, with_length, words
+from millrace.functions.text import not_blank, with_length
 
 
 def split_rows(df: DataFrame, column: str, pattern: str = ",", word: str = "word") -> DataFrame:
-    """One row per piece of ``column``, with a weight of 1."""
-    return df.withColumn(word, F.explode(words(column, pattern))).withColumn("weight", F.lit(1))
+    """One row per lower-cased piece of ``column``, with a weight of 1; no blank pieces."""
+    pieces = df.withColumn(word, F.explode(F.split(F.lower(column), pattern)))
+    return drop_blank(pieces, word).withColumn("weight", F.lit(1))
 
 
 def drop_blank(df: DataFrame, *columns: str) -> DataFrame:
@@ -71,6 +74,24 @@ def place(
     return df.repartitionById(partitions, placement(key, places, other, partitions))
 
 
-def to_columns(df: DataFrame, names: Sequence[str], types: Sequence[str]) -> DataFrame:
-    """The columns of a target table, in its order and types."""
-    return df.select(*[F.col(n).cast(t).alias(n) for n, t in zip(names, types, strict=True)])
+def with_resource(
+    df: DataFrame,
+    open_resource: Callable[[], Any],
+    each: Callable[[Any, pd.DataFrame], pd.DataFrame],
+    close_resource: Callable[[Any], None],
+    schema: str,
+) -> DataFrame:
+    """Python code over batches of rows with something opened once per partition.
+
+    For code that Spark cannot see into; a lookup should be a join instead.
+    """
+
+    def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        resource = open_resource()
+        try:
+            for batch in batches:
+                yield each(resource, batch)
+        finally:
+            close_resource(resource)
+
+    return df.mapInPandas(run, schema)

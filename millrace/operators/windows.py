@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from millrace.functions.mergeable import Mergeable, count, total
 from millrace.functions.times import interval, with_window
 from millrace.operators.ordered import Ordered
+from millrace.session import pin
 
 
 def _span(text: str) -> timedelta:
@@ -72,7 +73,8 @@ def cumulative(
     suffix: str = "_so_far",
 ) -> DataFrame:
     """Window results, and with them the result of all windows of the key up to this one."""
-    windows = windowed(df, ts, size, keys, outputs)
+    # Few rows, from which the scan is measured and computed: aggregate the input once.
+    windows = pin(windowed(df, ts, size, keys, outputs))
     so_far = {
         n + suffix: Mergeable(m.merge(F.col(n)), m.merge, m.combine) for n, m in outputs.items()
     }

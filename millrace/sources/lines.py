@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
-from millrace.functions.text import fields
+from millrace.functions.text import without_empty_end
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -20,20 +20,29 @@ def stream_lines(spark: SparkSession, folder: str, files_per_batch: int = 100) -
     return stream.withColumnRenamed("value", "line")
 
 
-def _parts(df: DataFrame, line: str, schema: StructType, separator: str) -> DataFrame:
-    df = df.withColumn("__parts", fields(line, separator))
-    typed = []
-    for i, field in enumerate(schema.fields):
-        text = F.get("__parts", F.lit(i))
-        is_text = isinstance(field.dataType, StringType)
-        typed.append((text if is_text else text.try_cast(field.dataType)).alias(field.name))
-    return df.withColumn("__row", F.struct(*typed))
-
-
-def _valid(schema: StructType):
-    valid = F.col("__parts").isNotNull() & (F.size("__parts") == len(schema.fields))
+def _parsed(df: DataFrame, line: str, schema: StructType, separator: str) -> DataFrame:
+    """Add ``__row``: the typed fields and, for a wrong number or type of them, ``__bad``."""
+    options = {
+        "sep": separator,
+        "quote": "",
+        "ignoreLeadingWhiteSpace": "true",
+        "ignoreTrailingWhiteSpace": "true",
+        "columnNameOfCorruptRecord": "__bad",
+    }
+    whole = [f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields]
+    whole.append("`__bad` string")
+    row = F.from_csv(without_empty_end(line, separator), ", ".join(whole), options)
+    # Behind a generator a line is parsed once. A filter on a plain column would be moved
+    # below it and parse the line again for every field that it tests.
+    return df.withColumn("__row", F.explode(F.array(row)))
+
+
+def _valid(schema: StructType) -> Column:
+    """Every field is there. An empty text counts as a value, an empty number does not."""
+    valid = F.col("__row").isNotNull() & F.col("__row.__bad").isNull()
     for field in schema.fields:
-        valid = valid & F.col(f"__row.{field.name}").isNotNull()
+        if not isinstance(field.dataType, StringType):
+            valid = valid & F.col(f"__row.{field.name}").isNotNull()
     return F.coalesce(valid, F.lit(False))
 
 
@@ -42,12 +51,17 @@ def parse_lines(
 ) -> DataFrame:
     """Typed rows of the lines with exactly the fields of ``schema``; others are left out.
 
-    A stream may use it as well: there is no state.
+    Fields are trimmed; empty ones at the end of a line do not count. A stream may use it
+    as well: there is no state.
     """
     schema = _schema(schema)
-    rows = _parts(df, line, schema, separator).filter(_valid(schema))
-    kept = [c for c in df.columns if c != line]
-    return rows.select(*kept, "__row.*")
+    rows = _parsed(df, line, schema, separator).filter(_valid(schema))
+    cells = []
+    for field in schema.fields:
+        cell = F.col(f"__row.{field.name}")
+        is_text = isinstance(field.dataType, StringType)
+        cells.append((F.coalesce(cell, F.lit("")) if is_text else cell).alias(field.name))
+    return rows.select(*[c for c in df.columns if c != line], *cells)
 
 
 def rejected_lines(
@@ -55,7 +69,7 @@ def rejected_lines(
 ) -> DataFrame:
     """The lines that ``parse_lines`` leaves out."""
     schema = _schema(schema)
-    return _parts(df, line, schema, separator).filter(~_valid(schema)).drop("__parts", "__row")
+    return _parsed(df, line, schema, separator).filter(~_valid(schema)).drop("__row")
 
 
 def _schema(schema: StructType | str) -> StructType:
