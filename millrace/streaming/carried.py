@@ -14,11 +14,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.functions.mergeable import Mergeable, count
-from millrace.functions.times import interval
+from millrace.functions.times import interval, with_window
 from millrace.operators import late, sequences
 from millrace.operators.aggregate import grouped, running
 from millrace.operators.cdc import current_table, upsert_latest
 from millrace.operators.joins import latest_rule
+from millrace.operators.ordered import Ordered
 from millrace.operators.state import ALERT, DROP, PASS
 from millrace.streaming.batches import Output, State, read_or_none, run
 
@@ -231,6 +232,57 @@ def rule_stream(
     return run(stream, handle, f"{folder}/checkpoint", every)
 
 
+def count_window_stream(
+    stream: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    rows: int,
+    outputs: Mapping[str, Mergeable],
+    folder: str,
+    *,
+    ts: str | None = None,
+    size: str | None = None,
+    delay: str = "0 seconds",
+    every: str | None = None,
+) -> StreamingQuery:
+    """Aggregates of every ``rows`` rows of a key, over all micro-batches.
+
+    With ``ts`` and ``size`` a key's time window also fires with the rest of its rows once
+    the watermark has passed its end. Handed on are the rows of unfinished groups, fewer
+    than ``rows`` per key and open window.
+    """
+    out, state = Output(f"{folder}/rows"), State(f"{folder}/state")
+    times = State(f"{folder}/times")
+    groups = [*keys, "window_start", "window_end"] if size else list(keys)
+
+    def handle(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        fresh = with_window(batch, ts, size) if size else batch
+        kept, before = state.read(spark, number), times.read(spark, number)
+        if kept is not None:
+            fresh = kept.unionByName(fresh)
+        closed = F.lit(False)
+        if size:
+            reached = batch.agg((F.max(ts) - interval(delay)).alias("watermark"))
+            if before is not None:
+                reached = before.unionByName(reached).agg(F.max("watermark").alias("watermark"))
+            now = reached.first()[0]
+            closed = F.col("window_end") <= F.lit(now).cast(batch.schema[ts].dataType)
+            times.write(reached, number)
+        counted = Ordered.of(fresh, groups, order).number("__n").result()
+        group = F.floor((F.col("__n") - 1) / rows).cast("bigint")
+        sizes = counted.groupBy(*groups).agg(F.floor(F.count("*") / rows).cast("bigint").alias("__full"))
+        framed = counted.withColumn("__group", group).join(sizes, groups)
+        done = (F.col("__group") < F.col("__full")) | closed
+        fired = framed.filter(done).groupBy(*groups, "__group").agg(
+            *[m.rows.alias(n) for n, m in outputs.items()]
+        )
+        out.write(fired.drop("__group"), number)
+        state.write(framed.filter(~done).select(*fresh.columns), number)
+
+    return run(stream, handle, f"{folder}/checkpoint", every)
+
+
 class ChangeTable:
     """A table kept as its last full version and the changes since, one folder per batch.
 

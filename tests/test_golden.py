@@ -5,8 +5,9 @@ from datetime import datetime, timedelta, timezone
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.functions.mergeable import count, total
-from millrace.functions.times import from_millis, from_seconds, from_text, local_day
+from millrace.functions import json
+from millrace.functions.mergeable import count, highest, lowest, total
+from millrace.functions.times import arrival_time, from_millis, from_seconds, from_text, local_day
 from millrace.operators import (
     aggregate, bitmap, cdc, joins, late, project, sequences, state, windows,
 )
@@ -296,3 +297,47 @@ def test_local_day(spark):
     noon = datetime(2020, 5, 21, 12, tzinfo=timezone.utc)
     df = spark.createDataFrame([(noon,), (noon + timedelta(hours=5),)], "ts timestamp")
     assert [str(r[0]) for r in df.select(local_day("ts")).collect()] == ["2020-05-21", "2020-05-22"]
+
+
+def test_dimension_by_json(spark, cut):
+    """Students join schools of the same window; misses go to the lookup table."""
+    students = [("a", "1", 1), ("b", "2", 2), ("c", "9", 3), ("d", "1", 40), ("e", "9", 4), ("f", "2", 5)]
+    texts = [(i, '{"data":{"id":"%s","school":"%s","time":%d}}' % s) for i, s in enumerate(students)]
+    parsed = spark.createDataFrame(texts, "seq int, text string").withColumn(
+        "data", json.record(json.path("text", "$.data"), "id string, school string, time bigint"))
+    parsed = parsed.select("seq", "data.*").withColumn("ts", from_seconds("time"))
+    schools = spark.createDataFrame([(1, "one", 5)], "id int, name string, time bigint")
+    schools = schools.withColumn("ts", from_seconds("time"))
+    dimension = windows.with_window(schools, "ts", "10 seconds").select(
+        "window_start", F.col("id").cast("string").alias("school"), "name")
+    table = spark.createDataFrame([("1", "one"), ("2", "two")], "school string, name string")
+    status = late.classify(parsed, "ts", ["seq"], "10 seconds")
+    found = joins.dimension_join(status, dimension, table, "school", "name")
+    # c misses everywhere and is dropped; e is late and keeps its school's number.
+    assert rows(found, "id", "name") == [("a", "one"), ("b", "two"), ("d", "one"), ("e", "9"), ("f", "two")]
+    kept = joins.dimension_join(status, dimension, table, "school", "name", on_time_miss="keep", late_miss="drop")
+    assert rows(kept, "id", "name") == [("a", "one"), ("b", "two"), ("c", "9"), ("d", "one"), ("f", "two")]
+
+
+def test_resource_per_partition(spark):
+    def open_resource():
+        return {"factor": 3}
+
+    def each(resource, batch):
+        return batch.assign(id=batch["id"] * resource["factor"])
+
+    tripled = project.with_resource(spark.range(4, numPartitions=2), open_resource, each, dict.clear, "id bigint")
+    assert rows(tripled, "id") == [(0,), (3,), (6,), (9,)]
+
+
+def test_arrival_windows(spark):
+    framed = windows.windowed(arrival_time(spark.range(5)), "arrived_at", "1 day", [], {"n": count()})
+    assert rows(framed, "n") == [(5,)]
+
+
+def test_first_fields_of_running_rows(spark, cut):
+    """Only the aggregated field changes; other fields stay as in the key's first row."""
+    df = spark.createDataFrame([(0, "a", 5, "x"), (1, "a", 3, "y"), (2, "b", 1, "z"), (3, "a", 9, None)],
+                               "seq int, k string, v int, note string")
+    lows = aggregate.running(df, ["k"], ["seq"], {"low": lowest("v"), "high": highest("v")}, first=["note"])
+    assert rows(lows, "seq", "low", "high", "note") == [(0, 5, 5, "x"), (1, 3, 5, "x"), (2, 1, 1, "z"), (3, 3, 9, "x")]

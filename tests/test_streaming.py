@@ -5,10 +5,10 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.functions.mergeable import count, highest, total
+from millrace.functions.mergeable import count, highest, lowest, total
 from millrace.functions.numbers import cents
 from millrace.operators import aggregate, cdc, joins, late, sequences, state, windows
-from millrace.streaming import carried, event_time
+from millrace.streaming import carried, event_time, sinks
 from millrace.streaming.batches import Output, State
 from tests.compare import spark_bag
 from tests.conftest import SMALL
@@ -170,3 +170,47 @@ def test_repeated_batch_replaces_itself(spark, tmp_path):
     assert kept.read(spark, 2).count() == 2
     kept.write(spark.range(3), 2)
     assert kept.read(spark, 2).count() == 2 and kept.read(spark).count() == 3
+
+
+def test_count_windows(spark, events, tmp_path, cut_small):
+    outputs = {"n": count(), "s": total(cents("value")), "first": lowest("event_id")}
+    finish(carried.count_window_stream(
+        landed(spark, events, tmp_path / "in"), ["event_type"], ORDER, 7, outputs, str(tmp_path / "out")))
+    batch = windows.count_windows(events, ["event_type"], ORDER, 7, outputs)
+    same(Output(f"{tmp_path}/out/rows").read(spark), batch, "event_type", *outputs)
+
+
+def test_count_or_time(spark, events, tmp_path):
+    outputs = {"n": count(), "first": lowest("event_id")}
+    finish(carried.count_window_stream(
+        landed(spark, events, tmp_path / "in"), ["event_type"], ORDER, 4, outputs, str(tmp_path / "out"),
+        ts="ts", size="1 day"))
+    batch = windows.count_or_time(events, ["event_type"], "ts", ORDER, "1 day", 4, outputs)
+    seen = events.agg(F.max("ts")).first()[0]
+    fired = batch.filter((F.col("n") == 4) | (F.col("window_end") <= F.lit(seen)))
+    same(Output(f"{tmp_path}/out/rows").read(spark), fired, "event_type", "window_start", *outputs)
+
+
+def test_sinks(spark, events, tmp_path):
+    rows = events.select("event_id", "ts", "user_id", "event_type")
+    finish(sinks.lines_sink(
+        landed(spark, rows.select("event_id", "event_type"), tmp_path / "a"), str(tmp_path / "text"),
+        str(tmp_path / "c1")))
+    assert spark.read.text(str(tmp_path / "text")).count() == rows.count()
+
+    table = {}
+
+    def write(batch, number):
+        table.update({r["user_id"]: r["event_id"] for r in batch.collect()})
+
+    finish(sinks.upsert_sink(
+        landed(spark, rows, tmp_path / "b"), ["user_id"], ORDER, write, str(tmp_path / "c2")))
+    last = cdc.upsert_latest(rows, ["user_id"], ORDER).collect()
+    assert table == {r["user_id"]: r["event_id"] for r in last}
+
+    enriched, mirror = Output(str(tmp_path / "enriched")), Output(str(tmp_path / "mirror"))
+    finish(sinks.to_many(
+        landed(spark, rows, tmp_path / "d"),
+        [lambda b, n: enriched.write(b.withColumn("x", F.lit(1)), n), mirror.write], str(tmp_path / "c3")))
+    same(enriched.read(spark), rows, "event_id", "event_type")
+    same(mirror.read(spark), rows, "event_id", "event_type")
