@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from millrace.functions.mergeable import latest
 from millrace.functions.times import with_window
 from millrace.operators.late import LATE, ON_TIME
-from millrace.operators.ordered import _JSON, Ordered, position
+from millrace.operators.ordered import _JSON, Ordered, locate
 
 RIGHT_MISSING = -999
 
@@ -124,9 +124,9 @@ def latest_rule(
             )
             for i, cols in enumerate((order, payload))
         )
-        where = position(at, F.struct(*order), len(rows)) - 1
-        found = data.withColumn("__rule", F.when(where >= 0, F.get(what, where)))
-        return found.withColumns({c: F.col(f"__rule.{c}") for c in payload}).drop("__rule")
+        found = locate(data, "__before", at, len(rows), F.struct(*order))
+        last = F.when(F.col("__before") > 0, F.get(what, F.col("__before") - 1))
+        return found.withColumns({c: last.getField(c) for c in payload}).drop("__before")
 
     kind = rules.select(F.struct(*payload).alias("s")).schema["s"].dataType
     # At equal order a rule comes first, as in the search above.

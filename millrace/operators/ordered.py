@@ -27,7 +27,7 @@ from millrace.functions.mergeable import Mergeable, count
 SEGMENT = "__segment"
 SEGMENT_ROWS = 1_000_000
 MAX_SEGMENTS = 50_000
-SAMPLES_PER_SEGMENT = 10
+SAMPLES_PER_SEGMENT = 20
 
 _JSON = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
@@ -35,17 +35,24 @@ _JSON = {
 }
 
 
-def position(bounds: Column, point: Column, n: int) -> Column:
-    """How many of the ``n`` ascending ``bounds`` are at or below ``point``.
+def locate(
+    df: DataFrame, name: str, bounds: Column, n: int, point: Column, start: Column | None = None
+) -> DataFrame:
+    """Add how many of the ``n`` ascending ``bounds`` are at or below ``point``.
 
-    A binary search by halving steps; ``get`` is null past the end, which counts as no.
+    A binary search in halving steps, one column after the other, so that all of it is
+    compiled. Rows with a null ``start`` get null. The last step stands behind a
+    generator: a later filter on the result must not be moved below the steps, which
+    would repeat each of them several times.
     """
-    steps = [1 << k for k in reversed(range(n.bit_length()))]
-    return F.aggregate(
-        F.array(*[F.lit(s) for s in steps]),
-        F.lit(0),
-        lambda at, step: F.when(F.get(bounds, at + step - 1) <= point, at + step).otherwise(at),
-    )
+    found = df.withColumns({"__point": point, "__at": F.lit(0) if start is None else start})
+    for k in reversed(range(n.bit_length())):
+        step = 1 << k
+        at = F.col("__at")
+        # `get` is null past the end of the bounds, which counts as no.
+        below = F.get(bounds, at + (step - 1)) <= F.col("__point")
+        found = found.withColumn("__at", F.when(below, at + step).otherwise(at))
+    return found.withColumn(name, F.explode(F.array("__at"))).drop("__point", "__at")
 
 
 def literal_rows(rows: DataFrame, columns: Sequence[str], every: int = 1) -> tuple[Column, int]:
@@ -77,8 +84,9 @@ def _same(left: Sequence[str], right: Sequence[str], nulls: bool) -> Column:
 class Ordered:
     """Rows with the keys and order of a scan, cut where a key is too large.
 
-    ``base`` holds the same rows without the columns that scans have added: the small
-    per-segment aggregates read it, so that a later scan does not repeat an earlier one.
+    ``base`` holds the rows of the large keys without the columns that scans have added:
+    the small per-segment aggregates read it, so that a later scan does not repeat an
+    earlier one.
     """
 
     df: DataFrame
@@ -107,8 +115,24 @@ class Ordered:
         if total <= limit:
             return cls(df, df, keys, order, False)
 
-        share = min(1.0, MAX_SEGMENTS * SAMPLES_PER_SEGMENT / total)
-        sample = rows.sample(share, seed=7) if share < 1 else rows
+        # At most a million rows, as many as a range partitioning of Spark samples.
+        share = min(1.0, SAMPLES_PER_SEGMENT / limit)
+        sampled = (rows.sample(share, seed=7) if share < 1 else rows).persist()
+        try:
+            return cls._cut(df, keys, order, sampled, limit, share)
+        finally:
+            sampled.unpersist()
+
+    @classmethod
+    def _cut(
+        cls,
+        df: DataFrame,
+        keys: tuple[str, ...],
+        order: tuple[str, ...],
+        sample: DataFrame,
+        limit: int,
+        share: float,
+    ) -> Ordered:
         hot, nulls = None, False
         if keys:
             # A hot key has more than `limit` rows, so there are fewer than total / limit
@@ -122,23 +146,25 @@ class Ordered:
             nulls = any(value is None for row in found for value in row)
             names = [f"__hot_{k}" for k in keys]
             hot = F.broadcast(
-                spark.createDataFrame(found, frequent.schema)
+                df.sparkSession.createDataFrame(found, frequent.schema)
                 .toDF(*names)
                 .withColumn("__hot", F.lit(True))
             )
             sample = sample.join(hot, _same(keys, names, nulls), "left_semi")
         step = max(1, int(limit * share))
         bounds, n = literal_rows(sample, order, every=step)
-        where = position(bounds, F.struct(*order), n)
+        point = F.struct(*order)
         if hot is None:
-            cut = df.withColumn(SEGMENT, where)
-        else:
-            cut = (
-                df.join(hot, _same(keys, names, nulls), "left")
-                .withColumn(SEGMENT, F.when(F.col("__hot"), where))
-                .drop("__hot", *names)
-            )
-        return cls(cut, cut, keys, order, True, nulls)
+            cut = locate(df, SEGMENT, bounds, n, point)
+            return cls(cut, cut, keys, order, True)
+        cut, base = (
+            locate(
+                df.join(hot, _same(keys, names, nulls), how),
+                SEGMENT, bounds, n, point, start=F.when(F.col("__hot"), 0),
+            ).drop("__hot", *names)
+            for how in ("left", "inner")
+        )
+        return cls(cut, base, keys, order, True, nulls)
 
     def with_columns(self, columns: Mapping[str, Column]) -> Ordered:
         """Add columns computed from the input rows."""
@@ -149,7 +175,9 @@ class Ordered:
 
     def rebased(self) -> Ordered:
         """The same rows, for scans over what earlier scans have added."""
-        return replace(self, base=self.df)
+        if not self.split:
+            return self
+        return replace(self, base=self.df.filter(F.col(SEGMENT).isNotNull()))
 
     def narrowed(self, *extra: str) -> Ordered:
         """The same cut with further key columns, such as a day besides the user."""
@@ -198,8 +226,7 @@ class Ordered:
 
         point = F.struct(*self.order) if len(self.order) > 1 else F.col(self.order[0])
         parts = (
-            self.base.filter(F.col(SEGMENT).isNotNull())
-            .groupBy(*self._groups())
+            self.base.groupBy(*self._groups())
             .agg(*[m.partial(point, backward).alias(f"__{n}") for n, m in outputs.items()])
         )
         before = self._segments(backward).rowsBetween(Window.unboundedPreceding, -1)
@@ -228,8 +255,7 @@ class Ordered:
         # The first `steps` rows of every segment, and from them the first `steps` rows
         # that follow a segment, even when the next segments are shorter than that.
         heads = (
-            self.base.filter(F.col(SEGMENT).isNotNull())
-            .select(*self._groups(), packed.alias("__v"), F.row_number().over(window).alias("__i"))
+            self.base.select(*self._groups(), packed.alias("__v"), F.row_number().over(window).alias("__i"))
             .filter(F.col("__i") <= steps)
             .groupBy(*self._groups())
             .agg(F.sort_array(F.collect_list(F.struct("__i", "__v"))).alias("__head"))
