@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.functions import text
+from millrace.functions import text, times
 from millrace.functions.json import text_of
 from millrace.functions.mergeable import count, highest, lowest, total
 from millrace.functions.numbers import amount, cents
@@ -14,7 +14,7 @@ from millrace.operators.bitmap import (
 )
 from millrace.operators.joins import keep_matching
 from millrace.plans.registry import DAY, bucket, query, table
-from millrace.sinks.writers import routed
+from millrace.sinks.writers import as_lines, for_target, in_order, queue_records, routed
 from millrace.sources.lines import parse_lines, rejected_lines as rejected
 
 NOT_LETTERS = r"[^\p{L}]+"
@@ -244,7 +244,54 @@ SELECT p_name AS line, CASE WHEN contains(p_name, 'ring') THEN 'ring' ELSE 'othe
 FROM part ORDER BY bucket, line""")
 def routed_lines(spark, sf):
     lines = table(spark, sf, "part").select(F.col("p_name").alias("line"))
-    return routed(lines, "line", "ring", "ring", "other").orderBy("bucket", "line")
+    return in_order(routed(lines, "line", "ring", "ring", "other"), "bucket", "line")
+
+
+@query("""
+SELECT event_id, upper(event_type) AS kind FROM events WHERE NOT contains(props, '7')""")
+def guarded_rows(spark, sf):
+    good, _ = project.guard(table(spark, sf, "events"), F.col("props").contains("7"))
+    return good.select("event_id", F.upper("event_type").alias("kind"))
+
+
+@query("""
+SELECT CAST(p_size AS BIGINT) AS size, p_name AS name, CAST(p_partkey AS VARCHAR) AS id FROM part""")
+def target_rows(spark, sf):
+    parts = table(spark, sf, "part").select(
+        F.col("p_partkey").alias("id"), F.col("p_name").alias("name"), F.col("p_size").alias("size")
+    )
+    return for_target(parts, [("size", "bigint"), ("name", "string"), ("id", "string")])
+
+
+@query("""
+SELECT CAST(o_custkey AS VARCHAR) AS key, o_orderkey || ',' || o_custkey || ',' || o_orderstatus AS value FROM orders""")
+def queue_values(spark, sf):
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    return queue_records(orders, F.col("o_custkey"))
+
+
+@query("""
+SELECT s_suppkey || ',' || s_name || ',' || s_nationkey AS value FROM supplier""")
+def delimited_lines(spark, sf):
+    return as_lines(table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey"))
+
+
+@query("""
+SELECT event_id, epoch_us(ts) // 1000 AS ms, strftime(ts, '%Y-%m-%d %H:%M:%S') AS text,
+  make_timestamp(epoch_us(ts) // 1000 * 1000) AS from_ms, date_trunc('second', ts) AS from_text,
+  CAST(CAST(ts + INTERVAL 8 HOUR AS DATE) AS VARCHAR) AS local_day FROM events""")
+def time_functions(spark, sf):
+    pattern = "yyyy-MM-dd HH:mm:ss"
+    ms = F.timestamp_diff("MILLISECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("ts"))
+    utc = F.timestamp_add("MILLISECOND", ms, F.lit("1970-01-01").cast("timestamp_ntz"))
+    return table(spark, sf, "events").select(
+        "event_id",
+        ms.alias("ms"),
+        F.date_format("ts", pattern).alias("text"),
+        utc.cast("timestamp_ntz").alias("from_ms"),
+        times.from_text(F.date_format("ts", pattern)).cast("timestamp_ntz").alias("from_text"),
+        times.local_day("ts", "Asia/Shanghai", "UTC").cast("string").alias("local_day"),
+    )
 
 
 NUMBERED = """

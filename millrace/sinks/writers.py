@@ -40,18 +40,30 @@ def write_routed(
 ) -> None:
     """Lines into one folder per route, sorted over all files of a route, duplicates kept.
 
-    Ranges over (route, line) keep a route that holds most of the lines from being one
-    task's work; raise ``files`` with the amount of data.
+    Raise ``files`` with the amount of data: a route that holds most of the lines is
+    spread over many of them.
     """
     rows = routed(df.select(F.col(line).alias("value")), "value", word, hit, other)
+    spread = rows.withColumn("__spread", F.monotonically_increasing_id())
     (
-        rows.repartitionByRange(files, "bucket", "value")
+        spread.repartitionByRange(files, "bucket", "value", "__spread")
         .sortWithinPartitions("bucket", "value")
+        .drop("__spread")
         .write.partitionBy("bucket")
         .text(path)
     )
 
 
+def in_order(df: DataFrame, *columns: str) -> DataFrame:
+    """All rows sorted, duplicates kept.
+
+    Equal rows differ in the last sort column, so that many copies of one row do not all
+    fall into one range.
+    """
+    spread = df.withColumn("__spread", F.monotonically_increasing_id())
+    return spread.orderBy(*columns, "__spread").drop("__spread")
+
+
 def jdbc_write_options(
     url: str,
     table: str,
