@@ -22,6 +22,15 @@ def from_text(value: Column | str, pattern: str = "yyyy-MM-dd HH:mm:ss") -> Colu
     return F.to_timestamp(as_column(value), pattern)
 
 
+def wall_millis(ts: Column | str) -> Column:
+    """Milliseconds since the epoch of a timestamp without zone, read as UTC."""
+    ts = as_column(ts)
+    seconds = F.unix_date(F.to_date(ts)) * F.lit(86_400).cast("bigint") + (
+        F.hour(ts) * 3600 + F.minute(ts) * 60
+    )
+    return seconds * 1000 + F.floor(F.extract(F.lit("SECOND"), ts) * 1000)
+
+
 def local_day(ts: Column | str, zone: str = DAY_ZONE, stored_in: str | None = None) -> Column:
     """The calendar day in ``zone``.
 

@@ -282,13 +282,14 @@ SELECT event_id, epoch_us(ts) // 1000 AS ms, strftime(ts, '%Y-%m-%d %H:%M:%S') A
   CAST(CAST(ts + INTERVAL 8 HOUR AS DATE) AS VARCHAR) AS local_day FROM events""")
 def time_functions(spark, sf):
     pattern = "yyyy-MM-dd HH:mm:ss"
-    ms = F.timestamp_diff("MILLISECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("ts"))
-    utc = F.timestamp_add("MILLISECOND", ms, F.lit("1970-01-01").cast("timestamp_ntz"))
+    ms = times.wall_millis("ts")
+    since = F.make_dt_interval(secs=(ms / 1000).cast("decimal(18,6)"))
+    from_ms = F.lit("1970-01-01").cast("timestamp_ntz") + since
     return table(spark, sf, "events").select(
         "event_id",
         ms.alias("ms"),
         F.date_format("ts", pattern).alias("text"),
-        utc.cast("timestamp_ntz").alias("from_ms"),
+        from_ms.alias("from_ms"),
         times.from_text(F.date_format("ts", pattern)).cast("timestamp_ntz").alias("from_text"),
         times.local_day("ts", "Asia/Shanghai", "UTC").cast("string").alias("local_day"),
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.functions.json import path, record
-from millrace.functions.times import with_window
+from millrace.functions.times import wall_millis, with_window
 from millrace.operators import cdc, joins, late, sequences
 from millrace.plans.registry import DAY, bucket, query, table
 from millrace.plans.timed import ARRIVAL, ARRIVED, arrived
@@ -268,7 +268,7 @@ def cdc_envelopes(spark, sf):
                 "op",
                 F.when(F.col("op") != "c", row).alias("before"),
                 F.when(F.col("op") != "d", row).alias("after"),
-                F.unix_millis(F.col("ts").cast("timestamp")).alias("ts_ms"),
+                wall_millis("ts").alias("ts_ms"),
             )
         ).alias("value")
     )

@@ -214,3 +214,11 @@ def test_sinks(spark, events, tmp_path):
         [lambda b, n: enriched.write(b.withColumn("x", F.lit(1)), n), mirror.write], str(tmp_path / "c3")))
     same(enriched.read(spark), rows, "event_id", "event_type")
     same(mirror.read(spark), rows, "event_id", "event_type")
+
+
+def test_word_count(spark, tmp_path):
+    words = spark.read.parquet(f"{SMALL}/part.parquet").select("p_partkey", "p_name")
+    stream = landed(spark, words, tmp_path / "in", by="p_partkey")
+    found = collected(spark, aggregate.word_count(stream, "p_name", " "), "word_counts", "update")
+    last = found.groupBy("word").agg(F.max("n").alias("n"))
+    same(last, aggregate.word_count(words, "p_name", " "), "word", "n")
