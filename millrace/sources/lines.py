@@ -20,7 +20,9 @@ def stream_lines(spark: SparkSession, folder: str, files_per_batch: int = 100) -
     return stream.withColumnRenamed("value", "line")
 
 
-def _parsed(df: DataFrame, line: str, schema: StructType, separator: str) -> DataFrame:
+def _parsed(
+    df: DataFrame, line: str, schema: StructType, separator: str, keep_empty_end: bool
+) -> DataFrame:
     """Add ``__row``: the typed fields and, for a wrong number or type of them, ``__bad``."""
     options = {
         "sep": separator,
@@ -31,7 +33,13 @@ def _parsed(df: DataFrame, line: str, schema: StructType, separator: str) -> Dat
     }
     whole = [f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields]
     whole.append("`__bad` string")
-    row = F.from_csv(without_empty_end(line, separator), ", ".join(whole), options)
+    kept = F.col(line) if keep_empty_end else without_empty_end(line, separator)
+    # A cheap count of fields first: the reader raises and catches an error per bad line.
+    separators = F.length(kept) - F.length(F.replace(kept, F.lit(separator)))
+    row = F.when(
+        separators == len(separator) * (len(schema.fields) - 1),
+        F.from_csv(kept, ", ".join(whole), options),
+    )
     # Behind a generator a line is parsed once. A filter on a plain column would be moved
     # below it and parse the line again for every field that it tests.
     return df.withColumn("__row", F.explode(F.array(row)))
@@ -47,15 +55,19 @@ def _valid(schema: StructType) -> Column:
 
 
 def parse_lines(
-    df: DataFrame, schema: StructType | str, line: str = "line", separator: str = ","
+    df: DataFrame,
+    schema: StructType | str,
+    line: str = "line",
+    separator: str = ",",
+    keep_empty_end: bool = False,
 ) -> DataFrame:
     """Typed rows of the lines with exactly the fields of ``schema``; others are left out.
 
-    Fields are trimmed; empty ones at the end of a line do not count. A stream may use it
-    as well: there is no state.
+    Fields are trimmed; empty ones at the end of a line do not count, unless they are to
+    be kept. A stream may use it as well: there is no state.
     """
     schema = _schema(schema)
-    rows = _parsed(df, line, schema, separator).filter(_valid(schema))
+    rows = _parsed(df, line, schema, separator, keep_empty_end).filter(_valid(schema))
     cells = []
     for field in schema.fields:
         cell = F.col(f"__row.{field.name}")
@@ -65,11 +77,16 @@ def parse_lines(
 
 
 def rejected_lines(
-    df: DataFrame, schema: StructType | str, line: str = "line", separator: str = ","
+    df: DataFrame,
+    schema: StructType | str,
+    line: str = "line",
+    separator: str = ",",
+    keep_empty_end: bool = False,
 ) -> DataFrame:
     """The lines that ``parse_lines`` leaves out."""
     schema = _schema(schema)
-    return _parsed(df, line, schema, separator).filter(~_valid(schema)).drop("__row")
+    rows = _parsed(df, line, schema, separator, keep_empty_end)
+    return rows.filter(~_valid(schema)).drop("__row")
 
 
 def _schema(schema: StructType | str) -> StructType:

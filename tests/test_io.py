@@ -20,6 +20,8 @@ def test_lines_are_read_and_checked(spark, tmp_path):
     good = {tuple(r) for r in lines.parse_lines(read, SCHEMA).collect()}
     # Empty fields at the end do not count; an empty one inside does.
     assert good == {("u1", "i1", 5), ("u4", "i4", 7), ("u5", "", 9)}
+    kept = {tuple(r) for r in lines.parse_lines(read, SCHEMA, keep_empty_end=True).collect()}
+    assert kept == {("u1", "i1", 5), ("u5", "", 9)}
     bad = {r[0] for r in lines.rejected_lines(read, SCHEMA).collect()}
     assert bad == {"u2,i2", "u3,i3,x", ""}
 
