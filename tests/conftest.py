@@ -8,7 +8,7 @@ MEDIUM = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(8)
+    session = local_session(8, **{"spark.sql.shuffle.partitions": "3"})
     yield session
     session.stop()
 

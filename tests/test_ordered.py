@@ -16,7 +16,7 @@ SCHEMA = "id bigint, k string, t int, v bigint"
 ROWS = st.lists(
     st.tuples(
         st.sampled_from(["a", "a", "a", "b", None]),
-        st.integers(0, 4),
+        st.one_of(st.none(), st.integers(0, 4)),
         st.one_of(st.none(), st.integers(-9, 9)),
     ),
     min_size=1, max_size=60,
@@ -29,7 +29,8 @@ def _looped(rows, keyed, backward, inclusive):
         groups[row[1] if keyed else 0].append(row)
     result = {}
     for group in groups.values():
-        group.sort(key=lambda r: (r[2], r[0]), reverse=backward)
+        # Nulls come first, as in an ascending sort of Spark.
+        group.sort(key=lambda r: (r[2] is not None, r[2] or 0, r[0]), reverse=backward)
         for i, row in enumerate(group):
             seen = group[: i + 1 if inclusive else i]
             values = [r[3] for r in seen if r[3] is not None]
