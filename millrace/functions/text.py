@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from millrace.functions.mergeable import as_column
+from millrace.functions.messages import CHARACTERS, LENGTH_IS
 
 
 def without_empty_end(line: Column | str, separator: str = ",") -> Column:
@@ -26,7 +27,9 @@ def same_ignoring_case(text: Column | str, other: str) -> Column:
 def with_length(line: Column | str) -> Column:
     """The line with its number of characters appended."""
     line = as_column(line)
-    return F.concat(line, F.lit(" :合计 "), F.char_length(line).cast("string"), F.lit("个字"))
+    return F.concat(
+        line, F.lit(LENGTH_IS), F.char_length(line).cast("string"), F.lit(CHARACTERS)
+    )
 
 
 def salted(word: Column | str, salt: Column) -> Column:

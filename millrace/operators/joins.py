@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.mergeable import latest
+from millrace.functions.messages import INTERCEPTED, INTERCEPTED_FOR
 from millrace.functions.times import with_window
 from millrace.operators.late import LATE, ON_TIME
-from millrace.operators.ordered import _JSON, Ordered, locate
+from millrace.operators.ordered import JSON_FORMATS, Ordered, locate
 
 RIGHT_MISSING = -999
 
@@ -107,8 +108,8 @@ def latest_rule(
     order, payload = list(order), list(payload)
     few = rules.select(*order, *payload).limit(literal_rows + 1)
     rows = few.select(
-        F.to_json(F.struct(*order), _JSON).alias("at"),
-        F.to_json(F.struct(*payload), _JSON).alias("what"),
+        F.to_json(F.struct(*order), JSON_FORMATS).alias("at"),
+        F.to_json(F.struct(*payload), JSON_FORMATS).alias("what"),
         F.struct(*order).alias("__o"),
     ).sort("__o").select("at", "what").collect()
     if len(rows) <= literal_rows:
@@ -120,7 +121,7 @@ def latest_rule(
             F.from_json(
                 F.lit("[" + ",".join(r[i] for r in rows) + "]"),
                 f"array<{rules.select(F.struct(*cols).alias('s')).schema['s'].dataType.simpleString()}>",
-                _JSON,
+                JSON_FORMATS,
             )
             for i, cols in enumerate((order, payload))
         )
@@ -165,7 +166,7 @@ def intercepted(
     rows = latest_rule(data, keywords, order, ["keyword"])
     rows = rows.withColumn("keyword", F.coalesce("keyword", F.lit(initial)))
     message = F.concat(
-        F.lit("拦截消息:"), F.col(text), F.lit(", 原因:包含拦截关键字："), F.col("keyword")
+        F.lit(INTERCEPTED), F.col(text), F.lit(INTERCEPTED_FOR), F.col("keyword")
     )
     return rows.filter(F.col(text).contains(F.col("keyword"))).withColumn("message", message)
 

@@ -29,7 +29,7 @@ SEGMENT_ROWS = 1_000_000
 MAX_SEGMENTS = 50_000
 SAMPLES_PER_SEGMENT = 20
 
-_JSON = {
+JSON_FORMATS = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 }
@@ -61,10 +61,10 @@ def literal_rows(rows: DataFrame, columns: Sequence[str], every: int = 1) -> tup
     The caller vouches for the size. The text is parsed once, when the plan is folded.
     """
     points = rows.select(F.struct(*columns).alias("p"))
-    texts = [r[0] for r in points.sort("p").select(F.to_json("p", _JSON)).collect()]
+    texts = [r[0] for r in points.sort("p").select(F.to_json("p", JSON_FORMATS)).collect()]
     texts = texts[every - 1 :: every]
     schema = f"array<{points.schema['p'].dataType.simpleString()}>"
-    return F.from_json(F.lit("[" + ",".join(texts) + "]"), schema, _JSON), len(texts)
+    return F.from_json(F.lit("[" + ",".join(texts) + "]"), schema, JSON_FORMATS), len(texts)
 
 
 def _same(left: Sequence[str], right: Sequence[str], nulls: bool) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.mergeable import count, total
+from millrace.functions.messages import OVER_LIMIT
 from millrace.operators.ordered import Ordered
 from millrace.operators.windows import count_windows, mean_outputs, windowed
 
@@ -78,7 +79,7 @@ def threshold_guard(
 def alert_text(user: str, domain: str, ts: str, limit: int) -> Column:
     return F.concat(
         F.col(user), F.lit(","), F.col(domain), F.col(ts).cast("string"),
-        F.lit(f"超过阈值:{limit}"),
+        F.lit(f"{OVER_LIMIT}{limit}"),
     )
 
 

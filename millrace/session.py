@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,13 +48,11 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def pin(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared folder and continue from the written rows.
+    """Write ``df`` once as a table in the shared folder and continue from there.
 
-    For results that several later jobs read: the write survives lost executors,
-    which a cache would not.
+    For results that several later jobs read. The table survives lost executors, which a
+    cache would not; its row count is free, and each job reads only the columns it needs.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint(eager=True)
+    path = f"{shared_folder(df.sparkSession)}/millrace-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

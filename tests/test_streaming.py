@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from millrace.functions.mergeable import count, highest, lowest, total
 from millrace.functions.numbers import cents
 from millrace.operators import aggregate, cdc, joins, late, sequences, state, windows
-from millrace.streaming import carried, event_time, sinks
+from millrace.functions.times import local_day
+from millrace.streaming import carried, event_time, keyed, sinks
 from millrace.streaming.batches import Output, State
 from tests.compare import spark_bag
 from tests.conftest import SMALL
@@ -222,3 +223,26 @@ def test_word_count(spark, tmp_path):
     found = collected(spark, aggregate.word_count(stream, "p_name", " "), "word_counts", "update")
     last = found.groupBy("word").agg(F.max("n").alias("n"))
     same(last, aggregate.word_count(words, "p_name", " "), "word", "n")
+
+
+def test_keyed_totals(spark, events, tmp_path):
+    rows = events.withColumn("v", cents("value")).select("event_id", "event_type", "v")
+    stream = keyed.running_totals(landed(spark, rows, tmp_path / "in"), ["event_type"], "v")
+    found = collected(spark, stream, "keyed_totals", "append")
+    outputs = {"n": count(), "total": total("v")}
+    same(found.groupBy("event_type").agg(F.max("n").alias("n"), F.max("total").alias("total")),
+         aggregate.grouped(rows, ["event_type"], outputs), "event_type", "n", "total")
+    assert found.select("event_type", "n").distinct().count() == rows.count()
+
+
+def test_keyed_guard(spark, events, tmp_path):
+    rows = events.select("event_id", "ts", "event_type")
+    stream = keyed.daily_guard(
+        landed(spark, rows, tmp_path / "in"), ["event_type"], "ts", 5, "Asia/Shanghai", "2 days")
+    found = collected(spark, stream, "keyed_guard", "append")
+    day = local_day("ts", "Asia/Shanghai").alias("day")
+    status = F.when(F.col("alert"), "alert").otherwise("pass").alias("status")
+    counted = found.select("event_type", day, status).groupBy("event_type", "day", "status").count()
+    batch = rows.withColumn("ts", F.col("ts").cast("timestamp")).withColumn("day", local_day("ts", "Asia/Shanghai"))
+    batch = state.threshold_guard(batch, ["event_type", "day"], ORDER, 5)
+    same(counted, batch.groupBy("event_type", "day", "status").count(), "event_type", "day", "status", "count")
