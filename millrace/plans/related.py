@@ -355,7 +355,7 @@ def cells_out(spark, sf):
 
 @query(CELLS + """
 SELECT rowkey, name, nullif(segment, '') AS segment, CAST(nation AS INTEGER) AS nation FROM base
-WHERE rowkey >= '0000000001' AND rowkey < '0000001000'""")
+WHERE rowkey >= '0' AND rowkey < ':'""")
 def cells_in(spark, sf):
     types = {"name": "string", "segment": "string", "nation": "int"}
-    return cdc.from_cells(_cells(spark, sf), types, "0000000001", "0000001000")
+    return cdc.from_cells(_cells(spark, sf), types, "0", ":")

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from millrace.functions.mergeable import Mergeable, count
+from millrace.functions.mergeable import Mergeable, count, total
 from millrace.functions.times import interval, with_window
 from millrace.operators import late, sequences
 from millrace.operators.aggregate import grouped, running
@@ -93,10 +93,43 @@ def threshold_stream(
         )
         rows = rows.withColumn("status", status).filter(F.col("status") != DROP)
         out.write(rows.drop("__rank"), number)
-        last = after.agg(F.max(day)).first()[0]
-        if last is not None:
-            after = after.filter(F.datediff(F.lit(last), F.col(day)) < keep_days)
-        state.write(after, number)
+        state.write(_recent(after, day, keep_days), number)
+
+    return run(stream, handle, f"{folder}/checkpoint", every)
+
+
+def _recent(state: DataFrame, day: str, keep_days: int) -> DataFrame:
+    last = state.agg(F.max(day)).first()[0]
+    if last is None:
+        return state
+    return state.filter(F.datediff(F.lit(last), F.col(day)) < keep_days)
+
+
+def visitor_stream(
+    stream: DataFrame,
+    keys: Sequence[str],
+    day: str,
+    order: Sequence[str],
+    stay: str,
+    folder: str,
+    keep_days: int = 2,
+    every: str | None = None,
+) -> StreamingQuery:
+    """Every visit with the visits of its day and the whole stay time so far."""
+    out = Output(f"{folder}/rows")
+    stays, visits = State(f"{folder}/stays"), State(f"{folder}/visits")
+
+    def handle(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        rows, stayed = _carry(
+            batch, stays.read(spark, number), keys, order, {"total_stay_time": total(stay)}
+        )
+        rows, visited = _carry(
+            rows, visits.read(spark, number), [*keys, day], order, {"visit_num": count()}
+        )
+        out.write(rows, number)
+        stays.write(stayed, number)
+        visits.write(_recent(visited, day, keep_days), number)
 
     return run(stream, handle, f"{folder}/checkpoint", every)
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.mergeable import count, highest, lowest, total
 from millrace.functions.numbers import cents
-from millrace.operators import aggregate, cdc, joins, late, sequences, state, windows
+from millrace.operators import aggregate, cdc, joins, late, project, sequences, state, windows
 from millrace.functions.times import local_day
 from millrace.streaming import carried, event_time, keyed, sinks
 from millrace.streaming.batches import Output, State
@@ -246,3 +246,24 @@ def test_keyed_guard(spark, events, tmp_path):
     batch = rows.withColumn("ts", F.col("ts").cast("timestamp")).withColumn("day", local_day("ts", "Asia/Shanghai"))
     batch = state.threshold_guard(batch, ["event_type", "day"], ORDER, 5)
     same(counted, batch.groupBy("event_type", "day", "status").count(), "event_type", "day", "status", "count")
+
+
+def test_visitors(spark, events, tmp_path):
+    visits = events.select("event_id", "ts", "user_id", "day", cents("value").alias("stay"))
+    finish(carried.visitor_stream(
+        landed(spark, visits, tmp_path / "in"), ["user_id"], "day", ORDER, "stay", str(tmp_path / "out")))
+    batch = state.visitor_radar(visits, ["user_id"], "day", ORDER, "stay")
+    same(Output(f"{tmp_path}/out/rows").read(spark), batch, "event_id", "visit_num", "total_stay_time")
+
+
+def test_stateless_operators_on_a_stream(spark, tmp_path):
+    orders = spark.read.parquet(f"{SMALL}/orders.parquet").select("o_orderkey", "o_custkey", "o_orderstatus")
+    customers = spark.read.parquet(f"{SMALL}/customer.parquet").filter("c_acctbal > 0")
+    customers = customers.withColumnRenamed("c_custkey", "o_custkey")
+    routes = {"open": F.col("o_orderstatus") == "O", "any": F.lit(True)}
+
+    def shaped(df):
+        return project.route(joins.lookup(df, customers, ["o_custkey"], {"c_name": ""}), routes)
+
+    found = collected(spark, shaped(landed(spark, orders, tmp_path / "in", by="o_orderkey")), "shaped", "append")
+    same(found, shaped(orders), "o_orderkey", "c_name", "route")
