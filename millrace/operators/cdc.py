@@ -15,7 +15,8 @@ DELETED = ("d", "delete")
 def envelopes(df: DataFrame, value: str, row_schema: str) -> DataFrame:
     """Change records from JSON envelopes: ``op``, ``before``, ``after``, ``ts_ms``."""
     schema = f"op string, before struct<{row_schema}>, after struct<{row_schema}>, ts_ms bigint"
-    parsed = df.withColumn("__e", F.from_json(F.col(value), schema))
+    # Behind a generator the text is parsed once, not again by the filter.
+    parsed = df.withColumn("__e", F.explode(F.array(F.from_json(F.col(value), schema))))
     return parsed.filter(F.col("__e.op").isNotNull()).select(
         *[c for c in df.columns if c != value], "__e.*"
     )

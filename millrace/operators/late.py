@@ -57,7 +57,10 @@ def classify(
 def late_split(
     df: DataFrame, ts: str, arrival: Sequence[str], size: str, delay: str = "0 seconds"
 ) -> tuple[DataFrame, DataFrame]:
-    """The rows on time and the late ones, with the columns of the input."""
+    """The rows on time and the late ones, with the columns of the input.
+
+    Each of the two frames runs the scan; where one plan needs both, use ``classify``.
+    """
     rows = classify(df, ts, arrival, size, delay)
     return (
         rows.filter(F.col("status") == ON_TIME).select(*df.columns),

@@ -70,13 +70,13 @@ def late_join_union(spark, sf):
     on_time = purchases.filter(F.col("status") == late.ON_TIME).select(
         "user_id", "window_start", F.col("event_id").alias("purchase_id")
     )
-    joined = clicks.filter(F.col("status") == late.ON_TIME).join(on_time, ["user_id", "window_start"], "left")
-    origin = F.when(F.col("purchase_id").isNull(), F.lit("right late")).otherwise(F.lit("joined"))
-    joined = joined.withColumn("origin", origin)
-    bypassed = clicks.filter(F.col("status") == late.LATE).withColumns(
-        {"purchase_id": F.lit(None).cast("bigint"), "origin": F.lit("left late")}
+    rows = joins.on_time_join(clicks, on_time, ["user_id"])
+    origin = (
+        F.when(F.col("status") == late.LATE, F.lit("left late"))
+        .when(F.col("purchase_id").isNull(), F.lit("right late"))
+        .otherwise(F.lit("joined"))
     )
-    rows = joined.unionByName(bypassed.select(*joined.columns))
+    rows = rows.withColumn("origin", origin)
     rows = joins.filled(rows, {"purchase_id": joins.RIGHT_MISSING})
     return rows.select("event_id", "window_start", "purchase_id", "origin")
 

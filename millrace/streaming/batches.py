@@ -67,7 +67,7 @@ class State:
     def __init__(self, folder: str) -> None:
         self.folder = folder
 
-    def _newest(self, spark: SparkSession, number: int | None) -> tuple[int, int] | None:
+    def newest(self, spark: SparkSession, number: int | None) -> tuple[int, int] | None:
         marks = []
         for slot in (0, 1):
             mark = read_or_none(spark, f"{self.folder}/mark{slot}")
@@ -77,12 +77,12 @@ class State:
 
     def read(self, spark: SparkSession, number: int | None = None) -> DataFrame | None:
         """The table as it was before batch ``number``, or the last one."""
-        newest = self._newest(spark, number)
+        newest = self.newest(spark, number)
         return None if newest is None else spark.read.parquet(f"{self.folder}/table{newest[1]}")
 
     def write(self, df: DataFrame, number: int) -> None:
         spark = df.sparkSession
-        newest = self._newest(spark, number)
+        newest = self.newest(spark, number)
         slot = 0 if newest is None else 1 - newest[1]
         df.write.mode("overwrite").parquet(f"{self.folder}/table{slot}")
         mark = spark.range(1).select(F.lit(number).alias("batch"))

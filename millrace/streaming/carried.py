@@ -335,7 +335,7 @@ class ChangeTable:
 
     def _parts(self, spark: SparkSession, until: int | None = None):
         full = State(f"{self.folder}/full")
-        newest = full._newest(spark, None)
+        newest = full.newest(spark, None)
         base = full.read(spark)
         changes = read_or_none(spark, f"{self.folder}/changes")
         if changes is not None and newest is not None:
