@@ -341,3 +341,14 @@ def test_first_fields_of_running_rows(spark, cut):
                                "seq int, k string, v int, note string")
     lows = aggregate.running(df, ["k"], ["seq"], {"low": lowest("v"), "high": highest("v")}, first=["note"])
     assert rows(lows, "seq", "low", "high", "note") == [(0, 5, 5, "x"), (1, 3, 5, "x"), (2, 1, 1, "z"), (3, 3, 9, "x")]
+
+
+@pytest.mark.parametrize("slide", ["2 seconds", "3 seconds", "10 seconds"])
+def test_windows_match_those_of_spark(spark, slide):
+    """Also where the size is not a multiple of the slide."""
+    buys = product_buys(spark)
+    found = windows.windowed(buys, "ts", "10 seconds", ["user"], {"s": total("money"), "n": count()}, slide)
+    window = F.window("ts", "10 seconds", slide)
+    expected = buys.groupBy(window, "user").agg(F.sum("money").alias("s"), F.count("*").alias("n"))
+    assert rows(found, "window_start", "window_end", "user", "s", "n") == rows(
+        expected, "window.start", "window.end", "user", "s", "n")

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions.mergeable import count
-from millrace.operators import state, windows
+from millrace.operators import joins, state, windows
 from millrace.plans import QUERIES
 from tests.conftest import SMALL
 
@@ -82,3 +82,28 @@ def test_guard_above_the_rank_limit_keeps_whole_groups(spark):
     rows = spark.range(5000).withColumn("k", F.lit(1))
     guarded = state.threshold_guard(rows, ["k"], ["id"], 2000)
     assert dict(guarded.groupBy("status").count().collect()) == {"pass": 2000, "alert": 1}
+
+
+def test_skewed_joins_are_split(spark):
+    """A third of the rows in one key, and a lookup table too large to broadcast."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "30KB",
+        "spark.sql.shuffle.partitions": "20",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        hot = F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id"))
+        rows = spark.range(0, 200_000, numPartitions=8).select("id", hot.alias("k"))
+        table = spark.range(200_000).select(F.col("id").alias("k"), F.lit("x").alias("v"))
+        found = joins.lookup(rows, table, ["k"], {"v": ""})
+        assert len(found.collect()) == 200_000
+        assert "skew=true" in explained(found)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)

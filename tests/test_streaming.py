@@ -267,3 +267,30 @@ def test_stateless_operators_on_a_stream(spark, tmp_path):
 
     found = collected(spark, shaped(landed(spark, orders, tmp_path / "in", by="o_orderkey")), "shaped", "append")
     same(found, shaped(orders), "o_orderkey", "c_name", "route")
+
+
+def test_stream_goes_on_after_a_restart(spark, events, tmp_path):
+    rows = events.select("event_id", "ts", "event_type")
+    folder, source = str(tmp_path / "out"), tmp_path / "in"
+    outputs = {"n": count()}
+    middle = rows.agg(F.max("event_id")).first()[0] // 2
+    for part in (rows.filter(F.col("event_id") <= middle), rows.filter(F.col("event_id") > middle)):
+        part.coalesce(1).write.mode("append").parquet(str(source))
+        stream = spark.readStream.schema(rows.schema).parquet(str(source))
+        finish(carried.running_stream(stream, ["event_type"], ORDER, outputs, folder))
+    batch = aggregate.running(rows, ["event_type"], ORDER, outputs)
+    same(Output(f"{folder}/rows").read(spark), batch, "event_id", "n")
+
+
+def test_batch_that_runs_again(spark, events, tmp_path):
+    """The second run of a micro-batch starts from the same state and replaces the first."""
+    rows = events.select("event_id", "ts", "event_type").orderBy("event_id")
+    out, kept = Output(str(tmp_path / "rows")), State(str(tmp_path / "state"))
+    outputs = {"n": count()}
+    for number, (low, high) in enumerate([(0, 300), (300, 700), (300, 700), (700, 10_000)]):
+        number -= number > 1
+        batch = rows.filter((F.col("event_id") >= low) & (F.col("event_id") < high))
+        found, after = carried._carry(batch, kept.read(spark, number), ["event_type"], ORDER, outputs)
+        out.write(found, number)
+        kept.write(after, number)
+    same(out.read(spark), aggregate.running(rows, ["event_type"], ORDER, outputs), "event_id", "n")
