@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from millrace.functions.mergeable import latest
 from millrace.functions.messages import INTERCEPTED, INTERCEPTED_FOR
@@ -38,6 +39,17 @@ def window_join(
     return left.join(right, [*keys, "window_start"], how)
 
 
+def join_any_key(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left"
+) -> DataFrame:
+    """A join in which a null key is a key like any other, as it is for grouping."""
+    names = {k: f"__of_{k}" for k in keys}
+    condition = F.lit(True)
+    for key, name in names.items():
+        condition = condition & F.col(key).eqNullSafe(F.col(name))
+    return left.join(right.withColumnsRenamed(names), condition, how).drop(*names.values())
+
+
 def filled(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
     return df.withColumns({c: F.coalesce(c, F.lit(v)) for c, v in defaults.items()})
 
@@ -115,7 +127,7 @@ def latest_rule(
         at, what = (
             F.from_json(
                 F.lit("[" + ",".join(r[i] for r in rows) + "]"),
-                f"array<{rules.select(F.struct(*cols).alias('s')).schema['s'].dataType.simpleString()}>",
+                ArrayType(rules.select(F.struct(*cols).alias("s")).schema["s"].dataType),
                 JSON_FORMATS,
             )
             for i, cols in enumerate((order, payload))

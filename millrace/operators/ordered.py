@@ -21,6 +21,7 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from millrace.functions.mergeable import Mergeable, count
 
@@ -63,7 +64,7 @@ def literal_rows(rows: DataFrame, columns: Sequence[str], every: int = 1) -> tup
     points = rows.select(F.struct(*columns).alias("p"))
     texts = [r[0] for r in points.sort("p").select(F.to_json("p", JSON_FORMATS)).collect()]
     texts = texts[every - 1 :: every]
-    schema = f"array<{points.schema['p'].dataType.simpleString()}>"
+    schema = ArrayType(points.schema["p"].dataType)
     return F.from_json(F.lit("[" + ",".join(texts) + "]"), schema, JSON_FORMATS), len(texts)
 
 

@@ -18,7 +18,7 @@ from millrace.functions.times import interval, with_window
 from millrace.operators import late, sequences
 from millrace.operators.aggregate import grouped, running
 from millrace.operators.cdc import current_table, upsert_latest
-from millrace.operators.joins import latest_rule
+from millrace.operators.joins import join_any_key, latest_rule
 from millrace.operators.ordered import Ordered
 from millrace.operators.state import ALERT, DROP, PASS
 from millrace.streaming.batches import Output, State, read_or_none, run
@@ -38,7 +38,7 @@ def _carry(
         return rows, sums
     names = {n: f"__{n}" for n in outputs}
     known = state.withColumnsRenamed(names)
-    rows = rows.join(known, list(keys), "left").withColumns(
+    rows = join_any_key(rows, known, keys).withColumns(
         {n: m.combine(F.col(f"__{n}"), F.col(n)) for n, m in outputs.items()}
     )
     merged = state.unionByName(sums).groupBy(*keys).agg(
@@ -305,7 +305,7 @@ def count_window_stream(
         counted = Ordered.of(fresh, groups, order).number("__n").result()
         group = F.floor((F.col("__n") - 1) / rows).cast("bigint")
         sizes = counted.groupBy(*groups).agg(F.floor(F.count("*") / rows).cast("bigint").alias("__full"))
-        framed = counted.withColumn("__group", group).join(sizes, groups)
+        framed = join_any_key(counted.withColumn("__group", group), sizes, groups, "inner")
         done = (F.col("__group") < F.col("__full")) | closed
         fired = framed.filter(done).groupBy(*groups, "__group").agg(
             *[m.rows.alias(n) for n, m in outputs.items()]
