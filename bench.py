@@ -15,6 +15,14 @@ from millrace.plans import QUERIES
 from millrace.session import local_session
 
 
+def scale_of(sf_dir: str) -> float | str:
+    name = os.path.basename(os.path.normpath(sf_dir)).removeprefix("sf")
+    try:
+        return float(name)
+    except ValueError:
+        return name
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -33,7 +41,7 @@ def main() -> None:
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,
-                "sf": os.path.basename(os.path.normpath(sf_dir)).removeprefix("sf"),
+                "sf": scale_of(sf_dir),
                 "cores": cpus,
             }
         )

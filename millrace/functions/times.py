@@ -28,7 +28,7 @@ def wall_millis(ts: Column | str) -> Column:
     seconds = F.unix_date(F.to_date(ts)) * F.lit(86_400).cast("bigint") + (
         F.hour(ts) * 3600 + F.minute(ts) * 60
     )
-    return seconds * 1000 + F.floor(F.extract(F.lit("SECOND"), ts) * 1000)
+    return seconds * 1000 + F.floor(F.extract(F.lit("SECOND"), ts) * 1000).cast("bigint")
 
 
 def local_day(ts: Column | str, zone: str = DAY_ZONE, stored_in: str | None = None) -> Column:

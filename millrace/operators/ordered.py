@@ -225,7 +225,8 @@ class Ordered:
         if not self.split:
             return replace(self, df=rows)
 
-        point = F.struct(*self.order) if len(self.order) > 1 else F.col(self.order[0])
+        # A struct is never null itself, so rows with a null in the order count as well.
+        point = F.struct(*self.order)
         parts = (
             self.base.groupBy(*self._groups())
             .agg(*[m.partial(point, backward).alias(f"__{n}") for n, m in outputs.items()])

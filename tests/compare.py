@@ -24,8 +24,8 @@ def oracle(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def _cell(value):
-    if isinstance(value, Decimal):
-        return float(value)
+    # Equal to a number but of another type, which the result's schema must not be.
+    assert not isinstance(value, Decimal)
     if isinstance(value, float):
         return None if math.isnan(value) else value
     if isinstance(value, datetime):
