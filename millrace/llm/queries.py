@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, chat, token_counts
+from millrace.llm import bpe, chat, decontaminate, labelled, quality, secret_scan, token_counts, toxicity
 from millrace.llm.tables import QUERIES, query, table
 from millrace.session import shared_folder
 
@@ -129,3 +130,107 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2(coder.decode(F.col("ids")), 256).alias("decoded_sha256"),
     )
+
+
+#: A-Z to a-z and nothing else, in DuckDB's words.
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = r"regexp_extract_all(" + _LOWER + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+@query(
+    f"""
+    WITH item AS (
+        SELECT item_id, {_WORDS.format("text")} AS w FROM benchmark WHERE text IS NOT NULL
+    ),
+    win AS (
+        SELECT DISTINCT item_id, least(len(w), {decontaminate.WINDOW}) AS size,
+               array_to_string(list_slice(w, p0, p0 + {decontaminate.WINDOW - 1}), ' ') AS key
+        FROM (SELECT *, unnest(range(1, greatest(len(w) - {decontaminate.WINDOW - 1}, 1) + 1)) AS p0 FROM item WHERE len(w) > 0)
+    ),
+    doc AS (SELECT row_number() OVER () AS r, doc_id, coalesce({_WORDS.format("text")}, []) AS w FROM documents),
+    sizes AS (SELECT DISTINCT size FROM win),
+    place AS (
+        SELECT r, size, p0, array_to_string(list_slice(w, p0, p0 + size - 1), ' ') AS key
+        FROM (SELECT r, w, size, unnest(range(1, len(w) - size + 2)) AS p0 FROM doc, sizes WHERE len(w) >= size)
+    ),
+    found AS (SELECT r, p0, size, item_id FROM place JOIN win USING (size, key)),
+    hit AS (
+        SELECT r, count(DISTINCT p) AS n_hit
+        FROM (SELECT r, unnest(range(p0, p0 + size)) AS p FROM (SELECT DISTINCT r, p0, size FROM found)) GROUP BY r
+    ),
+    listed AS (
+        SELECT r, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids
+        FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS i FROM found) GROUP BY r
+    )
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+           sha256(coalesce(ids, '')) AS items_sha256,
+           coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+    FROM doc LEFT JOIN hit USING (r) LEFT JOIN listed USING (r)
+    """
+)
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its benchmark hits."""
+    docs, items = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")
+    found = decontaminate.contamination(docs, items).select("doc_id", F.col("contamination").alias("c"))
+    return found.select(
+        "doc_id",
+        F.col("c.n_words").alias("n_words"),
+        F.col("c.n_hit").alias("n_hit"),
+        F.size("c.items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("c.items", ","), 256).alias("items_sha256"),
+        decontaminate.contaminated(F.col("c")).alias("contaminated"),
+    )
+
+
+@query()
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its secrets."""
+    found = table(spark, sf_dir, "documents").select("doc_id", secret_scan.spans(F.col("text")).alias("s"))
+
+    def listed(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    base = F.filter("s", lambda s: s["kind"].isin(*secret_scan.BASE))
+
+    def counted(kind: str) -> Column:
+        return F.size(F.filter("s", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    counts = [counted(kind) for kind in secret_scan.BASE]
+    return found.select("doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("s")).alias("spans"))
+
+
+@query()
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its quality, by a model that has not seen the held-out third."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(~labelled.held_out(F.col("doc_id"), 3, 1))
+    pairs = labelled.sample(docs, labels, "quality", quality.SAMPLE, quality.vectors(F.col("text")))
+    examples = [((np.array(v.at, dtype=np.int64), np.array(v.shares)), label) for v, label in pairs]
+    share = labels.where(F.col("quality").isin(0, 1)).agg(F.avg("quality")).first()[0]
+    model = quality.fit(examples, 0.5 if share is None else share)
+    scored = docs.select("doc_id", quality.score(spark, model, F.col("text")).alias("score"))
+    return _judged(scored, 3, 1)
+
+
+def _judged(scored: DataFrame, folds: int, fold: int) -> DataFrame:
+    return scored.select(
+        "doc_id",
+        labelled.held_out(F.col("doc_id"), folds, fold).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(~labelled.held_out(F.col("doc_id"), 5, 0))
+    pairs = labelled.sample(docs, labels, "toxic", toxicity.SAMPLE, F.col("text"))
+    return toxicity.fit([(text or "", label) for text, label in pairs])
+
+
+@query()
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its toxicity, by a model that has not seen the held-out fifth."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity_model(spark, sf_dir)
+    return _judged(docs.select("doc_id", toxicity.score(spark, model, F.col("text")).alias("score")), 5, 0)
