@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, chat, decontaminate, labelled, quality, secret_scan, token_counts, toxicity
+from millrace.llm import bpe, chat, decontaminate, labelled, quality, secret_scan, simhash, token_counts, toxicity
 from millrace.llm.tables import QUERIES, query, table
 from millrace.session import shared_folder
 
@@ -234,3 +234,12 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity_model(spark, sf_dir)
     return _judged(docs.select("doc_id", toxicity.score(spark, model, F.col("text")).alias("score")), 5, 0)
+
+
+@query()
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its fingerprint and its group of near duplicates."""
+    docs = table(spark, sf_dir, "documents")
+    prints = docs.select("doc_id", simhash.fingerprint(F.col("text")).alias("print"))
+    groups = simhash.near_duplicates(prints)
+    return groups.select("doc_id", simhash.hexadecimal(F.col("print")).alias("fingerprint"), "component_id")
