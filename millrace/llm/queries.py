@@ -9,9 +9,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, chat, decontaminate, labelled, quality, secret_scan, simhash, token_counts, toxicity
+from millrace.llm import bpe, chat, decontaminate, labelled, quality, secret_scan, simhash, token_counts, topk, toxicity
 from millrace.llm.tables import QUERIES, query, table
-from millrace.session import shared_folder
+from millrace.session import pin, shared_folder
 
 __all__ = ["QUERIES"]
 
@@ -243,3 +243,27 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     prints = docs.select("doc_id", simhash.fingerprint(F.col("text")).alias("print"))
     groups = simhash.near_duplicates(prints)
     return groups.select("doc_id", simhash.hexadecimal(F.col("print")).alias("fingerprint"), "component_id")
+
+
+@query(
+    """
+    WITH given AS (
+        SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ),
+    parts AS (SELECT vec_id, unnest(v) AS x, unnest(range(len(v))) AS i FROM given),
+    scores AS (
+        SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.x * c.x) AS BIGINT) AS score
+        FROM parts q JOIN parts c USING (i)
+        WHERE q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id GROUP BY ALL
+    ),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM scores)
+    SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score FROM ranked WHERE r <= 20
+    """
+)
+def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best rows for every twentieth vector."""
+    vectors = pin(topk.vectors_of(table(spark, sf_dir, "embeddings"), topk.whole(F.col("embedding"))))
+    return topk.PivotIndex(vectors).search(vectors.where("vec_id % 20 = 0"), 20)
