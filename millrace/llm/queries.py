@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, chat, decontaminate, labelled, quality, secret_scan, simhash, token_counts, topk, toxicity
+from millrace.llm import bpe, chat, decontaminate, labelled, main_text, quality, secret_scan, simhash, token_counts, topk, toxicity
 from millrace.llm.tables import QUERIES, query, table
 from millrace.session import pin, shared_folder
 
@@ -267,3 +267,10 @@ def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 best rows for every twentieth vector."""
     vectors = pin(topk.vectors_of(table(spark, sf_dir, "embeddings"), topk.whole(F.col("embedding"))))
     return topk.PivotIndex(vectors).search(vectors.where("vec_id % 20 = 0"), 20)
+
+
+@query()
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", main_text.extracted(F.col("html")).alias("text"))
+    return pages.select("*", F.length("text").cast("bigint").alias("n_chars"))

@@ -98,7 +98,7 @@ def is_der_key(data: bytes) -> bool:
     if not inner or len(inner) < 2:
         return False
     tags = [tag for tag, _, _ in inner]
-    if tags.count(0x02) >= 3:  # numbers of an RSA or DSA key
+    if tags[:3] == [0x02] * 3 and set(tags) <= {0x02, 0x30}:  # numbers of an RSA or DSA key
         return True
     if tags[0] == 0x02 and tags[1] in (0x30, 0x04):  # version, then algorithm or EC scalar
         algorithm = _elements(data, *inner[1][1:]) if tags[1] == 0x30 else None
