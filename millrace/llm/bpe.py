@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -31,7 +32,9 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes encoded directly, characters matched directly, and entries in one half of a memo.
-LEAF_BYTES, LEAF_CHARS, MEMO = 32, 8192, 200_000
+LEAF_BYTES, LEAF_CHARS, MEMO = 6, 8192, 150_000
+#: Bytes above which a window is merged by a heap.
+LONG_LEAF = 64
 #: No alternative of the pattern needs more than this many characters from its start, or
 #: one beyond its end, to be certain of its match.
 LOOK_AHEAD = 3
@@ -65,12 +68,13 @@ class Bpe:
         self.ranks, self.pattern = ranks, regex.compile(pattern)
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.fits = Memo(lambda pair: self.leaf(self.tokens[pair[0]] + self.tokens[pair[1]]) == pair)
-        self.packed = Memo(lambda match: np.array(self.of_match(match.encode()), dtype="<i4").tobytes())
+        self.short = Memo(self.leaf)
+        self.packed = Memo(lambda match: array("i", self.of_match(match.encode())).tobytes())
 
     def leaf(self, data: bytes) -> tuple[int, ...]:
         """The tokens by the definition: merge the lowest rank, the leftmost first."""
         ranks = self.ranks
-        if len(data) > LEAF_BYTES:
+        if len(data) > LONG_LEAF:
             return self._merged(data)
         parts = [data[i : i + 1] for i in range(len(data))]
         pairs = [ranks.get(a + b, 1 << 30) for a, b in zip(parts, parts[1:])]
@@ -114,7 +118,8 @@ class Bpe:
         """The tokens of both sides' bytes together."""
         i = j = 1
         while left and right:
-            window = self.leaf(b"".join(map(self.tokens.__getitem__, left[-i:] + right[:j])))
+            window = b"".join(map(self.tokens.__getitem__, left[-i:] + right[:j]))
+            window = self.short[window] if len(window) <= 2 * LEAF_BYTES else self.leaf(window)
             starts = i >= len(left) or self.fits[left[-i - 1], window[0]]
             ends = j >= len(right) or self.fits[window[-1], right[j]]
             if starts and ends:
@@ -124,8 +129,9 @@ class Bpe:
 
     def of_bytes(self, data: bytes) -> tuple[int, ...]:
         if len(data) <= LEAF_BYTES:
-            return self.leaf(data)
-        half = 1 << (len(data) - 1).bit_length() - 1
+            return self.short[data]
+        # Runs of one character split evenly at powers of two.
+        half = len(data) // 2 if len(data) <= LONG_LEAF else 1 << (len(data) - 1).bit_length() - 1
         return self.join(self.of_bytes(data[:half]), self.of_bytes(data[half:]))
 
     def of_match(self, data: bytes) -> tuple[int, ...]:
@@ -166,7 +172,7 @@ class Bpe:
             taken *= 2
 
     def encode(self, text: str) -> bytes:
-        """The ids as little-endian 32-bit integers."""
+        """The ids as 32-bit integers."""
         return b"".join(map(self.packed.__getitem__, self.matches(text)))
 
     def decode(self, ids: list[int]) -> bytes:
@@ -196,7 +202,7 @@ class Tokenizer:
             for batch in batches:
                 rows = [bpe.encode(text.as_py() or "") for text in batch]
                 ends = np.cumsum([0, *(len(row) // 4 for row in rows)], dtype=np.int32)
-                values = np.frombuffer(b"".join(rows), dtype="<i4")
+                values = np.frombuffer(b"".join(rows), dtype=np.int32)
                 yield pa.ListArray.from_arrays(pa.array(ends), pa.array(values, type=pa.int32()))
 
         return encoded(text)
