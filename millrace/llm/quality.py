@@ -34,7 +34,7 @@ from xxhash import xxh64_intdigest
 
 from millrace.llm.bpe import Memo
 
-SAMPLE, BUCKETS, PASSES = 8_000, 1 << 18, 4
+SAMPLE, BUCKETS, PASSES = 4_000, 1 << 18, 4
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 1e-4, 1e-4
 #: What the shares are multiplied by, so that a first step changes a score noticeably.
 SCALE = 30.0
@@ -121,19 +121,23 @@ def fit(examples: list[tuple[tuple[np.ndarray, np.ndarray], int]], share: float
 
 
 def vectors(text: Column) -> Column:
-    """struct<at array<int>, shares array<double>> of a text."""
-    kind = pa.struct([("at", pa.list_(pa.int32())), ("shares", pa.list_(pa.float64()))])
+    """The sparse vector of a text, packed: the buckets, then as many shares."""
 
-    @F.arrow_udf("struct<at: array<int>, shares: array<double>>")
+    @F.arrow_udf("binary")
     def made(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         coded = Memo(_coded)
         for batch in batches:
-            pairs = [vector(text.as_py() or "", coded) for text in batch]
-            yield pa.array([{"at": a, "shares": s} for a, s in pairs], type=kind)
+            pairs = (vector(text.as_py() or "", coded) for text in batch)
+            yield pa.array([at.astype("<i4").tobytes() + x.astype("<f4").tobytes() for at, x in pairs], type=pa.binary())
 
     return made(text)
 
 
+def unpacked(vector: bytes) -> tuple[np.ndarray, np.ndarray]:
+    half = len(vector) // 2
+    return np.frombuffer(vector[:half], dtype="<i4"), np.frombuffer(vector[half:], dtype="<f4")
+
+
 def score(spark: SparkSession, model: Model, text: Column) -> Column:
     """The probability of label 1."""
     shared = spark.sparkContext.broadcast(model)

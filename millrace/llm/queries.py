@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import uuid
 
-import numpy as np
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -205,7 +204,7 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").where(~labelled.held_out(F.col("doc_id"), 3, 1))
     pairs = labelled.sample(docs, labels, "quality", quality.SAMPLE, quality.vectors(F.col("text")))
-    examples = [((np.array(v.at, dtype=np.int64), np.array(v.shares)), label) for v, label in pairs]
+    examples = [(quality.unpacked(bytes(v)), label) for v, label in pairs]
     share = labels.where(F.col("quality").isin(0, 1)).agg(F.avg("quality")).first()[0]
     model = quality.fit(examples, 0.5 if share is None else share)
     scored = docs.select("doc_id", quality.score(spark, model, F.col("text")).alias("score"))
