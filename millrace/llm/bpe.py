@@ -5,7 +5,8 @@ those of their concatenation. A long string is encoded by its halves, recursivel
 join re-encodes a window around the seam, which grows until the tokens outside are proven
 stable. The proof is local: a token sequence is the encoding of its bytes if and only if
 every two neighbours are, i.e. their bytes together encode to just these two. Both sides
-are encodings already, so only the two pairs at the window's ends need the test.
+are encodings already, so only the two pairs at the window's ends need the test. Leaves
+are encoded by the same rule: there is just one sequence whose neighbours all fit.
 
 The same scheme splits text by the pattern. Matches near the end of the left half may have
 looked beyond it; from the first of these the text is matched again until a match ends
@@ -22,6 +23,8 @@ from __future__ import annotations
 
 import base64
 import heapq
+import math
+import uuid
 from array import array
 from collections.abc import Callable, Iterator
 
@@ -32,9 +35,7 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes encoded directly, characters matched directly, and entries in one half of a memo.
-LEAF_BYTES, LEAF_CHARS, MEMO = 6, 8192, 150_000
-#: Bytes above which a window is merged by a heap.
-LONG_LEAF = 64
+LEAF_BYTES, LEAF_CHARS, MEMO = 32, 8192, 300_000
 #: No alternative of the pattern needs more than this many characters from its start, or
 #: one beyond its end, to be certain of its match.
 LOOK_AHEAD = 3
@@ -67,29 +68,75 @@ class Bpe:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks, self.pattern = ranks, regex.compile(pattern)
         self.tokens = {rank: token for token, rank in ranks.items()}
-        self.fits = Memo(lambda pair: self.leaf(self.tokens[pair[0]] + self.tokens[pair[1]]) == pair)
-        self.short = Memo(self.leaf)
+        self.table = np.full(max(self.tokens, default=-1) + 1, b"", dtype=object)
+        for rank, token in self.tokens.items():
+            self.table[rank] = token
+        self.fits = Memo(self._fits)
+        self.edges = Memo(self._edges, len(ranks))
+        self.longest = max(map(len, ranks), default=1)
         self.packed = Memo(lambda match: array("i", self.of_match(match.encode())).tobytes())
 
+    def _edges(self, token: int) -> tuple[list[tuple[bytes, float]], list[tuple[bytes, float]]]:
+        """What stands at the token's left and right end while it is merged, from the single
+        byte to the token itself, each with the rank of the merge that ends it."""
+        data = self.tokens[token]
+        parts = [data[i : i + 1] for i in range(len(data))]
+        left, right = [], []
+        while len(parts) > 1:
+            ranks = [self.ranks.get(a + b, math.inf) for a, b in zip(parts, parts[1:])]
+            at = min(range(len(ranks)), key=ranks.__getitem__)
+            if at == 0:
+                left.append((parts[0], ranks[at]))
+            if at == len(ranks) - 1:
+                right.append((parts[-1], ranks[at]))
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        return [*left, (data, math.inf)], [*right, (data, math.inf)]
+
+    def _fits(self, pair: tuple[int, int]) -> bool:
+        """Whether the tokens' bytes together encode to just these two.
+
+        They do unless, at some time, what stands at both sides of the seam merges: by a
+        rank below that of the left side's next merge, and not above the right side's, as
+        of equal ranks the leftmost comes first.
+        """
+        ends, begins = self.edges[pair[0]][1], self.edges[pair[1]][0]
+        i = j = 0
+        while True:
+            (a, until_a), (b, until_b) = ends[i], begins[j]
+            rank = self.ranks.get(a + b)
+            if rank is not None and rank < until_a and rank <= until_b:
+                return False
+            if until_a <= until_b:
+                i += 1
+            else:
+                j += 1
+            if i == len(ends) or j == len(begins):
+                return True
+
     def leaf(self, data: bytes) -> tuple[int, ...]:
+        """The only sequence of tokens for ``data`` of which every two neighbours fit.
+
+        Longest tokens are tried first; where none fits, the token before is shortened.
+        """
+        get, fits, n = self.ranks.get, self.fits, len(data)
+        out, starts, at, end = [], [], 0, min(n, self.longest)
+        while at < n:
+            while end > at:
+                token = get(data[at:end])
+                if token is not None and (not out or fits[out[-1], token]):
+                    break
+                end -= 1
+            if end > at:
+                out.append(token)
+                starts.append(at)
+                at, end = end, min(n, end + self.longest)
+            else:
+                out.pop()
+                end, at = at - 1, starts.pop()
+        return tuple(out)
+
+    def merged(self, data: bytes) -> tuple[int, ...]:
         """The tokens by the definition: merge the lowest rank, the leftmost first."""
-        ranks = self.ranks
-        if len(data) > LONG_LEAF:
-            return self._merged(data)
-        parts = [data[i : i + 1] for i in range(len(data))]
-        pairs = [ranks.get(a + b, 1 << 30) for a, b in zip(parts, parts[1:])]
-        while pairs and (least := min(pairs)) < 1 << 30:
-            i = pairs.index(least)
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
-            del pairs[i]
-            if i:
-                pairs[i - 1] = ranks.get(parts[i - 1] + parts[i], 1 << 30)
-            if i < len(pairs):
-                pairs[i] = ranks.get(parts[i] + parts[i + 1], 1 << 30)
-        return tuple(ranks[p] for p in parts)
-
-    def _merged(self, data: bytes) -> tuple[int, ...]:
-        """As ``leaf``, for windows that have grown long: candidates in a heap."""
         ranks, n = self.ranks, len(data)
         end, before, after = list(range(1, n + 1)), list(range(-1, n - 1)), list(range(1, n + 1))
         alive = [True] * n
@@ -119,7 +166,7 @@ class Bpe:
         i = j = 1
         while left and right:
             window = b"".join(map(self.tokens.__getitem__, left[-i:] + right[:j]))
-            window = self.short[window] if len(window) <= 2 * LEAF_BYTES else self.leaf(window)
+            window = self.leaf(window) if len(window) <= LEAF_BYTES else self.merged(window)
             starts = i >= len(left) or self.fits[left[-i - 1], window[0]]
             ends = j >= len(right) or self.fits[window[-1], right[j]]
             if starts and ends:
@@ -129,9 +176,9 @@ class Bpe:
 
     def of_bytes(self, data: bytes) -> tuple[int, ...]:
         if len(data) <= LEAF_BYTES:
-            return self.short[data]
+            return self.leaf(data)
         # Runs of one character split evenly at powers of two.
-        half = len(data) // 2 if len(data) <= LONG_LEAF else 1 << (len(data) - 1).bit_length() - 1
+        half = 1 << (len(data) - 1).bit_length() - 1
         return self.join(self.of_bytes(data[:half]), self.of_bytes(data[half:]))
 
     def of_match(self, data: bytes) -> tuple[int, ...]:
@@ -175,13 +222,17 @@ class Bpe:
         """The ids as 32-bit integers."""
         return b"".join(map(self.packed.__getitem__, self.matches(text)))
 
-    def decode(self, ids: list[int]) -> bytes:
+    def decode(self, ids: np.ndarray) -> bytes:
         if len(ids) <= LEAF_CHARS:
-            return b"".join(map(self.tokens.__getitem__, ids))
+            return b"".join(self.table[ids].tolist())
         half = len(ids) // 2
         return self.decode(ids[:half]) + self.decode(ids[half:])
 
 
+#: The last coder of a worker process, so that later tasks find its memos.
+_CODERS: dict[tuple[str, str], Bpe] = {}
+
+
 class Tokenizer:
     """Column functions of one vocabulary.
 
@@ -191,14 +242,26 @@ class Tokenizer:
 
     def __init__(self, spark: SparkSession, ranks_path: str, pattern: str):
         self.ranks, self.pattern = spark.sparkContext.broadcast(read_ranks(ranks_path)), pattern
+        self.key = (uuid.uuid4().hex, pattern)
+
+    def _coder(self) -> Callable[[], Bpe]:
+        ranks, key = self.ranks, self.key
+
+        def coder() -> Bpe:
+            if key not in _CODERS:
+                _CODERS.clear()
+                _CODERS[key] = Bpe(ranks.value, key[1])
+            return _CODERS[key]
+
+        return coder
 
     def encode(self, text: Column) -> Column:
         """array<int> of a text."""
-        ranks, pattern = self.ranks, self.pattern
+        coder = self._coder()
 
         @F.arrow_udf("array<int>")
         def encoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            bpe = Bpe(ranks.value, pattern)
+            bpe = coder()
             for batch in batches:
                 rows = [bpe.encode(text.as_py() or "") for text in batch]
                 ends = np.cumsum([0, *(len(row) // 4 for row in rows)], dtype=np.int32)
@@ -209,12 +272,14 @@ class Tokenizer:
 
     def decode(self, ids: Column) -> Column:
         """binary of the bytes that the ids stand for."""
-        ranks, pattern = self.ranks, self.pattern
+        coder = self._coder()
 
         @F.arrow_udf("binary")
         def decoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            bpe = Bpe(ranks.value, pattern)
+            bpe = coder()
             for batch in batches:
-                yield pa.array([bpe.decode(row.values.to_pylist() if row.is_valid else []) for row in batch], type=pa.binary())
+                values, ends = batch.values.to_numpy(), batch.offsets.to_pylist()
+                # A null row has no values of its own.
+                yield pa.array([bpe.decode(values[a:b]) for a, b in zip(ends, ends[1:])], type=pa.binary())
 
         return decoded(ids)

@@ -1,5 +1,7 @@
 """Encoding against the public library, on texts that strain seams and pattern matches."""
 
+import random
+
 import public_tokenizers
 import pytest
 import tiktoken
@@ -15,10 +17,7 @@ RANKS = bpe.read_ranks(PATH)
 LIBRARY = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=RANKS, special_tokens={})
 
 
-@pytest.fixture
-def small_leaves(monkeypatch):
-    monkeypatch.setattr(bpe, "LEAF_BYTES", 2)
-    monkeypatch.setattr(bpe, "LEAF_CHARS", 2)
+CODER = bpe.Bpe(RANKS, public_tokenizers.PATTERN)
 
 
 def own(text):
@@ -51,10 +50,25 @@ def test_long_runs(text):
 def test_every_token_is_its_own_encoding():
     """Or it never occurs in an encoding; either way the pair test holds."""
     coder = bpe.Bpe(RANKS, public_tokenizers.PATTERN)
-    odd = [t for t in RANKS if coder.leaf(t) != (RANKS[t],)]
+    odd = [t for t in RANKS if coder.leaf(t) != (RANKS[t],) or coder.merged(t) != (RANKS[t],)]
     assert not odd
 
 
+def test_pairs_fit_if_they_encode_to_themselves():
+    coder, rng = bpe.Bpe(RANKS, public_tokenizers.PATTERN), random.Random(3)
+    short = [r for t, r in RANKS.items() if len(t) < 6]
+    for _ in range(20_000):
+        pair = rng.choice(short), rng.choice(short)
+        assert coder.fits[pair] == (coder.merged(coder.tokens[pair[0]] + coder.tokens[pair[1]]) == pair)
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.one_of(st.binary(max_size=40), st.text("aestho n", max_size=60).map(str.encode)))
+def test_leaves_and_trees_by_the_definition(data):
+    coder = CODER
+    assert coder.leaf(data) == coder.merged(data) == coder.of_bytes(data)
+
+
 def test_columns_with_nulls_and_clashing_names(spark):
     tokenizer = bpe.Tokenizer(spark, PATH, public_tokenizers.PATTERN)
     rows = spark.createDataFrame([(1, None, "x"), (1, "", "y"), (2, "Hey  there\n", None)], "doc_id int, text string, ids string")
