@@ -35,7 +35,7 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes encoded directly, characters matched directly, and entries in one half of a memo.
-LEAF_BYTES, LEAF_CHARS, MEMO = 32, 8192, 300_000
+LEAF_BYTES, LEAF_CHARS, MEMO = 32, 8192, 250_000
 #: No alternative of the pattern needs more than this many characters from its start, or
 #: one beyond its end, to be certain of its match.
 LOOK_AHEAD = 3
