@@ -79,7 +79,9 @@ def salted(
     spreads keys whose parts are still many, such as one window over all rows.
     """
     parts = grouped(df, [*keys, salt], outputs)
-    return parts.groupBy(*keys).agg(*[m.merge(F.col(n)).alias(n) for n, m in outputs.items()])
+    return parts.groupBy(*keys).agg(
+        *[m.merge(F.col(n)).cast(parts.schema[n].dataType).alias(n) for n, m in outputs.items()]
+    )
 
 
 def distinct_in(df: DataFrame, keys: Sequence[str], column: str, name: str = "n") -> DataFrame:

@@ -27,17 +27,18 @@ def extended(old: DataFrame, df: DataFrame, column: str, name: str = "id") -> Da
 
 
 def encoded(df: DataFrame, numbers: DataFrame, column: str) -> DataFrame:
-    """Rows with the number of their value; the join's strategy is left to Spark."""
-    return df.join(numbers, column)
+    """Rows with the number of their value, null for a value without one."""
+    return df.join(numbers, column, "left")
 
 
 def bitmaps(df: DataFrame, keys: Sequence[str], number: str = "id") -> DataFrame:
     """One bitmap per key and bucket of numbers, the union of all rows' single bits.
 
     A key's bitmap is spread over buckets of fixed width, so that its size per row is
-    bounded however many numbers it has.
+    bounded however many numbers it has. Rows without a number set no bit.
     """
-    return df.groupBy(*keys, F.bitmap_bucket_number(number).alias("bucket")).agg(
+    rows = df.filter(F.col(number).isNotNull()).select(*keys, number).distinct()
+    return rows.groupBy(*keys, F.bitmap_bucket_number(number).alias("bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("bits")
     )
 
@@ -52,6 +53,7 @@ def cardinality(maps: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def number_lists(df: DataFrame, keys: Sequence[str], number: str = "id") -> DataFrame:
     """The numbers in each bucket of a key's bitmap as a sorted text."""
-    rows = df.select(*keys, F.bitmap_bucket_number(number).alias("bucket"), number).distinct()
+    rows = df.filter(F.col(number).isNotNull())
+    rows = rows.select(*keys, F.bitmap_bucket_number(number).alias("bucket"), number).distinct()
     ids = F.array_join(F.sort_array(F.collect_list(number)).cast("array<string>"), ",")
     return rows.groupBy(*keys, "bucket").agg(ids.alias("ids"))

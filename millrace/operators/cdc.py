@@ -98,13 +98,14 @@ def from_cells(
     types: Mapping[str, str],
     start: str | None = None,
     stop: str | None = None,
-    version: str | None = None,
+    *,
+    version: str,
 ) -> DataFrame:
     """Rows from cells with a rowkey in ``[start, stop)``; the newest version counts."""
     if start is not None:
         cells = cells.filter(F.col("rowkey") >= start)
     if stop is not None:
         cells = cells.filter(F.col("rowkey") < stop)
-    newest = F.max_by("value", version) if version else F.max("value")
+    newest = F.max_by("value", version)
     wide = cells.groupBy("rowkey").pivot("qualifier", list(types)).agg(newest)
     return wide.select("rowkey", *[F.col(c).cast(t).alias(c) for c, t in types.items()])

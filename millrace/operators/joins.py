@@ -6,13 +6,12 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType
 
 from millrace.functions.mergeable import latest
 from millrace.functions.messages import INTERCEPTED, INTERCEPTED_FOR
 from millrace.functions.times import with_window
 from millrace.operators.late import LATE, ON_TIME
-from millrace.operators.ordered import JSON_FORMATS, Ordered, locate
+from millrace.operators.ordered import Ordered
 
 RIGHT_MISSING = -999
 
@@ -104,40 +103,15 @@ def latest_rule(
     rules: DataFrame,
     order: Sequence[str],
     payload: Sequence[str],
-    literal_rows: int = 2000,
 ) -> DataFrame:
     """Each data row with the payload of the last rule before it; null before the first.
 
-    Rule rows are counted first. A short list becomes a literal that every row searches,
-    without a shuffle. A longer one is put among the data rows and carried along by an
-    ordered scan, so that it may grow with the data.
+    Rules are put among the data rows and carried along by an ordered scan, so that they
+    may grow with the data.
     """
     order, payload = list(order), list(payload)
-    few = rules.select(*order, *payload).limit(literal_rows + 1)
-    rows = few.select(
-        F.to_json(F.struct(*order), JSON_FORMATS).alias("at"),
-        F.to_json(F.struct(*payload), JSON_FORMATS).alias("what"),
-        F.struct(*order).alias("__o"),
-    ).sort("__o").select("at", "what").collect()
-    if len(rows) <= literal_rows:
-        if not rows:
-            return data.withColumns(
-                {c: F.lit(None).cast(rules.schema[c].dataType) for c in payload}
-            )
-        at, what = (
-            F.from_json(
-                F.lit("[" + ",".join(r[i] for r in rows) + "]"),
-                ArrayType(rules.select(F.struct(*cols).alias("s")).schema["s"].dataType),
-                JSON_FORMATS,
-            )
-            for i, cols in enumerate((order, payload))
-        )
-        found = locate(data, "__before", at, len(rows), F.struct(*order))
-        last = F.when(F.col("__before") > 0, F.get(what, F.col("__before") - 1))
-        return found.withColumns({c: last.getField(c) for c in payload}).drop("__before")
-
     kind = rules.select(F.struct(*payload).alias("s")).schema["s"].dataType
-    # At equal order a rule comes first, as in the search above.
+    # At equal order a rule comes first.
     marked = data.withColumns({"__rule": F.lit(None).cast(kind), "__is_data": F.lit(1)})
     both = marked.unionByName(
         rules.select(*order, F.struct(*payload).alias("__rule"), F.lit(0).alias("__is_data")),
@@ -193,11 +167,12 @@ def paired_actions(
 
 
 def nested_answer(
-    df: DataFrame, answers: DataFrame, on: Sequence[str], body: str, paths: Mapping[str, Column]
+    df: DataFrame, answers: DataFrame, on: Sequence[str], paths: Mapping[str, Column]
 ) -> DataFrame:
     """Fields of a nested JSON answer looked up by key, empty texts on any miss.
 
-    ``answers`` holds one answer per key; ``paths`` are expressions over ``body``.
+    ``answers`` holds one answer per key; ``paths`` are expressions over its columns.
     """
-    rows = df.join(answers.select(*on, body), list(on), "left")
-    return rows.withColumns({n: F.coalesce(c, F.lit("")) for n, c in paths.items()}).drop(body)
+    # Fields are taken per answer, not per data row, and the text stays out of the join.
+    fields = answers.select(*on, *[c.alias(n) for n, c in paths.items()])
+    return filled(df.join(fields, list(on), "left"), dict.fromkeys(paths, ""))

@@ -182,7 +182,8 @@ class Ordered:
 
     def narrowed(self, *extra: str) -> Ordered:
         """The same cut with further key columns, such as a day besides the user."""
-        return replace(self, keys=self.keys + extra)
+        # A further column may be null within a key, so segments are joined null-safe.
+        return replace(self, keys=self.keys + extra, null_keys=True)
 
     def result(self) -> DataFrame:
         return self.df.drop(SEGMENT)
@@ -237,8 +238,10 @@ class Ordered:
             *[m.merge(F.col(f"__{n}")).over(before).alias(f"__{n}") for n, m in outputs.items()],
         )
         joined = self._join_segments(rows, carried)
+        # Merged decimals widen; results have the type that the plain window gives.
+        types = {n: rows.schema[n].dataType for n in outputs}
         joined = joined.withColumns(
-            {n: m.combine(F.col(f"__{n}"), F.col(n)) for n, m in outputs.items()}
+            {n: m.combine(F.col(f"__{n}"), F.col(n)).cast(types[n]) for n, m in outputs.items()}
         )
         return replace(self, df=joined.drop(*[f"__{n}" for n in outputs]))
 

@@ -15,13 +15,21 @@ from millrace.operators.windows import count_windows, mean_outputs, windowed
 # Above this rank Spark no longer cuts groups before the shuffle
 # (spark.sql.optimizer.windowGroupLimitThreshold).
 RANK_LIMIT = 1000
+SPREAD = 64
 
 
 def ranked(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
     """The first ``n`` rows of every key with their ``rank``.
 
-    Each task passes on at most ``n`` rows of a key, so a large key is no burden.
+    Each task passes on at most ``n`` rows of a key, so a large key is no burden. Beyond
+    ``RANK_LIMIT`` Spark doesn't cut groups early; there the rows of a key are first
+    ranked in ``SPREAD`` parts, and the first ``n`` of each part are ranked again.
     """
+    if n > RANK_LIMIT:
+        part = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(SPREAD))
+        parts = Window.partitionBy(*keys, "__part").orderBy(*order)
+        df = df.withColumn("__part", part).withColumn("__rank", F.row_number().over(parts))
+        df = df.filter(F.col("__rank") <= n).drop("__part", "__rank")
     window = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= n)
 
@@ -63,7 +71,7 @@ def threshold_guard(
     Put the day among the keys for a daily restart. With ``dropped`` the dropped rows
     stay as well; without, they are cut before the shuffle.
     """
-    if dropped or limit >= RANK_LIMIT:
+    if dropped:
         rows = counter(df, keys, order, "rank")
     else:
         rows = ranked(df, keys, [F.col(c) for c in order], limit + 1)

@@ -43,7 +43,7 @@ def windowed(
         panes.withColumn("window_start", F.explode(starts))
         .withColumn("window_end", F.col("window_start") + interval(size))
         .groupBy("window_start", "window_end", *keys)
-        .agg(*[m.merge(F.col(n)).alias(n) for n, m in outputs.items()])
+        .agg(*[m.merge(F.col(n)).cast(panes.schema[n].dataType).alias(n) for n, m in outputs.items()])
     )
 
 

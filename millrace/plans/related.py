@@ -136,7 +136,7 @@ def nested_json_lookup(spark, sf):
     found = record("body", NESTED).getField("regeocode").getField("addressComponent")
     paths = {"province": found.getField("province"), "city": path("body", "$.regeocode.addressComponent.city")}
     customers = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
-    return joins.nested_answer(customers, answers, ["c_nationkey"], "body", paths).drop("c_nationkey")
+    return joins.nested_answer(customers, answers, ["c_nationkey"], paths).drop("c_nationkey")
 
 
 RULES = """
@@ -358,4 +358,7 @@ SELECT rowkey, name, nullif(segment, '') AS segment, CAST(nation AS INTEGER) AS
 WHERE rowkey >= '0' AND rowkey < ':'""")
 def cells_in(spark, sf):
     types = {"name": "string", "segment": "string", "nation": "int"}
-    return cdc.from_cells(_cells(spark, sf), types, "0", ":")
+    cells = _cells(spark, sf)
+    older = cells.select("rowkey", "qualifier", F.concat(F.lit("z"), "value").alias("value"), F.lit(9).alias("version"))
+    both = older.unionByName(cells.withColumn("version", F.lit(10)))
+    return cdc.from_cells(both, types, "0", ":", version="version")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,7 +33,7 @@ def local_session(cores: int | str = 8, **conf: str) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
-    A local session without that setting gets a temporary folder. On a cluster a
+    A local session without that setting uses the warehouse. On a cluster a
     machine-local folder would be lost with its executor, so the setting is required.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -42,7 +41,7 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="millrace-")
+    folder = f"{spark.conf.get('spark.sql.warehouse.dir')}/millrace-pins"
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 

@@ -249,16 +249,17 @@ def rule_stream(
 ) -> StreamingQuery:
     """Data rows of a connected stream with the payload of the rule in force.
 
-    ``stream`` holds data and rule rows; the last rule of a batch is handed on.
+    ``stream`` holds data and rule rows, and a row whose flag is null is data; the last rule of a batch is handed on.
     """
     out, state = Output(f"{folder}/rows"), State(f"{folder}/state")
 
     def handle(batch: DataFrame, number: int) -> None:
-        rules = batch.filter(is_rule).select(*order, *payload)
+        flag = F.coalesce(is_rule, F.lit(False))
+        rules = batch.filter(flag).select(*order, *payload)
         known = state.read(batch.sparkSession, number)
         if known is not None:
             rules = known.unionByName(rules)
-        data = batch.filter(~is_rule).drop(*payload)
+        data = batch.filter(~flag).drop(*payload)
         out.write(latest_rule(data, rules, order, payload), number)
         state.write(rules.orderBy(*[F.col(c).desc() for c in order]).limit(1), number)
 

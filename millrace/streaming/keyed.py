@@ -1,4 +1,4 @@
-"""Per-key state kept by Spark's state store, in order of arrival.
+"""Per-key state kept by Spark's state store; rows of a key in no order within a batch.
 
 A micro-batch costs as much as its rows and the keys they touch, however many keys are
 known, and results come with little delay. A key's rows are worked off by one task, batch
@@ -15,7 +15,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import BooleanType, LongType, StructField, StructType
+from pyspark.sql.types import (
+    BooleanType, DecimalType, DoubleType, FractionalType, IntegralType, LongType, StructField, StructType,
+)
 
 DAY_MS = 86_400_000
 
@@ -23,11 +25,11 @@ DAY_MS = 86_400_000
 class RunningTotals(StatefulProcessor):
     """Number and sum of a key's values so far, on every row."""
 
-    def __init__(self, value: str) -> None:
-        self.value = value
+    def __init__(self, value: str, kind: str) -> None:
+        self.value, self.kind = value, kind
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.totals = handle.getValueState("totals", "n bigint, total bigint")
+        self.totals = handle.getValueState("totals", f"n bigint, total {self.kind}")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         n, total = self.totals.get() if self.totals.exists() else (0, 0)
@@ -35,10 +37,11 @@ class RunningTotals(StatefulProcessor):
             if batch.empty:
                 continue
             counts = n + np.arange(1, len(batch) + 1)
-            sums = total + batch[self.value].fillna(0).astype("int64").cumsum()
+            values = batch[self.value].fillna(0).astype("int64" if self.kind == "bigint" else "float64")
+            sums = total + values.cumsum()
             yield batch.assign(n=counts, total=sums)
-            n, total = int(counts[-1]), int(sums.iloc[-1])
-        self.totals.update((n, total))
+            n, total = int(counts[-1]), sums.iloc[-1]
+        self.totals.update((n, int(total) if self.kind == "bigint" else float(total)))
 
     def close(self) -> None:
         pass
@@ -94,10 +97,17 @@ class DailyGuard(StatefulProcessor):
 
 
 def running_totals(stream: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """The stream with ``n`` and ``total`` of each row's key so far; write it in append mode."""
-    added = [StructField("n", LongType()), StructField("total", LongType())]
+    """The stream with ``n`` and ``total`` of each row's key so far; write it in append mode.
+
+    Whole numbers add up to a bigint, floating ones to a double; other types are refused.
+    """
+    kind = stream.schema[value].dataType
+    if not isinstance(kind, (IntegralType, FractionalType)) or isinstance(kind, DecimalType):
+        raise TypeError(f"no running totals of {kind.simpleString()}: cast {value} to bigint or double")
+    whole = LongType() if isinstance(kind, IntegralType) else DoubleType()
+    added = [StructField("n", LongType()), StructField("total", whole)]
     return stream.groupBy(*keys).transformWithStateInPandas(
-        RunningTotals(value), StructType([*stream.schema.fields, *added]), "append", "none"
+        RunningTotals(value, whole.simpleString()), StructType([*stream.schema.fields, *added]), "append", "none"
     )
 
 

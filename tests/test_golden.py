@@ -13,7 +13,7 @@ from millrace.operators import (
 )
 from millrace.sources.lines import parse_lines
 
-BASE = 1622689000
+BASE = 1700000000
 
 
 @pytest.fixture(params=[None, "2"], ids=["whole", "cut"])
@@ -30,36 +30,33 @@ def rows(df, *columns):
 
 
 def test_word_count(spark):
-    lines = spark.createDataFrame([("zs,zs,xq",), ("XQ,mz",), ("zs, ",)], "line string")
-    assert rows(aggregate.word_count(lines, "line"), "word", "n") == [("mz", 1), ("xq", 2), ("zs", 3)]
+    lines = spark.createDataFrame([("red,blue,red,red",), ("Blue,",), ("green,red, ",)], "line string")
+    assert rows(aggregate.word_count(lines, "line"), "word", "n") == [("blue", 2), ("green", 1), ("red", 4)]
 
 
-ACCESS = ["20200514, www.aa.com, 2000", "20200514, www.bb.com, 6000", "20200514, www.cc.com, 5000",
-          "20200514, www.aa.com, 4000", "20200514, www.bb.com, 1000"]
-
-
-def access(spark):
-    lines = spark.createDataFrame(list(enumerate(ACCESS)), "seq int, line string")
-    return parse_lines(lines, "time bigint, domain string, traffic bigint")
+def sales(spark):
+    lines = ["7, pear, 30", "7, plum, 12", "7, pear, 5", "8, fig, 40", "7, plum, 9"]
+    df = spark.createDataFrame(list(enumerate(lines)), "seq int, line string")
+    return parse_lines(df, "day bigint, item string, amount bigint")
 
 
 def test_keyed_and_ordered_sum(spark):
-    sums = aggregate.grouped(access(spark), ["domain"], {"traffic": total("traffic")})
-    ordered = [tuple(r) for r in sums.orderBy(F.desc("traffic")).collect()]
-    assert ordered == [("www.bb.com", 7000), ("www.aa.com", 6000), ("www.cc.com", 5000)]
+    sums = aggregate.grouped(sales(spark), ["item"], {"amount": total("amount")})
+    ordered = [tuple(r) for r in sums.orderBy(F.desc("amount")).collect()]
+    assert ordered == [("fig", 40), ("pear", 35), ("plum", 21)]
 
 
 def test_running_sum(spark, cut):
-    sums = aggregate.running(access(spark), ["time", "domain"], ["seq"], {"s": total("traffic")})
-    assert [r[1] for r in rows(sums, "seq", "s")] == [2000, 6000, 5000, 6000, 7000]
+    sums = aggregate.running(sales(spark), ["day", "item"], ["seq"], {"s": total("amount")})
+    assert [r[1] for r in rows(sums, "seq", "s")] == [30, 12, 35, 40, 21]
 
 
 def test_changelog_additions(spark, cut):
-    words = spark.createDataFrame(list(enumerate("zs zs zs ls ls".split())), "seq int, word string")
+    words = spark.createDataFrame(list(enumerate("up down up up down left".split())), "seq int, word string")
     log = aggregate.count_changelog(words, ["word"], ["seq"])
     assert [r[1:] for r in rows(aggregate.additions(log), "seq", "word", "n")] == [
-        ("zs", 1), ("zs", 2), ("zs", 3), ("ls", 1), ("ls", 2)]
-    assert rows(aggregate.replayed(log, ["word"]), "word", "n") == [("ls", 2), ("zs", 3)]
+        ("up", 1), ("down", 1), ("up", 2), ("up", 3), ("down", 2), ("left", 1)]
+    assert rows(aggregate.replayed(log, ["word"]), "word", "n") == [("down", 2), ("left", 1), ("up", 3)]
     assert log.filter("kind = '-U'").count() == 3
 
 
@@ -68,117 +65,97 @@ def test_sequence_source(spark):
 
 
 def test_routes(spark):
-    traffic = spark.createDataFrame(
-        [("湖南省", "长沙市", 6000), ("湖南省", "怀化市", 3000), ("广东省", "广州市", 5000), ("广东省", "深圳市", 4000)],
-        "province string, city string, flow bigint")
-    routes = {p: F.col("province") == p for p in ("湖南省", "广东省")}
-    routes |= {c: F.col("city") == c for c in ("长沙市", "怀化市")}
-    counted = project.route(traffic, routes).groupBy("route").count()
-    assert dict(rows(counted, "route", "count")) == {"湖南省": 2, "广东省": 2, "长沙市": 1, "怀化市": 1}
-
-
-def page_log(spark):
-    """119 page views: two rows each half second, and one user's burst of 71."""
-    start = 1590064509293
-    provinces = ["BJ"] * 7 + ["GZ"] * 5 + ["SH"] * 4 + ["ZJ"] * 8
-    steps = [start + 500 * i for i in range(22)] + [start + 11000, start + 12000]
-    views = [(f"u{i}", p, "a.com", at) for i, (p, at) in enumerate(zip(provinces, steps, strict=True))] * 2
-    views += [("burst", "ZJ", "b.com", start + 11001)] * 71
-    df = spark.createDataFrame(
-        [(i, *v) for i, v in enumerate(views)],
-        "seq int, user_id string, province string, domain string, ms bigint")
+    towns = spark.createDataFrame(
+        [("North", "Ayr", 6), ("North", "Ely", 3), ("South", "Rye", 5), ("South", "Ayr", 4)],
+        "part string, town string, flow bigint")
+    routes = {p: F.col("part") == p for p in ("North", "South")}
+    routes |= {t: F.col("town") == t for t in ("Ayr", "Ely")}
+    counted = project.route(towns, routes).groupBy("route").count()
+    assert dict(rows(counted, "route", "count")) == {"North": 2, "South": 2, "Ayr": 2, "Ely": 1}
+
+
+def page_views(spark):
+    """Thirty views, three a minute from 08:00:05, then a robot's twelve at 08:09:50."""
+    start = 1709280005000
+    views = [(f"v{i % 5}", "NSW"[i % 3], start + 20_000 * i) for i in range(30)]
+    views += [("robot", "N", start + 585_000)] * 12
+    df = spark.createDataFrame([(i, *v, "shop.example") for i, v in enumerate(views)],
+                               "seq int, user string, region string, ms bigint, site string")
     return df.withColumn("ts", from_millis("ms"))
 
 
 def test_sliding_count(spark):
-    counts = windows.windowed(page_log(spark), "ts", "1 hour", ["province"], {"n": count()}, "10 minutes")
-    assert counts.count() == 24
+    counts = windows.windowed(page_views(spark), "ts", "1 hour", ["region"], {"n": count()}, "10 minutes")
+    assert counts.count() == 18
     ends = rows(counts.select("window_end").distinct(), "window_end")
-    assert [e[0].strftime("%H:%M") for e in ends] == ["12:40", "12:50", "13:00", "13:10", "13:20", "13:30"]
-    assert set(rows(counts, "province", "n")) == {("BJ", 14), ("GZ", 10), ("SH", 8), ("ZJ", 87)}
+    assert [e[0].strftime("%H:%M") for e in ends] == ["08:10", "08:20", "08:30", "08:40", "08:50", "09:00"]
+    assert set(rows(counts, "region", "n")) == {("N", 22), ("S", 10), ("W", 10)}
 
 
 def test_distinct_and_salted(spark):
-    framed = windows.with_window(page_log(spark), "ts", "1 hour")
-    assert [r[1] for r in rows(aggregate.distinct_in(framed, ["window_end"], "user_id"), "window_end", "n")] == [25]
-    seconds = windows.with_window(page_log(spark), "ts", "1 second").withColumn("salt", F.col("seq") % 10)
-    pv = aggregate.salted(seconds, ["window_start"], "salt", {"pv": count()})
-    assert [r[1] for r in rows(pv, "window_start", "pv")] == [4] * 11 + [73, 2]
+    framed = windows.with_window(page_views(spark), "ts", "1 hour")
+    assert [r[1] for r in rows(aggregate.distinct_in(framed, ["window_end"], "user"), "window_end", "n")] == [6]
+    minutes = windows.with_window(page_views(spark), "ts", "1 minute").withColumn("salt", F.col("seq") % 10)
+    pv = aggregate.salted(minutes, ["window_start"], "salt", {"pv": count()})
+    assert [r[1] for r in rows(pv, "window_start", "pv")] == [3] * 9 + [15]
 
 
 def test_threshold(spark, cut):
-    log = page_log(spark).withColumn("day", local_day("ts"))
-    guarded = state.threshold_guard(log, ["user_id", "domain", "province", "day"], ["ts", "seq"], 40, dropped=True)
-    assert dict(rows(guarded.groupBy("status").count(), "status", "count")) == {"pass": 88, "alert": 1, "drop": 30}
-    brief = state.threshold_guard(log, ["user_id", "domain", "province", "day"], ["ts", "seq"], 40)
-    assert dict(rows(brief.groupBy("status").count(), "status", "count")) == {"pass": 88, "alert": 1}
-    alert = brief.filter("status = 'alert'").select(state.alert_text("user_id", "domain", "ts", 40))
-    assert alert.first()[0].startswith("burst,b.com2020-05-21") and alert.first()[0].endswith("超过阈值:40")
-
-
-BEHAVIOUR = {
-    "13:11:11": [("1001", "pv"), ("1001", "pv"), ("1001", "pv"), ("1001", "cart"), ("2222", "pv"), ("2222", "pv")],
-    "13:12:01": [("2222", "pv"), ("1001", "pv"), ("1001", "pv"), ("1001", "pv"), ("1001", "cart"), ("2222", "pv"),
-                 ("2222", "pv")],
-    "13:13:01": [("2222", "pv")],
-}
+    views, keys = page_views(spark).withColumn("day", local_day("ts")), ["user", "site", "region", "day"]
+    guarded = state.threshold_guard(views, keys, ["ts", "seq"], 7, dropped=True)
+    assert dict(rows(guarded.groupBy("status").count(), "status", "count")) == {"pass": 37, "alert": 1, "drop": 4}
+    brief = state.threshold_guard(views, keys, ["ts", "seq"], 7)
+    assert dict(rows(brief.groupBy("status").count(), "status", "count")) == {"pass": 37, "alert": 1}
+    alert = brief.filter("status = 'alert'").select(state.alert_text("user", "site", "ts", 7))
+    assert alert.first()[0].startswith("robot,shop.example2024-03-01") and alert.first()[0].endswith("超过阈值:7")
 
 
 def test_top_items(spark):
-    views = spark.createDataFrame(
-        [(item, kind, f"2020-05-08 {at}") for at, items in BEHAVIOUR.items() for item, kind in items],
-        "item string, kind string, t string").withColumn("ts", from_text("t"))
-    top = state.hot_items(views, "ts", ["item"], ["kind"], "10 minutes", "1 minute", 1)
+    views = [("a", "view", "09:00:30")] * 2 + [("b", "view", "09:00:30")] + [("b", "view", "09:02:10")] * 2
+    views += [("a", "cart", "09:02:10")]
+    views = spark.createDataFrame([(i, k, f"2024-03-01 {t}") for i, k, t in views], "item string, kind string, t string")
+    top = state.hot_items(views.withColumn("ts", from_text("t")), "ts", ["item"], ["kind"], "10 minutes", "1 minute", 1)
     found = {(k, e.strftime("%H:%M")): (i, n) for k, e, i, n in rows(top, "kind", "window_end", "item", "n")}
-    pv = {"13:12": ("1001", 3), "13:13": ("1001", 6), "13:22": ("2222", 4), "13:23": ("2222", 1)}
-    pv |= {f"13:{m}": ("1001", 6) for m in range(14, 22)}
-    cart = {"13:12": ("1001", 1), "13:22": ("1001", 1)} | {f"13:{m}": ("1001", 2) for m in range(13, 22)}
-    assert found == {("pv", e): v for e, v in pv.items()} | {("cart", e): v for e, v in cart.items()}
+    expected = {("view", f"09:{m:02}"): ("a", 2) if m < 3 else ("b", 3) if m < 11 else ("b", 2) for m in range(1, 13)}
+    assert found == expected | {("cart", f"09:{m:02}"): ("a", 1) for m in range(3, 13)}
 
 
-def product_buys(spark):
-    buys = [(1000, "pk", 75.0), (2000, "pk", 65.0), (2000, "3ben", 3.0), (3000, "pk", 65.0), (9999, "3ben", 65.0),
-            (19999, "pk", 45.0)]
+def buys_of(spark):
+    buys = [(500, "ann", 2.0), (2500, "bob", 5.0), (2500, "ann", 1.0), (7000, "ann", 4.0), (12000, "bob", 8.0)]
     return spark.createDataFrame(buys, "ms bigint, user string, money double").withColumn("ts", from_millis("ms"))
 
 
 def test_tumble_and_hop(spark):
     start = F.unix_seconds("window_start").alias("at")
-    tumbled = windows.windowed(product_buys(spark), "ts", "10 seconds", ["user"], {"s": total("money")})
-    assert rows(tumbled, "user", start, "s") == [("3ben", 0, 68.0), ("pk", 0, 205.0), ("pk", 10, 45.0)]
-    hopped = windows.windowed(product_buys(spark), "ts", "10 seconds", ["user"], {"s": total("money")}, "2 seconds")
-    expected = [("3ben", a, 3.0) for a in (-6, -4, -2)] + [("3ben", a, 68.0) for a in (0, 2)]
-    # The buy of 3 at 2 s has left the windows from 4 s on.
-    expected = [("3ben", a, 3.0) for a in (-6, -4, -2)] + [("3ben", 0, 68.0), ("3ben", 2, 68.0)]
-    expected += [("3ben", a, 65.0) for a in (4, 6, 8)]
-    expected += [("pk", -8, 75.0)] + [("pk", a, 205.0) for a in (-6, -4, -2, 0)] + [("pk", 2, 130.0)]
-    expected += [("pk", a, 45.0) for a in (10, 12, 14, 16, 18)]
-    assert rows(hopped, "user", start, "s") == sorted(expected)
+    tumbled = windows.windowed(buys_of(spark), "ts", "10 seconds", ["user"], {"s": total("money")})
+    assert rows(tumbled, "user", start, "s") == [("ann", 0, 7.0), ("bob", 0, 5.0), ("bob", 10, 8.0)]
+    hopped = windows.windowed(buys_of(spark), "ts", "10 seconds", ["user"], {"s": total("money")}, "2 seconds")
+    expected = list(zip(["ann"] * 8, range(-8, 8, 2), [2.0, 3.0, 3.0, 7.0, 7.0, 5.0, 4.0, 4.0], strict=True))
+    expected += [("bob", a, 5.0 if a < 4 else 8.0) for a in range(-6, 14, 2)]
+    assert rows(hopped, "user", start, "s") == expected
 
 
 def test_window_join_with_late_rows(spark, cut):
-    left = [("pk", "M", 50000), ("pk", "M", 54000), ("pk", "M", 79900), ("pk", "M", 115000), ("xingxing", "M", 100000),
-            ("xingxing", "M", 109000)]
-    left = spark.createDataFrame([(i, *r) for i, r in enumerate(left)], "seq int, name string, sex string, time bigint")
-    right = spark.createDataFrame([("pk", "BJ", 50000), ("xingxing", "SH", 109000)],
-                                  "name string, city string, other bigint")
+    left = [("kim", "x", 1000), ("kim", "x", 4000), ("lee", "y", 21000), ("kim", "x", 9000), ("kim", "x", 25000)]
+    left = spark.createDataFrame([(i, *r) for i, r in enumerate(left)], "seq int, name string, tag string, time bigint")
+    right = spark.createDataFrame([("kim", "oslo", 2000), ("lee", "rome", 35000)], "name string, city string, other bigint")
     left = left.withColumn("ts", from_millis("time"))
     right = right.withColumn("ts", from_millis("other"))
     on_time, behind = late.late_split(left, "ts", ["seq"], "10 seconds")
     joined = joins.window_join(on_time, right, ["name"], "ts", "10 seconds", {"city": "city", "other": "other"})
     joined = joins.filled(joined, {"city": "right late", "other": joins.RIGHT_MISSING})
-    columns = ["name", "sex", "city", "time", "other"]
-    bypassed = behind.withColumns({"city": F.lit("left late"), "other": F.lit(50000).cast("bigint")})
+    columns = ["name", "tag", "city", "time", "other"]
+    bypassed = behind.withColumns({"city": F.lit("left late"), "other": F.lit(7).cast("bigint")})
+    both = [("kim", "x", "oslo", 1000, 2000), ("kim", "x", "oslo", 4000, 2000)]
     assert rows(joined.select(*columns).unionByName(bypassed.select(*columns)), *columns) == sorted([
-        ("pk", "M", "BJ", 50000, 50000), ("pk", "M", "BJ", 54000, 50000),
-        ("pk", "M", "right late", 79900, -999), ("pk", "M", "right late", 115000, -999),
-        ("xingxing", "M", "left late", 100000, 50000), ("xingxing", "M", "left late", 109000, 50000)])
+        *both, ("lee", "y", "right late", 21000, -999), ("kim", "x", "left late", 9000, 7),
+        ("kim", "x", "right late", 25000, -999)])
     inner = joins.window_join(on_time, right, ["name"], "ts", "10 seconds", {"city": "city", "other": "other"}, "inner")
-    assert rows(inner, *columns) == [("pk", "M", "BJ", 50000, 50000), ("pk", "M", "BJ", 54000, 50000)]
+    assert rows(inner, *columns) == both
 
 
-LOGINS = [("001", "success", 918), ("002", "failure", 952), ("002", "failure", 953), ("002", "failure", 954),
-          ("002", "success", 958), ("002", "failure", 957)]
+LOGINS = [("ann", "ok", 10), ("bob", "no", 20), ("bob", "no", 21), ("bob", "ok", 22), ("bob", "no", 23),
+          ("ann", "no", 24), ("bob", "no", 25)]
 
 
 def timed(spark, rows, schema):
@@ -191,35 +168,33 @@ def seconds(column):
 
 
 def test_strict_failures(spark, cut):
-    failure = F.col("state") == "failure"
+    failed = F.col("state") == "no"
     found = sequences.match_next(timed(spark, LOGINS, "user string, state string"), ["user"], ["ts", "seq"],
-                                 failure, failure, "2 seconds")
-    assert rows(found, "user", "t", seconds("next_time")) == [("002", 952, 953), ("002", 953, 954)]
+                                 failed, failed, "2 seconds")
+    assert rows(found, "user", "t", seconds("next_time")) == [("bob", 20, 21)]
 
 
 def test_three_failures(spark, cut):
     found = sequences.match_times(timed(spark, LOGINS, "user string, state string"), ["user"], ["ts", "seq"],
-                                  F.col("state") == "failure", 3, "10 seconds")
-    assert rows(found, "user", "t", seconds("last_time")) == [("002", 952, 954), ("002", 953, 957)]
+                                  F.col("state") == "no", 3, "10 seconds")
+    assert rows(found, "user", "t", seconds("last_time")) == [("bob", 20, 23), ("bob", 21, 25)]
 
 
-def test_payment_follows(spark, cut):
-    pays = [("111111", "pay", 955), ("111111", "create", 955), ("222222", "create", 955), ("222222", "pay", 955)]
-    steps = [F.col("act") == "create", F.col("act") == "pay"]
-    found = sequences.match_followed_by(timed(spark, pays, "user string, act string"), ["user"], ["ts", "seq"],
+def test_delivery_follows(spark, cut):
+    acts = [("p", "send", 5), ("p", "order", 6), ("q", "order", 6), ("q", "send", 9)]
+    steps = [F.col("act") == "order", F.col("act") == "send"]
+    found = sequences.match_followed_by(timed(spark, acts, "user string, act string"), ["user"], ["ts", "seq"],
                                         steps, "10 seconds")
-    assert rows(found, "user", "outcome") == [("111111", "timeout"), ("222222", "match")]
+    assert rows(found, "user", "outcome") == [("p", "timeout"), ("q", "match")]
 
 
 def test_three_steps(spark, cut):
-    runs = [("600", "gw", "pay", 938), ("100", "gw", "pay", 952), ("100", "gw", "refund", 953), ("100", "lm", "pay", 954),
-            ("200", "gw", "pay", 955), ("300", "gw", "pay", 956), ("400", "gw", "pay", 957), ("600", "gw", "refund", 959),
-            ("600", "lm", "pay", 960)]
-    steps = [(F.col("source") == s) & (F.col("act") == a) for s, a in (("gw", "pay"), ("gw", "refund"), ("lm", "pay"))]
-    found = sequences.match_followed_by(timed(spark, runs, "user string, source string, act string"), ["user"],
+    acts = [("z", "web", "add", 1), ("x", "web", "add", 2), ("x", "web", "edit", 3), ("y", "web", "add", 4),
+            ("x", "app", "add", 5), ("z", "app", "add", 6), ("z", "web", "edit", 7)]
+    steps = [(F.col("source") == s) & (F.col("act") == a) for s, a in (("web", "add"), ("web", "edit"), ("app", "add"))]
+    found = sequences.match_followed_by(timed(spark, acts, "user string, source string, act string"), ["user"],
                                         ["ts", "seq"], steps, "60 seconds")
-    assert rows(found, "user", "outcome") == [("100", "match"), ("200", "timeout"), ("300", "timeout"),
-                                              ("400", "timeout"), ("600", "match")]
+    assert rows(found, "user", "outcome") == [("x", "match"), ("y", "timeout"), ("z", "timeout")]
 
 
 @pytest.mark.parametrize("inclusive, outcome", [(False, "timeout"), (True, "match")])
@@ -232,19 +207,46 @@ def test_within_at_its_boundary(spark, inclusive, outcome):
 
 
 def test_visitor_radar(spark, cut):
-    shop, advice, shared, video = "个人店铺", "咨询", "分享的房源", "短视频"
-    visits = [("u799", "2021-01-12 09:43:32", advice, 0), ("u800", "2021-01-13 12:43:30", shop, 30),
-              ("u800", "2021-01-13 12:43:31", shop, 5), ("u800", "2021-01-14 12:43:32", shop, 100),
-              ("u800", "2021-01-14 12:43:33", shop, 50), ("u801", "2021-01-13 12:43:34", shop, 15),
-              ("u801", "2021-01-13 12:43:35", shop, 60), ("u801", "2021-01-13 09:43:32", shared, 10),
-              ("u802", "2021-01-12 08:43:32", video, 0), ("u800", "2021-01-15 12:43:32", shop, 100)]
-    df = spark.createDataFrame([(i, "1010435", *v) for i, v in enumerate(visits)],
-                               "seq int, belonger string, member string, t string, plate string, stay bigint")
+    visits = [("m1", "2024-03-01 09:00:00", "ads", 4), ("m2", "2024-03-01 10:00:00", "web", 10),
+              ("m2", "2024-03-01 10:05:00", "web", 20), ("m1", "2024-03-02 09:00:00", "ads", 6),
+              ("m2", "2024-03-01 11:00:00", "app", 1), ("m2", "2024-03-03 08:00:00", "web", 5)]
+    df = spark.createDataFrame([(i, "s9", *v) for i, v in enumerate(visits)],
+                               "seq int, owner string, member string, t string, plate string, stay bigint")
     df = df.withColumn("ts", from_text("t")).withColumn("day", F.to_date("ts"))
-    radar = state.visitor_radar(df, ["belonger", "member", "plate"], "day", ["ts", "seq"], "stay")
+    radar = state.visitor_radar(df, ["owner", "member", "plate"], "day", ["ts", "seq"], "stay")
     assert [r[1:] for r in rows(radar, "seq", "member", "visit_num", "total_stay_time")] == [
-        ("u799", 1, 0), ("u800", 1, 30), ("u800", 2, 35), ("u800", 1, 135), ("u800", 2, 185), ("u801", 1, 15),
-        ("u801", 2, 75), ("u801", 1, 10), ("u802", 1, 0), ("u800", 1, 285)]
+        ("m1", 1, 4), ("m2", 1, 10), ("m2", 2, 30), ("m1", 1, 10), ("m2", 1, 1), ("m2", 1, 35)]
+
+
+def test_visits_without_a_day(spark):
+    """Null days of one hot key are numbered through, cut or not."""
+    df = spark.range(200).selectExpr("id", "'k' AS k", "CAST(NULL AS date) AS day", "1L AS stay")
+    spark.conf.set("spark.millrace.segmentRows", "20")
+    try:
+        radar = state.visitor_radar(df, ["k"], "day", ["id"], "stay")
+        assert [r[1] for r in rows(radar, "id", "visit_num")] == list(range(1, 201))
+    finally:
+        spark.conf.unset("spark.millrace.segmentRows")
+
+
+def test_types_do_not_depend_on_the_way(spark):
+    """Decimal sums have the type of a plain sum in the cut, pane and salted ways too."""
+    df = spark.range(100).selectExpr("id", "1 AS k", "CAST(id AS decimal(10,2)) AS v", "id % 3 AS salt",
+                                     "timestamp_seconds(id) AS ts")
+    plain = df.groupBy("k").agg(F.sum("v").alias("s")).schema["s"].dataType
+    found = [aggregate.salted(df, ["k"], "salt", {"s": total("v")}),
+             windows.windowed(df, "ts", "10 seconds", ["k"], {"s": total("v")}, "5 seconds")]
+    for size in ("1000", "20"):
+        spark.conf.set("spark.millrace.segmentRows", size)
+        found.append(aggregate.running(df, ["k"], ["id"], {"s": total("v")}))
+    spark.conf.unset("spark.millrace.segmentRows")
+    assert {f.schema["s"].dataType for f in found} == {plain}
+
+
+def test_ranks_beyond_the_limit_are_spread(spark):
+    df = spark.range(5000).withColumn("k", F.lit(1))
+    top = state.ranked(df, ["k"], [F.col("id")], 1500)
+    assert rows(top, "rank", "id") == [(i + 1, i) for i in range(1500)]
 
 
 def test_dictionary(spark, cut):
@@ -264,24 +266,34 @@ def test_cells(spark):
                                    "id string, name string, age int, city string")
     cells = cdc.to_cells(people, F.col("id"), ["name", "age", "city"])
     assert cells.count() == 29
-    back = cdc.from_cells(cells, {"name": "string", "age": "int", "city": "string"}, "001", "003")
+    # The tenth version is newer than the ninth.
+    older = cells.select("rowkey", "qualifier", F.lit("99").alias("value"), F.lit(9).alias("version"))
+    cells = older.unionByName(cells.withColumn("version", F.lit(10)))
+    back = cdc.from_cells(cells, {"name": "string", "age": "int", "city": "string"}, "001", "003", version="version")
     assert rows(back, "rowkey", "name", "age") == [("001", "n1", 21), ("002", "n2", 22)]
 
 
 def test_rules(spark, cut):
-    data = spark.createDataFrame([(i, t) for i, t in enumerate(["java x", "scala", "java", "scala x"])],
+    data = spark.createDataFrame([(i, t) for i, t in enumerate(["tea x", "milk", "tea", "milk x"])],
                                  "seq int, text string")
-    words = spark.createDataFrame([(2, "scala")], "seq int, keyword string")
-    found = joins.intercepted(data, words, ["seq"], "text", "java")
+    words = spark.createDataFrame([(2, "milk")], "seq int, keyword string")
+    found = joins.intercepted(data, words, ["seq"], "text", "tea")
     assert [r[0] for r in rows(found, "message")] == [
-        "拦截消息:java x, 原因:包含拦截关键字：java", "拦截消息:scala x, 原因:包含拦截关键字：scala"]
+        "拦截消息:milk x, 原因:包含拦截关键字：milk", "拦截消息:tea x, 原因:包含拦截关键字：tea"]
     controls = spark.createDataFrame([(1, "1"), (3, "2")], "seq int, switch string")
     assert [r[1] for r in rows(joins.switched(data, controls, ["seq"], "switch", {"1": "a", "2": "b"}, "c"), "seq", "text")] == [
         "c", "a", "a", "b"]
-    long = joins.latest_rule(data, controls, ["seq"], ["switch"], literal_rows=1)
-    short = joins.latest_rule(data, controls, ["seq"], ["switch"])
-    assert rows(long, "seq", "switch") == [(0, None), (1, "1"), (2, "1"), (3, "2")]
-    assert rows(long, "seq", "switch") == rows(short, "seq", "switch")
+    ruled = joins.latest_rule(data, controls, ["seq"], ["switch"])
+    assert rows(ruled, "seq", "switch") == [(0, None), (1, "1"), (2, "1"), (3, "2")]
+    unruled = joins.latest_rule(data, controls.where("false"), ["seq"], ["switch"])
+    assert rows(unruled, "seq", "switch") == [(i, None) for i in range(4)]
+
+
+def test_values_without_a_number_stay(spark):
+    users = spark.createDataFrame([("a", "u1"), ("a", None), ("b", None)], "k string, name string")
+    coded = bitmap.encoded(users, bitmap.dictionary(users, "name"), "name")
+    assert coded.count() == 3
+    assert rows(bitmap.number_lists(coded, ["k"]), "k", "ids") == [("a", "1")]
 
 
 def test_pair_pattern(spark, cut):
@@ -346,7 +358,7 @@ def test_first_fields_of_running_rows(spark, cut):
 @pytest.mark.parametrize("slide", ["2 seconds", "3 seconds", "10 seconds"])
 def test_windows_match_those_of_spark(spark, slide):
     """Also where the size is not a multiple of the slide."""
-    buys = product_buys(spark)
+    buys = buys_of(spark)
     found = windows.windowed(buys, "ts", "10 seconds", ["user"], {"s": total("money"), "n": count()}, slide)
     window = F.window("ts", "10 seconds", slide)
     expected = buys.groupBy(window, "user").agg(F.sum("money").alias("s"), F.count("*").alias("n"))
