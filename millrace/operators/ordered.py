@@ -10,8 +10,10 @@ Each (key, segment) is scanned by its own task. What one segment must know of th
 segments before it is one small row, computed by an ordinary aggregate, summed along
 the segments of that key and joined back.
 
-The cut points are literals in the plan, so every branch and every retried task puts a
-row into the same segment, and rows equal on all order columns stay together.
+Each large key has cut points of its own, so the segments number no more than the points
+and the large keys together. The points are fetched once and handed to the plan as a small
+table: every branch and every retried task puts a row into the same segment, and rows equal
+on all order columns stay together.
 """
 
 from __future__ import annotations
@@ -21,14 +23,16 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType
 
 from millrace.functions.mergeable import Mergeable, count
+from millrace.session import pin
 
 SEGMENT = "__segment"
 SEGMENT_ROWS = 1_000_000
 MAX_SEGMENTS = 50_000
 SAMPLES_PER_SEGMENT = 20
+#: The cut points, as text, that may be fetched and broadcast; longer ones make fewer segments.
+POINT_BYTES = 16_000_000
 
 JSON_FORMATS = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
@@ -56,18 +60,6 @@ def locate(
     return found.withColumn(name, F.explode(F.array("__at"))).drop("__point", "__at")
 
 
-def literal_rows(rows: DataFrame, columns: Sequence[str], every: int = 1) -> tuple[Column, int]:
-    """Rows of a small frame as one literal array of structs, sorted; and their number.
-
-    The caller vouches for the size. The text is parsed once, when the plan is folded.
-    """
-    points = rows.select(F.struct(*columns).alias("p"))
-    texts = [r[0] for r in points.sort("p").select(F.to_json("p", JSON_FORMATS)).collect()]
-    texts = texts[every - 1 :: every]
-    schema = ArrayType(points.schema["p"].dataType)
-    return F.from_json(F.lit("[" + ",".join(texts) + "]"), schema, JSON_FORMATS), len(texts)
-
-
 def _same(left: Sequence[str], right: Sequence[str], nulls: bool) -> Column:
     """Equality of keys; null-safe only where a large key is null.
 
@@ -81,6 +73,41 @@ def _same(left: Sequence[str], right: Sequence[str], nulls: bool) -> Column:
     return condition
 
 
+def _points(
+    sample: DataFrame, keys: Sequence[str], order: Sequence[str], step: int
+) -> tuple[DataFrame, int, bool] | None:
+    """Keys with more than ``step`` sampled rows, and every ``step``-th of these as a bound.
+
+    Also the largest number of bounds, and whether a key is null; None without large keys.
+    At most a million sampled rows are ranked, as many as a range partitioning of Spark
+    samples; they are thinned before any leave the executors, by number and by size.
+    """
+    text = F.to_json(F.struct(*dict.fromkeys([*keys, *order])), JSON_FORMATS)
+    n, size = sample.agg(F.count(F.lit(1)), F.sum(F.length(text))).first()
+    if n <= step:
+        return None
+    most = MAX_SEGMENTS * SAMPLES_PER_SEGMENT
+    if n > most:
+        sample, size = sample.sample(most / n, seed=11), size * most // n
+    step = max(step, -(-size // POINT_BYTES))
+    position = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    kept = sample.withColumn("__i", position).filter((F.col("__i") > 1) & (F.col("__i") % step == 1 % step))
+    bounds = F.sort_array(F.collect_list(F.struct(*order))).alias("__bounds")
+    cuts = kept.groupBy(*[F.col(k).alias(f"__hot_{k}") for k in keys]).agg(bounds)
+    row = F.to_json(F.struct(*cuts.columns), JSON_FORMATS)
+    null = F.lit(False)
+    for name in cuts.columns[:-1]:
+        null = null | F.col(name).isNull()
+    found = cuts.select(row, F.size("__bounds"), null).collect()
+    # Without keys and points the aggregate still gives one row.
+    found = [r for r in found if r[1] > 0]
+    if not found:
+        return None
+    texts = sample.sparkSession.createDataFrame([(r[0],) for r in found], "row string")
+    hot = texts.select(F.from_json("row", cuts.schema, JSON_FORMATS).alias("row")).select("row.*")
+    return hot, max(r[1] for r in found), any(r[2] for r in found)
+
+
 @dataclass(frozen=True)
 class Ordered:
     """Rows with the keys and order of a scan, cut where a key is too large.
@@ -107,22 +134,19 @@ class Ordered:
     ) -> Ordered:
         """Measure ``df`` and cut its large keys; ``order`` must be unique within a key."""
         keys, order = tuple(keys), tuple(order)
-        spark = df.sparkSession
         if segment_rows is None:
-            segment_rows = int(spark.conf.get("spark.millrace.segmentRows", str(SEGMENT_ROWS)))
+            conf = df.sparkSession.conf
+            segment_rows = int(conf.get("spark.millrace.segmentRows", str(SEGMENT_ROWS)))
+        share = min(1.0, SAMPLES_PER_SEGMENT / segment_rows)
+        step = min(SAMPLES_PER_SEGMENT, segment_rows)
         rows = df.select(*dict.fromkeys(keys + order))
-        total = rows.count()
-        limit = max(segment_rows, total // MAX_SEGMENTS)
-        if total <= limit:
-            return cls(df, df, keys, order, False)
-
-        # At most a million rows, as many as a range partitioning of Spark samples.
-        share = min(1.0, SAMPLES_PER_SEGMENT / limit)
+        # One pass finds the size as well: `step` sampled rows stand for a segment.
         sampled = (rows.sample(share, seed=7) if share < 1 else rows).persist()
         try:
-            return cls._cut(df, keys, order, sampled, limit, share)
+            points = _points(sampled, keys, order, step)
         finally:
             sampled.unpersist()
+        return cls._cut(df, keys, order, *points) if points else cls(df, df, keys, order, False)
 
     @classmethod
     def _cut(
@@ -130,39 +154,21 @@ class Ordered:
         df: DataFrame,
         keys: tuple[str, ...],
         order: tuple[str, ...],
-        sample: DataFrame,
-        limit: int,
-        share: float,
+        hot: DataFrame,
+        most: int,
+        nulls: bool,
     ) -> Ordered:
-        hot, nulls = None, False
-        if keys:
-            # A hot key has more than `limit` rows, so there are fewer than total / limit
-            # <= MAX_SEGMENTS of them: small enough to broadcast whatever the table size.
-            frequent = (
-                sample.groupBy(*keys).count().filter(F.col("count") > limit * share).drop("count")
-            )
-            found = frequent.collect()
-            if not found:
-                return cls(df, df, keys, order, False)
-            nulls = any(value is None for row in found for value in row)
-            names = [f"__hot_{k}" for k in keys]
-            hot = F.broadcast(
-                df.sparkSession.createDataFrame(found, frequent.schema)
-                .toDF(*names)
-                .withColumn("__hot", F.lit(True))
-            )
-            sample = sample.join(hot, _same(keys, names, nulls), "left_semi")
-        step = max(1, int(limit * share))
-        bounds, n = literal_rows(sample, order, every=step)
         point = F.struct(*order)
-        if hot is None:
-            cut = locate(df, SEGMENT, bounds, n, point)
+        if not keys:
+            cut = locate(df, SEGMENT, hot.select("__bounds").scalar(), most, point)
             return cls(cut, cut, keys, order, True)
+        names = [f"__hot_{k}" for k in keys]
+        known = F.col("__bounds").isNotNull()
         cut, base = (
             locate(
-                df.join(hot, _same(keys, names, nulls), how),
-                SEGMENT, bounds, n, point, start=F.when(F.col("__hot"), 0),
-            ).drop("__hot", *names)
+                df.join(F.broadcast(hot), _same(keys, names, nulls), how),
+                SEGMENT, F.col("__bounds"), most, point, start=F.when(known, 0),
+            ).drop("__bounds", *names)
             for how in ("left", "inner")
         )
         return cls(cut, base, keys, order, True, nulls)
@@ -175,10 +181,15 @@ class Ordered:
         )
 
     def rebased(self) -> Ordered:
-        """The same rows, for scans over what earlier scans have added."""
+        """The same rows, for scans over what earlier scans have added.
+
+        Written as a table first, so that a chain of scans costs as much as its length
+        and does not repeat the earlier ones.
+        """
         if not self.split:
             return self
-        return replace(self, base=self.df.filter(F.col(SEGMENT).isNotNull()))
+        rows = pin(self.df)
+        return replace(self, df=rows, base=rows.filter(F.col(SEGMENT).isNotNull()))
 
     def narrowed(self, *extra: str) -> Ordered:
         """The same cut with further key columns, such as a day besides the user."""

@@ -51,7 +51,11 @@ def pin(df: DataFrame) -> DataFrame:
 
     For results that several later jobs read. The table survives lost executors, which a
     cache would not; its row count is free, and each job reads only the columns it needs.
+    It is deleted when the driver's JVM ends.
     """
-    path = f"{shared_folder(df.sparkSession)}/millrace-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/millrace-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    written = spark._jvm.org.apache.hadoop.fs.Path(path)
+    written.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(written)
+    return spark.read.schema(df.schema).parquet(path)

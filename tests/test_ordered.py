@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.mergeable import count, earliest, highest, latest, lowest, total
 from millrace.operators.ordered import SEGMENT, Ordered
+from millrace.operators.sequences import match_followed_by
 
 SCHEMA = "id bigint, k string, t int, v bigint"
 ROWS = st.lists(
@@ -93,3 +94,57 @@ def test_rows_are_shuffled_once(spark):
     scanned = ordered.number("n").scan({"s": total("id")}, backward=True).shift("a", F.col("id"), 3)
     assert scanned.split and _row_shuffles(scanned.result()) == 1
     assert scanned.result().count() == 5000
+
+
+def _segments(ordered):
+    return ordered.df.filter(f"{SEGMENT} IS NOT NULL").groupBy(*ordered.keys, SEGMENT).count()
+
+
+def test_many_hot_keys_make_few_segments(spark):
+    """150 large keys, each with cut points of its own."""
+    df = spark.range(15_000).select("id", (F.col("id") % 150).alias("k"))
+    ordered = Ordered.of(df, ["k"], ["id"], segment_rows=40)
+    assert ordered.split and _segments(ordered).count() <= 2 * 15_000 / 40 + 150
+    numbered = ordered.number("n").result()
+    assert numbered.filter(F.col("n") != F.floor(F.col("id") / 150) + 1).count() == 0
+    assert numbered.count() == 15_000
+
+
+def _text(df):
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain(True)
+    return out.getvalue()
+
+
+def test_long_order_values_stay_out_of_the_plan(spark, monkeypatch):
+    """Texts of 2,000 characters: few points by size, none of them printed in the plan."""
+    df = spark.range(4000).select(F.lpad(F.col("id").cast("string"), 2000, "0").alias("t"))
+    ordered = Ordered.of(df, [], ["t"], segment_rows=40)
+    assert _segments(ordered).count() > 50 and len(_text(ordered.number("n").result())) < 100_000
+    monkeypatch.setattr("millrace.operators.ordered.POINT_BYTES", 20_000)
+    few = Ordered.of(df, [], ["t"], segment_rows=40)
+    assert 2 <= _segments(few).count() <= 12
+    assert few.number("n").result().filter("n <> cast(t AS bigint) + 1").count() == 0
+
+
+def test_instants_and_dates_as_points(spark):
+    """Points come back to the microsecond, in both hours of a clock set back."""
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        at = F.timestamp_micros(F.lit(1_698_537_600_000_001) + F.col("id") * 7_200_013)
+        df = spark.range(3000).select("id", at.alias("t"), F.to_date(at).alias("day"), F.lit(None).cast("int").alias("k"))
+        found = Ordered.of(df, ["k"], ["day", "t"], segment_rows=40).number("n").result()
+        assert found.filter("n <> id + 1").count() == 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_the_plan_of_a_sequence_does_not_grow(spark, cut_small):
+    df = spark.range(3000).select("id", (F.col("id") % 2).alias("k"), F.timestamp_seconds("id").alias("t"))
+    sizes = []
+    for n in (2, 5):
+        steps = [F.col("id") % 8 == i for i in range(n)]
+        found = match_followed_by(df, ["k"], ["t", "id"], steps, "10 seconds")
+        sizes.append(_text(found).count("Exchange"))
+    assert sizes[1] <= sizes[0] + 2
