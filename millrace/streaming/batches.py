@@ -1,8 +1,7 @@
-"""Micro-batches with state in files.
+"""Micro-batches that write their rows per batch number, and one row handed on.
 
-The streams in ``carried`` run the batch operators on every micro-batch and hand a small
-table from one batch to the next. Spark may run a batch again after a failure, so output
-and state are written per batch number and a repeated batch replaces its own writes.
+Spark may run a batch again after a failure, so output and the row handed on are written
+per batch number and a repeated batch replaces its own writes.
 """
 
 from __future__ import annotations
@@ -11,7 +10,6 @@ from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 Handler = Callable[[DataFrame, int], None]
@@ -57,33 +55,18 @@ class Output:
 
 
 class State:
-    """A table handed on between micro-batches, in two folders used in turn.
+    """One small row handed on between micro-batches, in a folder per batch.
 
-    A folder's mark names the batch that wrote it and is written last. A batch reads the
-    newest table from before itself and writes to the other folder, so a batch that
-    fails half-way, or runs again, still finds what it started from.
+    A batch reads the row of the batch before itself, so one that runs again finds what it
+    started from. Every batch writes, so its number says which folder to read.
     """
 
     def __init__(self, folder: str) -> None:
         self.folder = folder
 
-    def newest(self, spark: SparkSession, number: int | None) -> tuple[int, int] | None:
-        marks = []
-        for slot in (0, 1):
-            mark = read_or_none(spark, f"{self.folder}/mark{slot}")
-            rows = mark.collect() if mark is not None else []
-            marks += [(r["batch"], slot) for r in rows if number is None or r["batch"] < number]
-        return max(marks, default=None)
-
-    def read(self, spark: SparkSession, number: int | None = None) -> DataFrame | None:
-        """The table as it was before batch ``number``, or the last one."""
-        newest = self.newest(spark, number)
-        return None if newest is None else spark.read.parquet(f"{self.folder}/table{newest[1]}")
+    def read(self, spark: SparkSession, number: int) -> DataFrame | None:
+        """The row as it was before batch ``number``."""
+        return read_or_none(spark, f"{self.folder}/batch={number - 1}")
 
     def write(self, df: DataFrame, number: int) -> None:
-        spark = df.sparkSession
-        newest = self.newest(spark, number)
-        slot = 0 if newest is None else 1 - newest[1]
-        df.write.mode("overwrite").parquet(f"{self.folder}/table{slot}")
-        mark = spark.range(1).select(F.lit(number).alias("batch"))
-        mark.coalesce(1).write.mode("overwrite").parquet(f"{self.folder}/mark{slot}")
+        df.coalesce(1).write.mode("overwrite").parquet(f"{self.folder}/batch={number}")

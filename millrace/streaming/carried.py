@@ -1,137 +1,23 @@
-"""Streaming forms of the ordered batch operators.
+"""Streams that run a batch operator on every micro-batch and write each batch's rows.
 
 Every stream takes ``folder`` on storage that all executors share and keeps there its
-output, its state and its checkpoint. A key with most of the rows is cut within each
-micro-batch in the same way as in batch.
+output and its checkpoint. Late rows and rules hand one row on to the next batch.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from millrace.functions.mergeable import Mergeable, count, total
-from millrace.functions.times import interval, with_window
-from millrace.operators import late, sequences
-from millrace.operators.aggregate import grouped, running
-from millrace.operators.cdc import current_table, upsert_latest
-from millrace.operators.joins import join_any_key, latest_rule
-from millrace.operators.ordered import Ordered
-from millrace.operators.state import ALERT, DROP, PASS
-from millrace.streaming.batches import Output, State, read_or_none, run
-
-
-def _carry(
-    batch: DataFrame,
-    state: DataFrame | None,
-    keys: Sequence[str],
-    order: Sequence[str],
-    outputs: Mapping[str, Mergeable],
-) -> tuple[DataFrame, DataFrame]:
-    """Running aggregates that continue those in ``state``, and the next state."""
-    rows = running(batch, keys, order, outputs)
-    sums = grouped(batch, keys, outputs)
-    if state is None:
-        return rows, sums
-    names = {n: f"__{n}" for n in outputs}
-    known = state.withColumnsRenamed(names)
-    rows = join_any_key(rows, known, keys).withColumns(
-        {n: m.combine(F.col(f"__{n}"), F.col(n)) for n, m in outputs.items()}
-    )
-    merged = state.unionByName(sums).groupBy(*keys).agg(
-        *[m.merge(F.col(n)).alias(n) for n, m in outputs.items()]
-    )
-    return rows.drop(*names.values()), merged
-
-
-def running_stream(
-    stream: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    outputs: Mapping[str, Mergeable],
-    folder: str,
-    every: str | None = None,
-) -> StreamingQuery:
-    """Every row with the aggregates of its key so far, over all micro-batches."""
-    out, state = Output(f"{folder}/rows"), State(f"{folder}/state")
-
-    def handle(batch: DataFrame, number: int) -> None:
-        known = state.read(batch.sparkSession, number)
-        rows, after = _carry(batch, known, keys, order, outputs)
-        out.write(rows, number)
-        state.write(after, number)
-
-    return run(stream, handle, f"{folder}/checkpoint", every)
-
-
-def threshold_stream(
-    stream: DataFrame,
-    keys: Sequence[str],
-    day: str,
-    order: Sequence[str],
-    limit: int,
-    folder: str,
-    keep_days: int = 2,
-    every: str | None = None,
-) -> StreamingQuery:
-    """Passed rows and one alert per key and day; dropped rows are not written.
-
-    Counters of days before the last ``keep_days`` are forgotten.
-    """
-    out, state = Output(f"{folder}/rows"), State(f"{folder}/state")
-
-    def handle(batch: DataFrame, number: int) -> None:
-        known = state.read(batch.sparkSession, number)
-        rows, after = _carry(batch, known, [*keys, day], order, {"__rank": count()})
-        status = (
-            F.when(F.col("__rank") <= limit, F.lit(PASS))
-            .when(F.col("__rank") == limit + 1, F.lit(ALERT))
-            .otherwise(F.lit(DROP))
-        )
-        rows = rows.withColumn("status", status).filter(F.col("status") != DROP)
-        out.write(rows.drop("__rank"), number)
-        state.write(_recent(after, day, keep_days), number)
-
-    return run(stream, handle, f"{folder}/checkpoint", every)
-
-
-def _recent(state: DataFrame, day: str, keep_days: int) -> DataFrame:
-    last = state.agg(F.max(day)).first()[0]
-    if last is None:
-        return state
-    return state.filter(F.datediff(F.lit(last), F.col(day)) < keep_days)
-
-
-def visitor_stream(
-    stream: DataFrame,
-    keys: Sequence[str],
-    day: str,
-    order: Sequence[str],
-    stay: str,
-    folder: str,
-    keep_days: int = 2,
-    every: str | None = None,
-) -> StreamingQuery:
-    """Every visit with the visits of its day and the whole stay time so far."""
-    out = Output(f"{folder}/rows")
-    stays, visits = State(f"{folder}/stays"), State(f"{folder}/visits")
-
-    def handle(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        rows, stayed = _carry(
-            batch, stays.read(spark, number), keys, order, {"total_stay_time": total(stay)}
-        )
-        rows, visited = _carry(
-            rows, visits.read(spark, number), [*keys, day], order, {"visit_num": count()}
-        )
-        out.write(rows, number)
-        stays.write(stayed, number)
-        visits.write(_recent(visited, day, keep_days), number)
-
-    return run(stream, handle, f"{folder}/checkpoint", every)
+from millrace.functions.mergeable import count
+from millrace.operators import late
+from millrace.operators.joins import latest_rule
+from millrace.operators.state import ranked
+from millrace.streaming.batches import Output, State, run
+from millrace.streaming.event_time import window_stream
 
 
 def late_split_stream(
@@ -158,87 +44,6 @@ def late_split_stream(
     return run(stream, handle, f"{folder}/checkpoint", every)
 
 
-def sequence_stream(
-    stream: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    steps: Sequence[Column],
-    within: str,
-    delay: str,
-    folder: str,
-    every: str | None = None,
-) -> StreamingQuery:
-    """Matches and timeouts of a sequence, each written once it can no longer change.
-
-    Events are kept while a sequence that may hold them is open. The outcome of a start
-    is settled at its last step or at its timeout; a batch writes the outcomes settled
-    since the watermark of the batch before.
-    """
-    out = Output(f"{folder}/rows")
-    events, times = State(f"{folder}/events"), State(f"{folder}/times")
-
-    def handle(batch: DataFrame, number: int) -> None:
-        spark, time = batch.sparkSession, order[0]
-        relevant = steps[0]
-        for step in steps[1:]:
-            relevant = relevant | step
-        kept, before = events.read(spark, number), times.read(spark, number)
-        fresh = batch.filter(relevant)
-        reached = batch.agg((F.max(time) - interval(delay)).alias("watermark"))
-        known = None
-        if before is not None:
-            known = before.first()[0]
-            reached = reached.select(F.greatest("watermark", F.lit(known)).alias("watermark"))
-        now = reached.first()[0]
-        if kept is not None:
-            fresh = kept.unionByName(fresh)
-        kind = batch.schema[time].dataType
-        now_at = F.lit(now).cast(kind)
-        known_at = F.lit(known).cast(kind) if known is not None else None
-        outcomes = _settled(fresh, keys, order, steps, within, known_at, now_at)
-        out.write(outcomes, number)
-        events.write(fresh.filter(F.col(time) + interval(within) > now_at), number)
-        times.write(spark.range(1).select(now_at.alias("watermark")), number)
-
-    return run(stream, handle, f"{folder}/checkpoint", every)
-
-
-def _settled(
-    rows: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    steps: Sequence[Column],
-    within: str,
-    after: Column | None,
-    until: Column | None,
-) -> DataFrame:
-    time = order[0]
-    outcomes = sequences.match_followed_by(rows, keys, order, steps, within)
-    settled = F.when(
-        F.col("outcome") == sequences.MATCH, F.element_at("step_times", -1)
-    ).otherwise(F.col(time) + interval(within))
-    if until is not None:
-        outcomes = outcomes.filter(settled <= until)
-    if after is not None:
-        outcomes = outcomes.filter(settled > after)
-    return outcomes
-
-
-def flush_sequences(
-    spark: SparkSession,
-    keys: Sequence[str],
-    order: Sequence[str],
-    steps: Sequence[Column],
-    within: str,
-    folder: str,
-) -> DataFrame:
-    """Outcomes still open when a bounded stream has ended."""
-    rows = State(f"{folder}/events").read(spark)
-    known = State(f"{folder}/times").read(spark).first()[0]
-    after = F.lit(known).cast(rows.schema[order[0]].dataType)
-    return _settled(rows, keys, order, steps, within, after, None)
-
-
 def rule_stream(
     stream: DataFrame,
     is_rule: Column,
@@ -266,95 +71,28 @@ def rule_stream(
     return run(stream, handle, f"{folder}/checkpoint", every)
 
 
-def count_window_stream(
+def hot_items_stream(
     stream: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    rows: int,
-    outputs: Mapping[str, Mergeable],
+    ts: str,
+    item: Sequence[str],
+    kind: Sequence[str],
+    size: str,
+    slide: str,
+    n: int,
     folder: str,
     *,
-    ts: str | None = None,
-    size: str | None = None,
     delay: str = "0 seconds",
     every: str | None = None,
 ) -> StreamingQuery:
-    """Aggregates of every ``rows`` rows of a key, over all micro-batches.
+    """``state.hot_items`` of every sliding window, written once the window is closed.
 
-    With ``ts`` and ``size`` a key's time window also fires with the rest of its rows once
-    the watermark has passed its end. Handed on are the rows of unfinished groups, fewer
-    than ``rows`` per key and open window.
+    Spark counts in its own state; all counts of a window leave it in one micro-batch.
     """
-    out, state = Output(f"{folder}/rows"), State(f"{folder}/state")
-    times = State(f"{folder}/times")
-    groups = [*keys, "window_start", "window_end"] if size else list(keys)
+    out = Output(f"{folder}/rows")
+    counts = window_stream(stream, ts, size, [*kind, *item], {"n": count()}, delay=delay, slide=slide)
 
     def handle(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        fresh = with_window(batch, ts, size) if size else batch
-        kept, before = state.read(spark, number), times.read(spark, number)
-        if kept is not None:
-            fresh = kept.unionByName(fresh)
-        closed = F.lit(False)
-        if size:
-            reached = batch.agg((F.max(ts) - interval(delay)).alias("watermark"))
-            if before is not None:
-                reached = before.unionByName(reached).agg(F.max("watermark").alias("watermark"))
-            now = reached.first()[0]
-            closed = F.col("window_end") <= F.lit(now).cast(batch.schema[ts].dataType)
-            times.write(reached, number)
-        counted = Ordered.of(fresh, groups, order).number("__n").result()
-        group = F.floor((F.col("__n") - 1) / rows).cast("bigint")
-        sizes = counted.groupBy(*groups).agg(F.floor(F.count("*") / rows).cast("bigint").alias("__full"))
-        framed = join_any_key(counted.withColumn("__group", group), sizes, groups, "inner")
-        done = (F.col("__group") < F.col("__full")) | closed
-        fired = framed.filter(done).groupBy(*groups, "__group").agg(
-            *[m.rows.alias(n) for n, m in outputs.items()]
-        )
-        out.write(fired.drop("__group"), number)
-        state.write(framed.filter(~done).select(*fresh.columns), number)
-
-    return run(stream, handle, f"{folder}/checkpoint", every)
-
-
-class ChangeTable:
-    """A table kept as its last full version and the changes since, one folder per batch.
-
-    Writing a batch costs as much as the batch, not as the table. ``read`` merges;
-    ``compact`` writes a new full version when the changes have become many.
-    """
-
-    def __init__(self, folder: str, keys: Sequence[str], order: Sequence[str], op: str = "op"):
-        self.folder, self.keys, self.order, self.op = folder, list(keys), list(order), op
-
-    def write(self, changes: DataFrame, number: int) -> None:
-        latest = upsert_latest(changes, self.keys, self.order)
-        latest.write.mode("overwrite").parquet(f"{self.folder}/changes/batch={number}")
-
-    def stream(self, changes: DataFrame, every: str | None = None) -> StreamingQuery:
-        return run(changes, self.write, f"{self.folder}/checkpoint", every)
-
-    def _parts(self, spark: SparkSession, until: int | None = None):
-        full = State(f"{self.folder}/full")
-        newest = full.newest(spark, None)
-        base = full.read(spark)
-        changes = read_or_none(spark, f"{self.folder}/changes")
-        if changes is not None and newest is not None:
-            changes = changes.filter(F.col("batch") > newest[0])
-        if changes is not None and until is not None:
-            changes = changes.filter(F.col("batch") <= until)
-        return base, changes
-
-    def _last_changes(self, spark: SparkSession, until: int | None = None) -> DataFrame:
-        base, changes = self._parts(spark, until)
-        frames = [f.drop("batch") for f in (base, changes) if f is not None]
-        both = frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
-        return upsert_latest(both, self.keys, self.order)
-
-    def read(self, spark: SparkSession) -> DataFrame:
-        """The current rows."""
-        return current_table(self._last_changes(spark), self.keys, self.order, self.op)
+        order = [F.col("n").desc(), *[F.col(c) for c in item]]
+        out.write(ranked(batch, [*kind, "window_start", "window_end"], order, n), number)
 
-    def compact(self, spark: SparkSession, until: int) -> None:
-        """A new full version with all changes up to batch ``until``."""
-        State(f"{self.folder}/full").write(self._last_changes(spark, until), until)
+    return run(counts, handle, f"{folder}/checkpoint", every)

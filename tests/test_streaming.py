@@ -5,7 +5,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.functions.mergeable import count, highest, lowest, total
+from millrace.functions.mergeable import count, earliest, highest, latest, lowest, total
 from millrace.functions.numbers import cents
 from millrace.operators import aggregate, cdc, joins, late, project, sequences, state, windows
 from millrace.functions.times import local_day
@@ -31,6 +31,7 @@ def landed(spark, df, folder, by="event_id"):
     for i in range(FILES):
         low, high = last * i // FILES, last * (i + 1) // FILES
         part = df.filter((F.col(by) >= low) & (F.col(by) < high)).coalesce(1)
+        part = part.sortWithinPartitions(F.xxhash64(by))
         part.write.mode("append").parquet(str(folder))
         time.sleep(0.05)
     return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(str(folder))
@@ -99,22 +100,40 @@ def test_window_join(spark, events, tmp_path):
     same(found, batch, "event_id", "purchase_id")
 
 
-def test_running_totals(spark, events, tmp_path, cut_small):
-    outputs = {"n": count(), "s": total(cents("value")), "high": highest("value")}
-    events = with_null_keys(events)
-    finish(carried.running_stream(
-        landed(spark, events, tmp_path / "in"), ["event_type"], ORDER, outputs, str(tmp_path / "out")))
+def test_running_totals(spark, events, tmp_path):
+    events = with_null_keys(events).withColumn("v", F.when(F.col("event_id") % 5 > 0, cents("value")))
+    folds = {"n": ("count", None), "s": ("sum", "v"), "high": ("max", "value"), "low": ("min", "v"),
+             "old": ("first", "v"), "new": ("last", "v")}
+    stream = keyed.running_stream(landed(spark, events, tmp_path / "in"), ["event_type"], ORDER, folds)
+    found = collected(spark, stream, "running_totals", "append")
+    outputs = {"n": count(), "s": total("v"), "high": highest("value"), "low": lowest("v"), "old": earliest("v"),
+               "new": latest("v")}
     batch = aggregate.running(events, ["event_type"], ORDER, outputs)
-    same(Output(f"{tmp_path}/out/rows").read(spark), batch, "event_id", *outputs)
-    sums = aggregate.grouped(events, ["event_type"], outputs)
-    same(State(f"{tmp_path}/out/state").read(spark), sums, "event_type", *outputs)
+    same(found, batch, *events.columns, *outputs)
+    assert found.schema["ts"].dataType == events.schema["ts"].dataType
+
+
+def test_running_totals_refuse_what_they_would_round(spark, events, tmp_path):
+    rows = events.withColumn("v", F.lit("1.5").cast("decimal(10,2)"))
+    with pytest.raises(TypeError, match="decimal"):
+        keyed.running_stream(landed(spark, rows, tmp_path / "in"), ["event_type"], ORDER, {"s": ("sum", "v")})
+
+
+def test_running_halves(spark, tmp_path):
+    rows = spark.createDataFrame([(i, "a", 1.5) for i in range(FILES)], "event_id bigint, k string, v double")
+    stream = keyed.running_stream(landed(spark, rows, tmp_path / "in"), ["k"], ["event_id"], {"s": ("sum", "v")})
+    assert sorted(r["s"] for r in collected(spark, stream, "halves", "append").collect()) == [1.5, 3.0, 4.5, 6.0]
 
 
 def test_threshold(spark, events, tmp_path):
-    finish(carried.threshold_stream(
-        landed(spark, events, tmp_path / "in"), ["event_type"], "day", ORDER, 5, str(tmp_path / "out")))
-    batch = state.threshold_guard(events, ["event_type", "day"], ORDER, 5)
-    same(Output(f"{tmp_path}/out/rows").read(spark), batch, "event_id", "status")
+    """Two zones' days, a null day among them: nothing passes twice."""
+    day = local_day(F.col("ts").cast("timestamp"), "Asia/Shanghai")
+    rows = events.withColumn("day", F.when(F.col("event_id") % 9 > 0, day))
+    stream = keyed.threshold_stream(
+        landed(spark, rows, tmp_path / "in"), ["event_type"], "ts", "day", ORDER, 5, "1 day")
+    found = collected(spark, stream, "threshold", "append")
+    batch = state.threshold_guard(rows, ["event_type", "day"], ORDER, 5)
+    same(found, batch, "event_id", "status")
 
 
 def test_late_rows(spark, events, tmp_path, cut_small):
@@ -127,19 +146,50 @@ def test_late_rows(spark, events, tmp_path, cut_small):
     assert batch.select("status").distinct().count() == 3
 
 
-def test_sequences(spark, events, tmp_path, cut_small):
+def _reached(events, delay):
+    """The watermark after the last file."""
+    return events.agg((F.max("ts") - F.expr(f"INTERVAL {delay}")).alias("w")).first()[0]
+
+
+def test_sequences(spark, events, tmp_path):
     steps = [F.col("event_type") == s for s in ("view", "click", "purchase")]
     keys, within = ["user_id"], "3 days"
     events = events.select("event_id", "ts", "user_id", "event_type")
-    folder = str(tmp_path / "out")
-    finish(carried.sequence_stream(
-        landed(spark, events, tmp_path / "in"), keys, ORDER, steps, within, "1 hour", folder))
-    settled = Output(f"{folder}/rows").read(spark)
-    rest = carried.flush_sequences(spark, keys, ORDER, steps, within, folder)
+    stream = keyed.sequence_stream(landed(spark, events, tmp_path / "in"), keys, ORDER, steps, within, "1 hour")
+    found = collected(spark, stream, "sequences", "append")
     batch = sequences.match_followed_by(events, keys, ORDER, steps, within)
-    columns = ["event_id", "outcome", F.size("step_times").alias("steps")]
-    same(settled.unionByName(rest), batch, *columns)
-    assert settled.filter("outcome = 'match'").count() > 0 and rest.count() > 0
+    matched = F.col("outcome") == "match"
+    settled = F.when(matched, F.element_at("step_times", -1)).otherwise(F.col("ts") + F.expr(f"INTERVAL {within}"))
+    seen = events.filter(steps[0] | steps[1] | steps[2])
+    times = F.col("step_times").cast("string").alias("times")
+    same(found, batch.filter(settled < F.lit(_reached(seen, "1 hour"))), "event_id", "outcome", times)
+    assert 0 < found.filter(matched).count() < found.count() < batch.count()
+
+
+def test_strict_and_counted_sequences(spark, events, tmp_path):
+    keys, within, view = ["user_id"], "2 days", F.col("event_type") == "view"
+    click = F.col("event_type") == "click"
+    stream = landed(spark, events, tmp_path / "in")
+    found = collected(
+        spark, keyed.next_stream(stream, keys, ORDER, view, click, within, "1 hour"), "strict", "append")
+    batch = sequences.match_next(events, keys, ORDER, view, click, within)
+    same(found, batch.filter(F.col("next_time") < F.lit(_reached(events, "1 hour"))), "event_id", "next_time")
+    times = keyed.times_stream(stream, keys, ORDER, view, 3, within, "1 hour")
+    found = collected(spark, times, "counted", "append")
+    batch = sequences.match_times(events, keys, ORDER, view, 3, within)
+    last = _reached(events.filter(view), "1 hour")
+    same(found, batch.filter(F.col("last_time") < F.lit(last)), "event_id", "last_time")
+    assert found.count() > 0
+
+
+def test_hot_items(spark, events, tmp_path):
+    args = ("ts", ["user_id"], ["event_type"], "1 day", "6 hours", 3)
+    finish(carried.hot_items_stream(landed(spark, events, tmp_path / "in"), *args, str(tmp_path / "out")))
+    found = Output(f"{tmp_path}/out/rows").read(spark)
+    closed = F.col("window_end") <= F.lit(_reached(events, "0 seconds"))
+    batch = state.hot_items(events, *args).filter(closed)
+    same(plain(found, "window_end"), batch, "window_end", "event_type", "user_id", "n", "rank")
+    assert found.count() > 0
 
 
 def test_rules(spark, events, tmp_path):
@@ -152,50 +202,33 @@ def test_rules(spark, events, tmp_path):
     same(Output(f"{tmp_path}/out/rows").read(spark), batch, "event_id", "switch")
 
 
-def test_change_table(spark, events, tmp_path):
-    kind = F.col("event_type")
-    log = events.select(
-        "user_id", "ts", "event_id", "value",
-        F.when(kind == "signup", "c").when(kind == "error", "d").otherwise("u").alias("op"))
-    changes = carried.ChangeTable(str(tmp_path / "table"), ["user_id"], ORDER)
-    finish(changes.stream(landed(spark, log, tmp_path / "in")))
-    current = cdc.current_table(log, ["user_id"], ORDER)
-    same(changes.read(spark), current, "user_id", "event_id", "value")
-    changes.compact(spark, until=1)
-    same(changes.read(spark), current, "user_id", "event_id", "value")
-    changes.compact(spark, until=FILES)
-    same(changes.read(spark), current, "user_id", "event_id", "value")
-
-
 def test_repeated_batch_replaces_itself(spark, tmp_path):
     kept = State(str(tmp_path / "state"))
+    assert kept.read(spark, 0) is None
     kept.write(spark.range(1), 0)
-    kept.write(spark.range(2), 1)
-    assert kept.read(spark, 2).count() == 2
-    kept.write(spark.range(9), 2)
-    assert kept.read(spark, 2).count() == 2
-    kept.write(spark.range(3), 2)
-    assert kept.read(spark, 2).count() == 2 and kept.read(spark).count() == 3
-
-
-def test_count_windows(spark, events, tmp_path, cut_small):
-    outputs = {"n": count(), "s": total(cents("value")), "first": lowest("event_id")}
-    events = with_null_keys(events)
-    finish(carried.count_window_stream(
-        landed(spark, events, tmp_path / "in"), ["event_type"], ORDER, 7, outputs, str(tmp_path / "out")))
+    kept.write(spark.range(5, 6), 1)
+    kept.write(spark.range(9, 10), 1)
+    assert kept.read(spark, 1).first()[0] == 0 and kept.read(spark, 2).first()[0] == 9
+
+
+def test_count_windows(spark, events, tmp_path):
+    outputs = {"n": count(), "s": total("v"), "first": lowest("event_id")}
+    folds = {"n": ("count", None), "s": ("sum", "v"), "first": ("min", "event_id")}
+    events = with_null_keys(events).withColumn("v", cents("value"))
+    stream = keyed.count_window_stream(landed(spark, events, tmp_path / "in"), ["event_type"], ORDER, 7, folds)
     batch = windows.count_windows(events, ["event_type"], ORDER, 7, outputs)
-    same(Output(f"{tmp_path}/out/rows").read(spark), batch, "event_type", *outputs)
+    same(collected(spark, stream, "count_windows", "append"), batch, "event_type", *outputs)
 
 
 def test_count_or_time(spark, events, tmp_path):
-    outputs = {"n": count(), "first": lowest("event_id")}
-    finish(carried.count_window_stream(
-        landed(spark, events, tmp_path / "in"), ["event_type"], ORDER, 4, outputs, str(tmp_path / "out"),
-        ts="ts", size="1 day"))
+    outputs, folds = {"n": count(), "first": lowest("event_id")}, {"n": ("count", None), "first": ("min", "event_id")}
+    stream = keyed.count_window_stream(
+        landed(spark, events, tmp_path / "in"), ["event_type"], ORDER, 4, folds, ts="ts", size="1 day")
     batch = windows.count_or_time(events, ["event_type"], "ts", ORDER, "1 day", 4, outputs)
     seen = events.agg(F.max("ts")).first()[0]
     fired = batch.filter((F.col("n") == 4) | (F.col("window_end") <= F.lit(seen)))
-    same(Output(f"{tmp_path}/out/rows").read(spark), fired, "event_type", "window_start", *outputs)
+    found = collected(spark, stream, "count_or_time", "append")
+    same(found, fired, "event_type", "window_start", *outputs)
 
 
 def test_sinks(spark, events, tmp_path):
@@ -231,35 +264,12 @@ def test_word_count(spark, tmp_path):
     same(last, aggregate.word_count(words, "p_name", " "), "word", "n")
 
 
-def test_keyed_totals(spark, events, tmp_path):
-    rows = events.withColumn("v", cents("value")).select("event_id", "event_type", "v")
-    stream = keyed.running_totals(landed(spark, rows, tmp_path / "in"), ["event_type"], "v")
-    found = collected(spark, stream, "keyed_totals", "append")
-    outputs = {"n": count(), "total": total("v")}
-    same(found.groupBy("event_type").agg(F.max("n").alias("n"), F.max("total").alias("total")),
-         aggregate.grouped(rows, ["event_type"], outputs), "event_type", "n", "total")
-    assert found.select("event_type", "n").distinct().count() == rows.count()
-
-
-def test_keyed_guard(spark, events, tmp_path):
-    rows = events.select("event_id", "ts", "event_type")
-    stream = keyed.daily_guard(
-        landed(spark, rows, tmp_path / "in"), ["event_type"], "ts", 5, "Asia/Shanghai", "2 days")
-    found = collected(spark, stream, "keyed_guard", "append")
-    day = local_day("ts", "Asia/Shanghai").alias("day")
-    status = F.when(F.col("alert"), "alert").otherwise("pass").alias("status")
-    counted = found.select("event_type", day, status).groupBy("event_type", "day", "status").count()
-    batch = rows.withColumn("ts", F.col("ts").cast("timestamp")).withColumn("day", local_day("ts", "Asia/Shanghai"))
-    batch = state.threshold_guard(batch, ["event_type", "day"], ORDER, 5)
-    same(counted, batch.groupBy("event_type", "day", "status").count(), "event_type", "day", "status", "count")
-
-
 def test_visitors(spark, events, tmp_path):
-    visits = events.select("event_id", "ts", "user_id", "day", cents("value").alias("stay"))
-    finish(carried.visitor_stream(
-        landed(spark, visits, tmp_path / "in"), ["user_id"], "day", ORDER, "stay", str(tmp_path / "out")))
+    visits = events.select("event_id", "ts", "user_id", "day", cents("value").cast("bigint").alias("stay"))
+    stream = keyed.visitor_stream(
+        landed(spark, visits, tmp_path / "in"), ["user_id"], "ts", "day", ORDER, "stay", "1 day")
     batch = state.visitor_radar(visits, ["user_id"], "day", ORDER, "stay")
-    same(Output(f"{tmp_path}/out/rows").read(spark), batch, "event_id", "visit_num", "total_stay_time")
+    same(collected(spark, stream, "visitors", "append"), batch, "event_id", "visit_num", "total_stay_time")
 
 
 def test_stateless_operators_on_a_stream(spark, tmp_path):
@@ -278,25 +288,12 @@ def test_stateless_operators_on_a_stream(spark, tmp_path):
 def test_stream_goes_on_after_a_restart(spark, events, tmp_path):
     rows = events.select("event_id", "ts", "event_type")
     folder, source = str(tmp_path / "out"), tmp_path / "in"
-    outputs = {"n": count()}
     middle = rows.agg(F.max("event_id")).first()[0] // 2
     for part in (rows.filter(F.col("event_id") <= middle), rows.filter(F.col("event_id") > middle)):
         part.coalesce(1).write.mode("append").parquet(str(source))
         stream = spark.readStream.schema(rows.schema).parquet(str(source))
-        finish(carried.running_stream(stream, ["event_type"], ORDER, outputs, folder))
-    batch = aggregate.running(rows, ["event_type"], ORDER, outputs)
-    same(Output(f"{folder}/rows").read(spark), batch, "event_id", "n")
-
-
-def test_batch_that_runs_again(spark, events, tmp_path):
-    """The second run of a micro-batch starts from the same state and replaces the first."""
-    rows = events.select("event_id", "ts", "event_type").orderBy("event_id")
-    out, kept = Output(str(tmp_path / "rows")), State(str(tmp_path / "state"))
-    outputs = {"n": count()}
-    for number, (low, high) in enumerate([(0, 300), (300, 700), (300, 700), (700, 10_000)]):
-        number -= number > 1
-        batch = rows.filter((F.col("event_id") >= low) & (F.col("event_id") < high))
-        found, after = carried._carry(batch, kept.read(spark, number), ["event_type"], ORDER, outputs)
-        out.write(found, number)
-        kept.write(after, number)
-    same(out.read(spark), aggregate.running(rows, ["event_type"], ORDER, outputs), "event_id", "n")
+        counted = keyed.running_stream(stream, ["event_type"], ORDER, {"n": ("count", None)})
+        writer = counted.writeStream.format("parquet").option("checkpointLocation", f"{folder}/checkpoint")
+        finish(writer.trigger(availableNow=True).start(f"{folder}/rows"))
+    batch = aggregate.running(rows, ["event_type"], ORDER, {"n": count()})
+    same(spark.read.parquet(f"{folder}/rows"), batch, "event_id", "n")
