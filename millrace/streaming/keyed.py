@@ -246,6 +246,7 @@ class Replay(Keyed):
         for row in rows:
             micros = row.o0
             fresh.setdefault(-(-micros // 1000), []).append([micros, row.row, row.mask, self.place(row)])
+            self.expect(micros, row.mask)
         for ms, events in fresh.items():
             if self.waiting.containsKey((ms,)):
                 events = json.loads(self.waiting.getValue((ms,))[0]) + events
@@ -267,6 +268,10 @@ class Replay(Keyed):
         self.state.update((json.dumps(known),)) if known else self.state.clear()
         return iter(found)
 
+    def expect(self, micros: int, mask: int) -> None:
+        """Set further timers for an event. One set later, when the watermark may already
+        have passed it, would fire a micro-batch late, or never at the end of a stream."""
+
     def next(self, known: list, event: list, found: list) -> list:
         raise NotImplementedError
 
@@ -280,6 +285,11 @@ class Following(Replay):
     def __init__(self, steps: int, within: int, inclusive: bool) -> None:
         self.steps, self.within, self.inclusive = steps, within, inclusive
 
+    def expect(self, micros: int, mask: int) -> None:
+        if mask & 1:
+            # The next whole millisecond after the last one that could complete it.
+            self.handle.registerTimer((micros + self.within) // 1000 + 1)
+
     def next(self, known: list, event: list, found: list) -> list:
         micros, row, mask = event
         known = self.until(known, micros, found)
@@ -293,8 +303,6 @@ class Following(Replay):
                 still.append([start, text, times])
         if mask & 1:
             still.append([micros, row, []])
-            # The next whole millisecond after the last one that could complete it.
-            self.handle.registerTimer((micros + self.within) // 1000 + 1)
         return still
 
     def until(self, known: list, micros: int, found: list) -> list:
