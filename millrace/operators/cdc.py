@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.state import ranked
+from millrace.sources.lines import parse_lines
 
 DELETED = ("d", "delete")
 
@@ -93,6 +94,16 @@ def to_cells(df: DataFrame, rowkey: Column, columns: Sequence[str]) -> DataFrame
     )
 
 
+def line_cells(lines: DataFrame, order: Sequence[str], line: str = "line", separator: str = ",") -> DataFrame:
+    """The last value per (rowkey, qualifier) of lines with just these three fields.
+
+    Lines of other shapes are left out, as are empty values; ``order`` tells which is last.
+    """
+    cells = parse_lines(lines.select(line, *order), "rowkey string, qualifier string, value string", line, separator)
+    cells = cells.filter(F.col("value") != "")
+    return upsert_latest(cells, ["rowkey", "qualifier"], order).drop(*order)
+
+
 def from_cells(
     cells: DataFrame,
     types: Mapping[str, str],

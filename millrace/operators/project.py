@@ -69,9 +69,16 @@ def placement(key: str, places: Mapping[str, int], other: int, partitions: int)
 
 
 def place(
-    df: DataFrame, key: str, places: Mapping[str, int], other: int, partitions: int
+    df: DataFrame, key: str, places: Mapping[str, int], other: int, partitions: int, spread: int = 1
 ) -> DataFrame:
-    return df.repartitionById(partitions, placement(key, places, other, partitions))
+    """Rows in the partition of their key; place p owns ``spread`` of them, from p * spread.
+
+    A key is in one task unless it is spread, by a hash of the row.
+    """
+    place = placement(key, places, other, partitions)
+    if spread > 1:
+        place = (place * spread + F.pmod(F.xxhash64(*df.columns), F.lit(spread))).cast("int")
+    return df.repartitionById(partitions * spread, place)
 
 
 def with_resource(

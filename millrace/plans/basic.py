@@ -14,6 +14,7 @@ from millrace.operators.bitmap import (
 )
 from millrace.operators.joins import keep_matching
 from millrace.plans.registry import DAY, bucket, query, table
+from millrace.session import pin
 from millrace.sinks.writers import as_lines, for_target, in_order, queue_records, routed
 from millrace.sources.lines import parse_lines, rejected_lines as rejected
 
@@ -319,7 +320,8 @@ f AS (SELECT DISTINCT c_mktsegment AS name FROM customer WHERE c_mktsegment NOT
 SELECT name, id FROM o
 UNION ALL SELECT name, row_number() OVER (ORDER BY name) + (SELECT max(id) FROM o) FROM f""")
 def dictionary_extended(spark, sf):
-    old = number_values(table(spark, sf, "orders").withColumnRenamed("o_orderpriority", "name"), "name")
+    # Read three times below: the highest number, what is known, and all of it.
+    old = pin(number_values(table(spark, sf, "orders").withColumnRenamed("o_orderpriority", "name"), "name"))
     later = [
         table(spark, sf, "customer").select(F.col("c_mktsegment").alias("name")),
         table(spark, sf, "part").select(F.col("p_name").alias("name")),
@@ -329,7 +331,8 @@ def dictionary_extended(spark, sf):
 
 
 def _encoded(spark, sf):
-    users = _users(spark, sf)
+    # A bitmap is a set, so each user counts once per type before the join.
+    users = _users(spark, sf).distinct()
     return encoded(users, number_values(users, "name"), "name")
 
 
@@ -350,3 +353,21 @@ SELECT event_type, (id - 1) // 32768 + 1 AS bucket, string_agg(id, ',' ORDER BY
 FROM (SELECT DISTINCT event_type, id FROM e) GROUP BY 1, 2""")
 def bitmap_text(spark, sf):
     return number_lists(_encoded(spark, sf), ["event_type"])
+
+
+@query("""
+WITH d AS (SELECT name, row_number() OVER (ORDER BY name) AS id
+  FROM (SELECT DISTINCT 'u' || user_id AS name FROM events WHERE event_type <> 'error')),
+e AS (SELECT event_type, id FROM events LEFT JOIN d ON name = CASE WHEN event_type <> 'error' THEN 'u' || user_id END)
+SELECT event_type, count(*) AS n, count(DISTINCT id) AS known FROM e GROUP BY event_type""")
+def encoded_rows(spark, sf):
+    """Rows without a value stay, without a number."""
+    users = _users(spark, sf).withColumn("name", F.when(F.col("event_type") != "error", F.col("name")))
+    rows = encoded(users, number_values(users, "name"), "name")
+    return rows.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("id").alias("known"))
+
+
+@query("SELECT event_id, event_type FROM events WHERE contains(props, '7')")
+def poisonous_rows(spark, sf):
+    _, bad = project.guard(table(spark, sf, "events"), F.col("props").contains("7"))
+    return bad.select("event_id", "event_type")

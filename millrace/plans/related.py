@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.functions.json import path, record
+from millrace.functions.mergeable import count
 from millrace.functions.times import wall_millis, with_window
-from millrace.operators import cdc, joins, late, sequences
+from millrace.operators import aggregate, cdc, joins, late, sequences
 from millrace.plans.registry import DAY, bucket, query, table
 from millrace.plans.timed import ARRIVAL, ARRIVED, arrived
 
@@ -323,10 +324,10 @@ def hash_upsert(spark, sf):
 SELECT 'day_user_cnt-' || CAST(CAST(ts AS DATE) AS VARCHAR) || '-' || user_id AS hash, event_type AS field,
   CAST(count(*) AS VARCHAR) AS value FROM events GROUP BY 1, 2""")
 def composite_hash(spark, sf):
-    rows = table(spark, sf, "events").withColumn("day", F.to_date("ts").cast("string"))
-    counts = rows.groupBy("day", "user_id", "event_type").agg(F.count(F.lit(1)).alias("n"))
+    rows = _sequence_events(spark, sf).withColumn("day", F.to_date("ts").cast("string"))
+    counts = aggregate.running(rows, ["day", "user_id", "event_type"], ["ts", "event_id"], {"n": count()})
     name = cdc.composite_name("day_user_cnt", "day", F.col("user_id").cast("string"))
-    return cdc.hash_fields(counts, name, "event_type", "n", ["n"])
+    return cdc.hash_fields(counts, name, "event_type", "n", ["ts", "event_id"])
 
 
 CELLS = """

@@ -47,20 +47,18 @@ def tumbling_all(spark, sf):
 SELECT {bucket('ts', 10)} AS window_start, {bucket('ts', 10)} + INTERVAL 10 SECOND AS window_end, user_id,
   {MONEY} AS total FROM events GROUP BY ALL""")
 def tumble_sql(spark, sf):
-    _events(spark, sf).createOrReplaceTempView("millrace_buys")
     return spark.sql("""
         SELECT window.start AS window_start, window.end AS window_end, user_id,
           CAST(sum(CAST(round(value * 100) AS BIGINT)) AS DOUBLE) / 100 AS total
-        FROM millrace_buys GROUP BY window(ts, '10 seconds'), user_id""")
+        FROM {buys} GROUP BY window(ts, '10 seconds'), user_id""", buys=_events(spark, sf))
 
 
 @query(_slides(10, 2) + f"SELECT window_start, window_end, user_id, {MONEY} AS total FROM w GROUP BY ALL")
 def hop_sql(spark, sf):
-    _events(spark, sf).createOrReplaceTempView("millrace_buys")
     return spark.sql("""
         SELECT window.start AS window_start, window.end AS window_end, user_id,
           CAST(sum(CAST(round(value * 100) AS BIGINT)) AS DOUBLE) / 100 AS total
-        FROM millrace_buys GROUP BY window(ts, '10 seconds', '2 seconds'), user_id""")
+        FROM {buys} GROUP BY window(ts, '10 seconds', '2 seconds'), user_id""", buys=_events(spark, sf))
 
 
 @query(_slides(6 * HOUR, HOUR) + "SELECT window_end, event_type, count(*) AS n FROM w GROUP BY ALL")

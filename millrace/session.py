@@ -53,9 +53,17 @@ def pin(df: DataFrame) -> DataFrame:
     cache would not; its row count is free, and each job reads only the columns it needs.
     It is deleted when the driver's JVM ends.
     """
-    spark = df.sparkSession
+    path = scratch(df.sparkSession)
+    df.write.mode("append").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new folder in the shared one, deleted when the driver's JVM ends."""
     path = f"{shared_folder(spark)}/millrace-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    written = spark._jvm.org.apache.hadoop.fs.Path(path)
-    written.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(written)
-    return spark.read.schema(df.schema).parquet(path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    # Only what exists can be marked.
+    files.mkdirs(folder)
+    files.deleteOnExit(folder)
+    return path

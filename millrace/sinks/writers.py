@@ -36,17 +36,18 @@ def routed(df: DataFrame, line: str, word: str, hit: str, other: str) -> DataFra
 
 
 def write_routed(
-    df: DataFrame, line: str, word: str, hit: str, other: str, path: str, files: int = 1
+    df: DataFrame, line: str, word: str, hit: str, other: str, path: str, files: int | None = None
 ) -> None:
     """Lines into one folder per route, sorted over all files of a route, duplicates kept.
 
-    Raise ``files`` with the amount of data: a route that holds most of the lines is
-    spread over many of them.
+    A route that holds most of the lines is spread over many files. Without ``files`` their
+    number follows the session's shuffle partitions and the amount of data.
     """
     rows = routed(df.select(F.col(line).alias("value")), "value", word, hit, other)
     spread = rows.withColumn("__spread", F.monotonically_increasing_id())
+    numbers = [] if files is None else [files]
     (
-        spread.repartitionByRange(files, "bucket", "value", "__spread")
+        spread.repartitionByRange(*numbers, "bucket", "value", "__spread")
         .sortWithinPartitions("bucket", "value")
         .drop("__spread")
         .write.partitionBy("bucket")

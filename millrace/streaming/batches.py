@@ -16,7 +16,7 @@ Handler = Callable[[DataFrame, int], None]
 
 
 def run(
-    stream: DataFrame, handle: Handler, checkpoint: str, every: str | None = None
+    stream: DataFrame, handle: Handler, checkpoint: str, every: str | None = None, mode: str = "append"
 ) -> StreamingQuery:
     """Start a query; without ``every`` it takes what is there and ends."""
 
@@ -27,7 +27,7 @@ def run(
         finally:
             batch.unpersist()
 
-    writer = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
+    writer = stream.writeStream.foreachBatch(on_batch).outputMode(mode).option("checkpointLocation", checkpoint)
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return writer.trigger(**trigger).start()
 
