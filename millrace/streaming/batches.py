@@ -53,6 +53,15 @@ class Output:
     def read(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(self.folder).drop("batch")
 
+    def stream(self, spark: SparkSession) -> DataFrame:
+        """The rows as a stream, once some are written; in the order of the batches.
+
+        A batch that runs again after a failure writes new files, which such a stream takes
+        for new rows: drop repeated ones by an id where that may happen.
+        """
+        schema = self.read(spark).schema
+        return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1000).parquet(self.folder).drop("batch")
+
 
 class State:
     """One small row handed on between micro-batches, in a folder per batch.

@@ -167,6 +167,17 @@ class Folding(Keyed):
         return tuple(FOLDS[k](seen[i], row[f"v{i}"]) for i, k in enumerate(self.kinds))
 
 
+class Before(Folding):
+    """The values of the row before, null ones too, on every row."""
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        seen = tuple(self.state.get()) if self.state.exists() else (None,) * len(self.kinds)
+        for row in sorted(rows, key=self.place):
+            yield self.result(row.row, *seen)
+            seen = tuple(row[f"v{i}"] for i in range(len(self.kinds)))
+        self.state.update(seen)
+
+
 class Numbering(Keyed):
     """A row's number within its day, and the total of a value over all days.
 
@@ -356,6 +367,14 @@ def running_stream(
     return _apply(stream, keys, order, values, Folding(kinds, list(types.values())), types)
 
 
+def previous_stream(
+    stream: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Mapping[str, Column]
+) -> DataFrame:
+    """Every row with values of the row before it in its key; null on the first."""
+    values, kinds, types = _folds(stream, {n: ("last", c) for n, c in columns.items()})
+    return _apply(stream, keys, order, values, Before(kinds, list(types.values())), types)
+
+
 def _numbered(
     stream: DataFrame, keys: Sequence[str], ts: str, day: str, order: Sequence[str], delay: str, stay: Column
 ) -> DataFrame:

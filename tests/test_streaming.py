@@ -297,3 +297,41 @@ def test_stream_goes_on_after_a_restart(spark, events, tmp_path):
         finish(writer.trigger(availableNow=True).start(f"{folder}/rows"))
     batch = aggregate.running(rows, ["event_type"], ORDER, {"n": count()})
     same(spark.read.parquet(f"{folder}/rows"), batch, "event_id", "n")
+
+
+def test_pair_rule(spark, events, tmp_path):
+    is_rule = F.col("event_type") == "signup"
+    k = F.get_json_object("props", "$.k").cast("int")
+    actions = F.array(*[F.lit(a) for a in ("error", "click", "view", "purchase")])
+    connected = with_null_keys(events).withColumns({
+        "first_action": F.when(is_rule, F.get(actions, k % 4)),
+        "second_action": F.when(is_rule, F.get(actions, F.floor(k / 4).cast("int") % 4)),
+    })
+    stream = landed(spark, connected, tmp_path / "in")
+    finish(carried.pair_stream(stream, is_rule, ["user_id"], ORDER, "event_type", str(tmp_path / "out")))
+    data = connected.filter(F.coalesce(~is_rule, F.lit(True))).drop("first_action", "second_action")
+    rules = connected.filter(is_rule).select(*ORDER, "first_action", "second_action")
+    batch = joins.paired_actions(data, rules, ["user_id"], ORDER, "event_type")
+    assert batch.count() > 0
+    same(Output(f"{tmp_path}/out/rows").read(spark), batch, "event_id", "user_id", "first_action", "second_action")
+
+
+def test_late_join(spark, events, tmp_path):
+    arrival, sides = ["arrival", "event_id"], {}
+    for kind in ("click", "purchase"):
+        rows = events.filter(F.col("event_type") == kind)
+        stream = landed(spark, rows, tmp_path / f"in_{kind}", "arrival")
+        finish(carried.late_split_stream(stream, "ts", arrival, "1 day", "0 seconds", f"{tmp_path}/{kind}"))
+        sides[kind] = late.classify(rows, "ts", arrival, "1 day")
+    left, right = [Output(f"{tmp_path}/{kind}/rows").stream(spark) for kind in sides]
+    named = {"event_id": "purchase_id"}
+    found = collected(spark, carried.late_join_stream(left, right, ["user_id"], "ts", "1 day", named), "late_join", "append")
+    on_time = sides["purchase"].filter(F.col("status") == late.ON_TIME)
+    on_time = on_time.select("user_id", "window_start", F.col("event_id").alias("purchase_id"))
+    batch = joins.on_time_join(sides["click"], on_time, ["user_id"])
+    # Rows without a partner wait for the slower side to pass their window.
+    last = min(side.agg(F.max("ts")).first()[0] for side in sides.values())
+    alone = F.col("purchase_id").isNull() & (F.col("status") == late.ON_TIME)
+    batch = batch.filter(~alone | (F.col("window_end") <= F.lit(last)))
+    assert {r[0] for r in batch.select("status").distinct().collect()} == {late.ON_TIME, late.LATE}
+    same(found, batch, "event_id", "purchase_id", "status")
