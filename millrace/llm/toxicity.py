@@ -198,16 +198,23 @@ def _folded(kernel: Kernel, alphabet: str, w: np.ndarray) -> Model:
 
 def _curve(decisions: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
     """Logistic regression of the label on the documents' worst decisions."""
-    slope, offset = 1.0, 0.0
+    x = np.stack([decisions, np.ones_like(decisions)])
+
+    def loss(at: np.ndarray) -> float:
+        z = at @ x
+        return float(np.sum(np.logaddexp(0, z) - toxic * z) + 5e-4 * at @ at)
+
+    curve = np.array([1.0, 0.0])
     for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(slope * decisions + offset, -30, 30)))
-        x = np.stack([decisions, np.ones_like(decisions)])
-        grad = x @ (p - toxic) + np.array([1e-3 * slope, 0])
+        p = 1 / (1 + np.exp(-np.clip(curve @ x, -30, 30)))
         hess = (x * (p * (1 - p))) @ x.T + 1e-3 * np.eye(2)
-        step = np.linalg.solve(hess, grad)
-        slope, offset = slope - step[0], offset - step[1]
-    slope = max(slope, 1e-3)
-    return float(slope), float(-offset / slope)
+        step = np.linalg.solve(hess, x @ (p - toxic) + 1e-3 * curve)
+        # Labels that the decisions split cleanly make whole steps leap too far.
+        while loss(curve - step) > loss(curve) and np.abs(step).max() > 1e-9:
+            step /= 2
+        curve = curve - step
+    slope = max(curve[0], 1e-3)
+    return float(slope), float(-curve[1] / slope)
 
 
 def fit(examples: list[tuple[str, int]]) -> Model:

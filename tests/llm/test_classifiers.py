@@ -124,3 +124,9 @@ def test_samples_are_bounded_and_even(spark):
     labels = spark.range(300).select(F.col("id").alias("doc_id"), (F.col("id") % 10 == 0).cast("int").alias("quality"))
     pairs = labelled.sample(docs, labels.union(labels), "quality", 60, F.col("doc_id"))
     assert sum(y for _, y in pairs) <= 30 and len(pairs) <= 60 and len({v for v, _ in pairs}) == len(pairs)
+
+
+def test_calibration_of_cleanly_split_labels():
+    decisions = np.array([-1.0] * 50 + [-0.9] * 950 + [0.8] * 3 + [1.0] * 20)
+    slope, middle = toxicity._curve(decisions, (decisions > 0).astype(float))
+    assert slope > 1 and -0.9 < middle < 0.8
