@@ -9,7 +9,9 @@ are equally near. Where the page marks its article, the edges of that element co
 decided neighbours: text on the inside, boilerplate on the outside. Where nothing is
 decided, what is left is text.
 
-Comments, scripts, styles, heads and unfinished tags at a page's end are no text. Character
+Comments, scripts, styles, heads and unfinished tags at a page's end are no text, nor is what
+closed noscript, template, svg, iframe and object elements hold; of these, one that is not
+closed within its parent drops nothing. A head ends at the first tag or text that cannot be in one. Character
 references are decoded, white space within a block becomes one space, blocks are joined
 in page order by an empty line.
 
@@ -46,8 +48,14 @@ HINTS = frozenset(
     breadcrumbs pagination footer masthead cookie cookies consent gdpr notice banner popup modal newsletter subscribe
     signup login share sharing social related recommended comment comments disqus contentinfo complementary search""".split()
 )
-#: Elements whose content is not text, in full.
-_DROPPED = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|head|noscript|template|svg|iframe|object)\b.*?(?:</\1\s*>|\Z)", re.I | re.S)
+#: What is not text, in full, and runs to the end of the page where it is left open.
+_DROPPED = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style)\b.*?(?:</\1\s*>|\Z)", re.I | re.S)
+#: Elements whose content is not text, if they are closed.
+_UNSEEN = frozenset("noscript template svg iframe object".split())
+_ANY_UNSEEN = re.compile(r"<(?:head|noscript|template|svg|iframe|object)\b", re.I)
+#: What a head can hold; anything else ends it.
+_IN_HEAD = frozenset("head base basefont bgsound link meta title noscript template noframes".split())
+_TITLE_END = re.compile(r"</title\s*>|</?(?:head|body)\b", re.I)
 _TAG = re.compile(r"""<(/?)([a-zA-Z][a-zA-Z0-9-]*)((?:[^<>"']|"[^"]*"|'[^']*')*)>|<[!?/a-zA-Z][^<>]*(?:>|\Z)""")
 
 _MARKS = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -96,8 +104,75 @@ def _says_boilerplate(name: str, attributes: str) -> bool:
     return False
 
 
-def blocks_of(page: str) -> list[Block]:
+def _closed(tags: list[re.Match]) -> dict[int, int]:
+    """Start of each unseen element that is closed within its parent, and its end."""
+    found: dict[int, int] = {}
+    open_: list[tuple[str, int]] = []
+    count: dict[str, int] = {}
+    for tag in tags:
+        name = (tag[2] or "").lower()
+        if not name or name in _INLINE or name in _VOID or name == "p" or name == "svg" and tag[3].endswith("/"):
+            continue
+        if not tag[1]:
+            open_.append((name, tag.start()))
+            count[name] = count.get(name, 0) + 1
+        elif count.get(name):
+            while True:
+                last, start = open_.pop()
+                count[last] -= 1
+                if last == name:
+                    break
+            if name in _UNSEEN:
+                found[start] = tag.end()
+    return found
+
+
+def _head_end(page: str, tags: list[re.Match], k: int, closed: dict[int, int]) -> int:
+    """Where the head that opens with tag ``k`` ends."""
+    at, title, ends = tags[k].end(), False, True
+    for n in range(k + 1, len(tags)):
+        tag = tags[n]
+        if tag.start() < at:
+            continue
+        name = (tag[2] or "").lower()
+        if not title and page[at : tag.start()].strip():
+            return at
+        if name == "head" and tag[1]:
+            return tag.end()
+        if name and (name in ("body", "html") if tag[1] else name not in _IN_HEAD):
+            return tag.start()
+        at = closed.get(tag.start(), tag.end())
+        title = name == "title" and not tag[1]
+        if title and ends:
+            end = _TITLE_END.search(page, at)
+            ends = end is not None
+            if end and end[0].lower().startswith("</title"):
+                at, title = end.end(), False
+    return len(page) if title or not page[at:].strip() else at
+
+
+def _seen(page: str) -> str:
+    """The page without what is not text."""
     page = _DROPPED.sub(" ", page)
+    if not _ANY_UNSEEN.search(page):
+        return page
+    tags = list(_TAG.finditer(page))
+    closed = _closed(tags)
+    parts, at = [], 0
+    for k, tag in enumerate(tags):
+        if tag.start() < at:
+            continue
+        end = closed.get(tag.start())
+        if not tag[1] and (tag[2] or "").lower() == "head":
+            end = _head_end(page, tags, k, closed)
+        if end is not None:
+            parts += [page[at : tag.start()], " "]
+            at = end
+    return "".join([*parts, page[at:]])
+
+
+def blocks_of(page: str) -> list[Block]:
+    page = _seen(page)
     out: list[Block] = []
     open_: list[tuple[str, bool, int]] = []
     inline: list[bool] = []

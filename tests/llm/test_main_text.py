@@ -55,3 +55,21 @@ def test_odd_rows(spark):
     got = [r[0] for r in df.select(main_text.extracted(F.col("html"))).collect()]
     assert got[:2] == ["", ""] and got[2] == "\n\n".join([PROSE] * 2000) and got[3] == ""
     assert df.where("false").select(main_text.extracted(F.col("html"))).collect() == []
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<html><head><title>t</title><body><article><p>Hello", "Hello"),
+        ("<html><head><title>t</title><meta x=1><article><p>Hello</p></article>", "Hello"),
+        ("<head><title>a <b> c</title>Hello <b>there</b>", "Hello there"),
+        ("<head><title>t<body><p>Hello", "Hello"),
+        ("<head><title>t</title><noscript><p>no</noscript></head><p>Hello", "Hello"),
+        ("<head><title>t</title>", ""),
+        *((f"<article><p>One</p><{e}><p>Two</p></article><div><{e}>no</{e}></div>", "One\n\nTwo") for e in ("noscript", "template", "svg", "iframe", "object")),
+        ("<article><p>One <svg><g>no</g></svg> two</p><object><object>no</object>no</object><p>Three", "One two\n\nThree"),
+        ("<article><p>One</p><svg/><p>Two", "One\n\nTwo"),
+    ],
+)
+def test_elements_left_open(page, text):
+    assert main_text.main_text(page) == text
