@@ -2,8 +2,10 @@
 
 Markup cuts a page into blocks. The first pass decides those that tell by themselves: a
 block is boilerplate inside an element that is (menus, headers, footers, sidebars, forms,
-or one whose class or role says so), or if mostly links; it is text if long and rich in
-stop words. All other blocks are short or ambiguous; in the second pass they take the
+or one whose class, id or role says so), or if mostly links; it is text if long and rich in
+stop words. A name that only says so in part (``search-box``) holds where no block in the
+element is text by itself; no name holds against an article element, unless there is one
+elsewhere with text, nor where nothing would be left as text. All other blocks are short or ambiguous; in the second pass they take the
 label of the nearest decided neighbours, the stop-word richer one's if these differ and
 are equally near. Where the page marks its article, the edges of that element count as
 decided neighbours: text on the inside, boilerplate on the outside. Where nothing is
@@ -59,6 +61,9 @@ _TITLE_END = re.compile(r"</title\s*>|</?(?:head|body)\b", re.I)
 _TAG = re.compile(r"""<(/?)([a-zA-Z][a-zA-Z0-9-]*)((?:[^<>"']|"[^"]*"|'[^']*')*)>|<[!?/a-zA-Z][^<>]*(?:>|\Z)""")
 
 _MARKS = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+#: A name that begins or ends so tells of the page, not of the element.
+_STATES, _PAGES = frozenset("has no not with without".split()), frozenset(("page", "layout"))
+_HREF = re.compile(r"""(?:^|[\s"'/])href(?=[\s=/]|$)""", re.I)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
 _WORD = re.compile(r"[^\W\d_]+")
 #: Inline elements don't end a block.
@@ -79,6 +84,12 @@ class Block:
     boilerplate: bool
     article: int
     """Number of the article element that it is in, 0 outside."""
+    named: int = 0
+    """Number of the innermost element around it whose name says boilerplate in part, 0 without."""
+    said: int = 0
+    """The same of those whose name says it in full."""
+    outside: tuple[int, int] = (0, 0)
+    """``named`` and ``said`` around its article element."""
 
     def label(self) -> bool | None:
         if self.boilerplate or self.linked > LINKS * len(self.text):
@@ -90,18 +101,57 @@ class Block:
         return True if stops >= STOPS and len(self.text) >= LONG or stops >= 1.2 * STOPS else None
 
 
-def _says_boilerplate(name: str, attributes: str) -> bool:
-    if name in _ARTICLE or name in ("body", "html"):
-        return False
-    if not attributes:
-        return False
-    if _HIDDEN.search(attributes):
-        return True
+def _hint(name: str, attributes: str) -> int:
+    """Whether the element's names say boilerplate: 2 in full, 1 in part, 0 not."""
+    if name in ("body", "html") or not attributes:
+        return 0
+    found = 0
     for match in _MARKS.finditer(attributes):
-        value = match[1] or match[2] or match[3] or ""
-        if any(part in HINTS for part in re.split(r"[^a-z]+", value.lower())):
-            return True
-    return False
+        for word in (match[1] or match[2] or match[3] or "").lower().split():
+            parts = [part for part in re.split(r"[^a-z]+", word) if part]
+            hints = sum(part in HINTS for part in parts)
+            if hints and parts[0] not in _STATES and parts[-1] not in _PAGES:
+                found = max(found, 2 if hints == len(parts) else 1)
+    return found
+
+
+def _hidden(name: str, attributes: str) -> bool:
+    return bool(attributes) and name not in _ARTICLE and name not in ("body", "html") and bool(_HIDDEN.search(attributes))
+
+
+def _confirm(blocks: list[Block], parents: list[int]) -> None:
+    """Make those blocks boilerplate whose elements' names say so, where the blocks agree.
+
+    ``parents`` has, for each partly named element, the next one around it.
+    """
+    rich = [block.label() is True for block in blocks]
+    # An article in named elements stands by itself if no other one has text.
+    if not any(text and block.article and block.outside == (0, 0) for block, text in zip(blocks, rich)):
+        for block in blocks:
+            if block.article:
+                if block.named == block.outside[0]:
+                    block.named = 0
+                block.outside = (0, 0)
+    unconfirmed = {0}
+    for block, text in zip(blocks, rich):
+        at = block.named
+        while text and at not in unconfirmed:
+            unconfirmed.add(at)
+            at = parents[at]
+    marked = any(block.article and not block.outside[1] and not block.boilerplate for block in blocks)
+
+    def says(block: Block) -> bool:
+        return bool(block.said or block.outside[1]) or block.named not in unconfirmed
+
+    def left(block: Block, text: bool) -> bool:
+        return not block.boilerplate and not says(block) and (bool(block.article) if marked else text)
+
+    free = set()
+    if not any(map(left, blocks, rich)):
+        free = {block.said for block, text in zip(blocks, rich) if text and (block.article or not marked) and not block.outside[1]}
+    for block in blocks:
+        if says(block) and (block.outside[1] or block.said not in free or block.named not in unconfirmed):
+            block.boilerplate = True
 
 
 def _closed(tags: list[re.Match]) -> dict[int, int]:
@@ -173,18 +223,29 @@ def _seen(page: str) -> str:
 
 def blocks_of(page: str) -> list[Block]:
     page = _seen(page)
+    tags = list(_TAG.finditer(page))
+    # Links that are closed before the next one begins.
+    whole, end = set(), False
+    for tag in reversed(tags):
+        if tag[2] in ("a", "A"):
+            if end and not tag[1]:
+                whole.add(tag.start())
+            end = bool(tag[1])
     out: list[Block] = []
-    open_: list[tuple[str, bool, int]] = []
-    inline: list[bool] = []
+    # Name, boilerplate, article, innermost element named in part, in full, both around the article.
+    outer = ("", False, 0, 0, 0, (0, 0))
+    open_: list[tuple[str, bool, int, int, int, tuple[int, int]]] = []
+    parents = [0]
     parts: list[str] = []
-    linked = links = articles = at = 0
+    linked = articles = names = at = 0
+    #: Of text: not, to the end of the block, or to the end of the link.
+    links = 0
 
     def end_block() -> None:
         nonlocal linked
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
-            _, bad, article = open_[-1] if open_ else ("", False, 0)
-            out.append(Block(text, min(linked, len(text)), bad, article))
+            out.append(Block(text, min(linked, len(text)), *(open_[-1] if open_ else outer)[1:]))
         parts.clear()
         linked = 0
 
@@ -195,7 +256,7 @@ def blocks_of(page: str) -> list[Block]:
             if links:
                 linked += len(" ".join(html.unescape(text).split()))
 
-    for tag in _TAG.finditer(page):
+    for tag in tags:
         add(page[at : tag.start()])
         at = tag.end()
         name = (tag[2] or "").lower()
@@ -203,11 +264,13 @@ def blocks_of(page: str) -> list[Block]:
             continue
         if name in _INLINE:
             if name == "a":
-                links = max(links + (-1 if tag[1] else 1), 0)
+                links = 0 if tag[1] or not _HREF.search(tag[3]) else 2 if tag.start() in whole else 1
             elif name == "br":
                 parts.append(" ")
             continue
         end_block()
+        # A link that is left open ends with its block.
+        links = 0 if links == 1 else links
         if name in _VOID:
             continue
         if name == "p":
@@ -225,14 +288,26 @@ def blocks_of(page: str) -> list[Block]:
                     links = 0
                     break
             continue
-        _, bad, article = open_[-1] if open_ else ("", False, 0)
-        if name in _ARTICLE and not article:
-            articles += 1
-            article = articles
-        bad = bad or name in BOILERPLATE or name == "header" and not article or _says_boilerplate(name, tag[3])
-        open_.append((name, bad, article))
+        _, bad, article, named, said, outside = open_[-1] if open_ else outer
+        hint = _hint(name, tag[3])
+        if name in _ARTICLE:
+            # Names of article elements count only where one around them says the same.
+            if not article:
+                articles += 1
+                article = articles
+                if not (hint and (said or named)):
+                    outside, said = (named, said), 0
+        elif hint == 2:
+            names += 1
+            said = names
+        elif hint:
+            parents.append(named)
+            named = len(parents) - 1
+        bad = bad or name in BOILERPLATE or name == "header" and not article or _hidden(name, tag[3])
+        open_.append((name, bad, article, named, said, outside))
     add(page[at:])
     end_block()
+    _confirm(out, parents)
     return out
 
 

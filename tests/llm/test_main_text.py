@@ -73,3 +73,36 @@ def test_odd_rows(spark):
 )
 def test_elements_left_open(page, text):
     assert main_text.main_text(page) == text
+
+
+@pytest.mark.parametrize("name", ["with-sidebar", "no-sidebar", "has-banner", "search-page", "main-banner", "social", "search"])
+def test_names_around_articles(name):
+    page = f"<nav>menu</nav><div class='x {name}'><div><article><h1>Title</h1><p>Short.</p><p>{PROSE}</p><p>Short.</p></article></div></div>"
+    assert main_text.main_text(page) == f"Title\n\nShort.\n\n{PROSE}\n\nShort."
+    assert main_text.main_text(f"<div class={name}><article><p>Short.") == "Short."
+    assert main_text.main_text(f"<div id={name}><h1>Title</h1><p>{PROSE}</p></div>") == f"Title\n\n{PROSE}"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<article><p>{PROSE}</p></article><div class=related><article><p>{PROSE}</p></article></div>",
+        f"<div class=main-sidebar><p>Short.</p></div><p>{PROSE}</p><div class=site-footer><p>(c) we</div>",
+        f"<article><p>{PROSE}</p></article><section id=comments><article class=comment><p>{PROSE}</p></article></section>",
+        f"<aside><article><p>Short.</p></article></aside><p>{PROSE}</p>",
+    ],
+)
+def test_names_of_boilerplate(page):
+    assert main_text.main_text(page) == PROSE
+
+
+@pytest.mark.parametrize("anchor", ["<a name=top>", "<a name=x/>", "<a id='y' data-href='z'>", "<a href=x>"])
+def test_links_left_open(anchor):
+    both = f"{PROSE}\n\n{PROSE}"
+    assert main_text.main_text(f"<article>{anchor}<p>{PROSE}</p><p>{PROSE}") == both
+    assert main_text.main_text(f"<article><p>{anchor}<p>{PROSE}<p>{PROSE} <a href=1>x</a>") == both + " x"
+
+
+def test_links_over_blocks():
+    page = f"<p>{PROSE}</p><a href=1><p>one</p><p>two</p></a><ul><li><a href=1>three<li><a href=2>four</ul><p>{PROSE}</p>"
+    assert main_text.main_text(page) == f"{PROSE}\n\n{PROSE}"
