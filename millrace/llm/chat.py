@@ -12,14 +12,16 @@ The template marks a turn as ``<turn ROLE>TEXT</turn>`` and the trained text ins
 
 Defined cases: a null text is empty, a null kind is a message, a null role is empty and a
 null turn comes first; rows with the same turn and sequence are folded in the order of
-kind, text and role, and a row that occurs twice counts twice; a turn's role is that of
+kind, text and role, and a row that occurs twice counts twice, so a later message replaces
+an earlier one of its turn; messages of a table without events (``numbered``) are all kept,
+those of the same turn in the order of role and text; a turn's role is that of
 its last event; a null conversation is a conversation; no events, no conversations. Other
 columns are ignored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 TURN, TURN_END = "<turn ", "</turn>"
@@ -51,11 +53,25 @@ def unescaped(text: Column) -> Column:
     return F.array_join(F.transform(F.split(text, r"\\\\"), part), "\\")
 
 
+def numbered(messages: DataFrame, into: str = "part") -> DataFrame:
+    """Whole messages with their number among those of the same conversation and turn."""
+    order = [F.coalesce(F.col(c), F.lit("")) for c in ("role", "text")]
+    return messages.withColumn(into, F.row_number().over(Window.partitionBy("conv_id", "turn").orderBy(*order)))
+
+
 def folded(
-    events: DataFrame, conv: str = "conv_id", turn: str = "turn", seq: str = "seq", kind: str = "kind", role: str = "role", text: str = "text"
+    events: DataFrame,
+    conv: str = "conv_id",
+    turn: str = "turn",
+    seq: str = "seq",
+    kind: str = "kind",
+    role: str = "role",
+    text: str = "text",
+    part: str | None = None,
 ) -> DataFrame:
     """The final messages: conv_id, turn, role, text; one row per turn that has events.
 
+    ``part`` names a column that tells messages of the same turn apart, ``part`` in the result.
     Messages and edits replace all before them and ``regenerate`` drops it, so a turn's text
     is the concatenation of what follows its last such event, that event's text included.
     """
@@ -65,15 +81,16 @@ def folded(
         F.coalesce(F.col(text), F.lit("")).alias("text"),
         F.coalesce(F.col(role), F.lit("")).alias("role"),
     )
-    rows = events.select(F.col(conv).alias("conv_id"), F.col(turn).alias("turn"), event.alias("event"))
-    turns = rows.groupBy("conv_id", "turn").agg(F.sort_array(F.collect_list("event")).alias("events"))
+    keys = {"conv_id": conv, "turn": turn} | ({"part": part} if part else {})
+    rows = events.select(*[F.col(c).alias(key) for key, c in keys.items()], event.alias("event"))
+    turns = rows.groupBy(*keys).agg(F.sort_array(F.collect_list("event")).alias("events"))
     # Counted from the end: the last event that does not merely append.
     back = F.array_position(F.transform(F.reverse("events"), lambda e: e["kind"] != "delta"), True)
     start = F.when(back == 0, 1).otherwise(F.size("events") - back + 1).cast("int")
     tail = F.slice("events", start, F.size("events"))
     texts = F.transform(tail, lambda e: F.when(e["kind"] == "regenerate", F.lit("")).otherwise(e["text"]))
     role_of = F.element_at("events", -1)["role"]
-    return turns.select("conv_id", "turn", role_of.alias("role"), F.array_join(texts, "").alias("text"))
+    return turns.select(*keys, role_of.alias("role"), F.array_join(texts, "").alias("text"))
 
 
 def rendered(messages: DataFrame, trained_role: str = "assistant") -> DataFrame:

@@ -99,8 +99,11 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
         F.lit(_CONTROL).alias("text"),
     )
-    log = rows.unionByName(control).select("*", F.col("turn").alias("seq"), F.lit("message").alias("kind"))
-    texts = chat.rendered(chat.folded(log))
+    log = chat.numbered(rows.unionByName(control)).select("*", F.col("turn").alias("seq"), F.lit("message").alias("kind"))
+    messages = chat.folded(log, part="part")
+    # As in the SQL, messages without a turn come last.
+    place = F.struct(F.isnull("turn").alias("last"), "turn", "part")
+    texts = chat.rendered(messages.withColumn("turn", place))
     read = texts.select("conv_id", F.length("formatted").cast("bigint").alias("formatted_chars"), chat.read_back(F.col("formatted")).alias("m"))
     turns = F.array_join(F.transform("m", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     trained = F.array_join(F.transform(F.filter("m", lambda t: t["loss"]), lambda t: t["text"]), "")

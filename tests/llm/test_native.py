@@ -2,6 +2,7 @@
 
 import random
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -107,3 +108,15 @@ def test_chat_query_is_native(spark):
     plan = explained(queries.QUERIES["op10_chat_formatting"].plan(spark, SMALL))
     for operator in ("Python", "Pandas", "Arrow", "CartesianProduct", "NestedLoop"):
         assert operator not in plan
+
+
+def test_repeated_and_null_turns_against_sql(spark, tmp_path):
+    texts = [None, "", "b", "b", "a<", "a\\", "B", "é"]
+    rows = [(conv, turn, role, text) for conv in (1, None, -7) for turn in (0, 1, None) for role in ("user", "assistant", None, "user") for text in texts]
+    random.Random(3).shuffle(rows)
+    spark.createDataFrame(rows, "conv_id bigint, turn int, role string, text string").coalesce(1).write.parquet(f"{tmp_path}/conversations.parquet")
+    query = queries.QUERIES["op10_chat_formatting"]
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    columns, expected = sql_bag(con, query.sql.replace("ORDER BY turn", "ORDER BY turn, role, text"))
+    assert spark_bag(query.plan(spark, str(tmp_path))) == (columns, expected)
