@@ -1,14 +1,17 @@
 """Secrets in texts: patterns, and structures that confirm themselves.
 
-The base patterns report assignments, access key ids and long hex runs. Beside them, every
-run of base64 or hex that is long enough is decoded, and reported if its bytes parse:
+The base patterns report assignments, access key ids and long hex runs. Beside them, a key
+is looked for at every place where base64 or hex could begin one, within longer runs too, and
+over line ends (white space, or as escapes such as a literal ``\\n``). Its own lengths tell
+where it ends, and no letter or digit may follow. It is reported if its bytes parse:
 
 * ``der``: a sequence whose nested lengths all fit and that has a key's form: a version, an
-  algorithm identifier or at least three integers;
+  algorithm identifier, alone with an octet string if encrypted, or at least three integers;
 * ``openssh``: the key container's magic, followed by length-prefixed fields that fit;
 * ``jwt``: three dotted base64url parts, of which the first two decode to JSON objects and
   the header names an algorithm;
-* ``pem``: armour lines around base64 that decodes to ``der`` or ``openssh``.
+* ``pem``: armour lines around base64 that decodes to ``der`` or ``openssh``, or that headers
+  call encrypted.
 
 Spans are counted in code points, the end is exclusive. Within a kind they don't overlap.
 
@@ -22,7 +25,7 @@ import base64
 import binascii
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -40,11 +43,17 @@ _NAMES = ("password", "passwd", "secret", "token", "api")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 #: A maximal run of 24 and more; a shorter one would be dropped.
 _HEX = re.compile(r"[0-9a-f]{24,}")
-#: Candidates: longer than any prose, shorter than any key with structure.
-_HEX_BYTES = re.compile(r"(?:[0-9A-Fa-f]{2}){32,}")
-_BASE64 = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
+#: What can stand between the lines of a key.
+_BREAK = re.compile(r"(?:\s|\\+(?:[nrt]|u000[aAdD]|(?=/)))+")
+#: How a key can begin, its characters, those that may not follow it, how many make n bytes, and their bytes.
+_FORMS = (
+    (re.compile(r"M[A-P]|b3Blbn"), re.compile(r"[A-Za-z0-9+/_-]+"), re.compile(r"[A-Za-z0-9+]"), lambda n: (4 * n + 2) // 3, lambda run: _decoded(run)),
+    (re.compile(r"30|6[Ff]70"), re.compile(r"[0-9A-Fa-f]+"), re.compile(r"[0-9A-Fa-f]"), lambda n: 2 * n, bytes.fromhex),
+)
 _JWT = re.compile(r"[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")
-_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*KEY)-----\s+([A-Za-z0-9+/=\s]+?)\s*-----END \1-----")
+_ARMOUR = re.compile(r"-----BEGIN ([A-Z0-9 ]*KEY)-----")
+_ESCAPED = re.compile(r"\\+(?:([nrt]|u000[aAdD])|(?=/))")
+_QUOTES = re.compile(r"""["'][\s+.,&\\]*["']""")
 _SSH_MAGIC = b"openssh-key-v1\0"
 
 
@@ -103,27 +112,103 @@ def is_der_key(data: bytes) -> bool:
     if tags[0] == 0x02 and tags[1] in (0x30, 0x04):  # version, then algorithm or EC scalar
         algorithm = _elements(data, *inner[1][1:]) if tags[1] == 0x30 else None
         return tags[1] == 0x04 or bool(algorithm) and algorithm[0][0] == 0x06 and 0x04 in tags[2:]
-    if tags[0] == 0x30 and tags[1] == 0x03:  # algorithm and public key bits
+    if tags[0] == 0x30 and (tags[1] == 0x03 or tags == [0x30, 0x04]):  # algorithm, and public key bits or an encrypted key
         algorithm = _elements(data, *inner[0][1:])
         return bool(algorithm) and algorithm[0][0] == 0x06
     return False
 
 
-def is_openssh_key(data: bytes) -> bool:
-    """Cipher, key derivation and its options, number of keys, one public key and the private part."""
-    if not data.startswith(_SSH_MAGIC):
-        return False
+def _openssh_size(read: Callable[[int], bytes | None]) -> int:
+    """Bytes up to the end of the fields: cipher, key derivation and its options, number of keys,
+    one public key and the private part; 0 if they don't fit. ``read`` gives the first n bytes.
+    """
     at = len(_SSH_MAGIC)
+    if read(at) != _SSH_MAGIC:
+        return 0
     for field in ("cipher", "derivation", "options", "count", "public", "private"):
-        if at + 4 > len(data):
-            return False
-        length = int.from_bytes(data[at : at + 4], "big")
+        data = read(at + 4)
+        if data is None:
+            return 0
         at += 4
         if field != "count":
-            at += length
-        if at > len(data):
-            return False
-    return True
+            at += int.from_bytes(data[-4:], "big")
+    return at if read(at) is not None else 0
+
+
+def is_openssh_key(data: bytes) -> bool:
+    return _openssh_size(lambda n: data[:n] if n <= len(data) else None) > 0
+
+
+def _der_size(head: bytes) -> int:
+    """The length of a sequence that begins so, 0 if no key does."""
+    size = head[1] & 0x7F if head[1] >= 0x80 else 0
+    if head[0] != 0x30 or size > 4 or head[1] == 0x80 or head[2 + size] not in (0x02, 0x30):
+        return 0
+    total = 2 + size + (int.from_bytes(head[2 : 2 + size], "big") if size else head[1])
+    return total if total >= 24 else 0
+
+
+def _gathered(text: str, at: int, n: int, run: re.Pattern) -> tuple[str, int] | None:
+    """``n`` characters of ``run`` from ``at`` on, over line ends, and where they end."""
+    if n > len(text) - at:
+        return None
+    parts = []
+    while m := run.match(text, at, at + n):
+        parts.append(m[0])
+        n -= len(m[0])
+        if not n:
+            return "".join(parts), m.end()
+        if not (m := _BREAK.match(text, m.end())):
+            break
+        at = m.end()
+    return None
+
+
+def _keys(text: str) -> Iterator[tuple[int, int, str]]:
+    for first, run, more, chars, bytes_of in _FORMS:
+        at = 0
+        while m := first.search(text, at):
+            start, at = m.start(), m.start() + 1
+
+            def read(n: int) -> bytes | None:
+                part = _gathered(text, start, chars(n), run)
+                return part and bytes_of(part[0])
+
+            head = read(9)
+            if head is None:
+                continue
+            if _SSH_MAGIC.startswith(head):
+                kind, size = "openssh", _openssh_size(read)
+            else:
+                kind, size = "der", _der_size(head)
+            if not size or not (part := _gathered(text, start, chars(size), run)):
+                continue
+            end = part[1]
+            if kind == "openssh":
+                # Bytes behind the fields are the key's as well.
+                rest = run.match(text, end)
+                end = rest.end() if rest else end
+            elif more.match(text, end) or not is_der_key(bytes_of(part[0])):
+                continue
+            if first is _FORMS[0][0]:
+                end += min(len(text[end : end + 2]) - len(text[end : end + 2].lstrip("=")), 2)
+            yield start, end, kind
+            at = end
+
+
+def _armoured(text: str) -> Iterator[tuple[int, int, str]]:
+    for m in _ARMOUR.finditer(text):
+        close, mark = text.find("-----", m.end()), f"-----END {m[1]}-----"
+        if close < 0 or not text.startswith(mark, close):
+            continue
+        # Texts in code: escapes, and one quoted line beside the other.
+        body = _ESCAPED.sub(lambda e: "\n" if e[1] else "", text[m.end() : close])
+        lines = _QUOTES.sub("", body).strip(" \n\"'\\").splitlines()
+        data = "".join(line for line in lines if ":" not in line)
+        encrypted = any(re.match(r"\s*Proc-Type: *4, *ENCRYPTED", line) for line in lines) and any("DEK-Info:" in line for line in lines)
+        found = _decoded("".join(data.split()))
+        if _structure(found) or encrypted and found and len(found) >= 24:
+            yield m.start(), close + len(mark), "pem"
 
 
 def is_signed_token(run: str) -> bool:
@@ -151,16 +236,11 @@ def spans_of(text: str) -> list[tuple[int, int, str]]:
     if "AKIA" in text:
         found += [(*m.span(), "access") for m in _ACCESS.finditer(text) if len(m[0]) >= 20]
     found += [(*m.span(), "hex") for m in _HEX.finditer(text)]
-    for m in _HEX_BYTES.finditer(text):
-        if kind := _structure(bytes.fromhex(m[0])):
-            found.append((*m.span(), kind))
-    for m in _BASE64.finditer(text):
-        if kind := _structure(_decoded(m[0])):
-            found.append((*m.span(), kind))
+    found += _keys(text)
     if "eyJ" in text or "." in text and "ey" in text:
         found += [(*m.span(), "jwt") for m in _JWT.finditer(text) if is_signed_token(m[0])]
     if "-----BEGIN " in text:
-        found += [(*m.span(), "pem") for m in _PEM.finditer(text) if _structure(_decoded("".join(m[2].split())))]
+        found += _armoured(text)
     return sorted(set(found), key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 

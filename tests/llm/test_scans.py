@@ -135,3 +135,35 @@ def test_masks_and_odd_rows(spark):
     got = [r[0] for r in found.select(secret_scan.redacted(F.col("text"), F.col("s"))).collect()]
     assert got == [None, "", "a [SECRET] b", "x [SECRET] y [SECRET]", "[SECRET]"]
     assert df.where("false").select(secret_scan.spans(F.col("text"))).collect() == []
+
+
+ENCRYPTED = der(0x30, der(0x30, der(6, b"\x2a\x86\x48\x86\xf7\x0d\1\5\x0d") + der(0x30, b"")) + der(4, bytes(range(100, 180))))
+
+
+def wrapped(run, width=64, end="\n"):
+    return end.join(run[at : at + width] for at in range(0, len(run), width))
+
+
+@pytest.mark.parametrize("key, kind", [(RSA, "der"), (PKCS8, "der"), (ENCRYPTED, "der"), (SSH, "openssh")])
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\n    ", "\\n", "\\r\\n", "\\\\n"])
+def test_wrapped_keys(key, kind, end):
+    for run in (wrapped(b64(key), 64, end), wrapped(b64(key), 76, end), wrapped(b64(key, True), 64, end), wrapped(key.hex(), 64, end)):
+        for before, after in (("é see ", " there"), ("id_rsa_", "\nand more words"), ("path/", "."), ("x-", '"'), ("é\\n", "\\n")):
+            text = before + run + after
+            assert (len(before), len(before) + len(run), kind) in secret_scan.spans_of(text), text
+
+
+@pytest.mark.parametrize("key, label", [(PKCS8, "PRIVATE KEY"), (ENCRYPTED, "ENCRYPTED PRIVATE KEY"), (SSH, "OPENSSH PRIVATE KEY"), (RSA, "RSA PRIVATE KEY")])
+@pytest.mark.parametrize("end", ["\n", "\\n", "\\r\\n", '\\n" +\n  "', "\n  "])
+def test_armoured_keys(key, label, end):
+    for run in (b64(key), b64(key).replace("/", "\\/")):
+        armour = end.join([f"-----BEGIN {label}-----", wrapped(run, 64, end), f"-----END {label}-----"])
+        assert (6, 6 + len(armour), "pem") in secret_scan.spans_of(f"é see {armour}{end}there")
+
+
+@pytest.mark.parametrize("end", ["\n", "\\n"])
+def test_encrypted_armour_with_headers(end):
+    lines = ["-----BEGIN RSA PRIVATE KEY-----", "Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC,00112233445566778899AABBCCDDEEFF", "", wrapped(b64(bytes(range(160))), 64, end), "-----END RSA PRIVATE KEY-----"]
+    text = end.join(lines)
+    assert (0, len(text), "pem") in secret_scan.spans_of(text)
+    assert not [s for s in secret_scan.spans_of(text.replace("Proc-Type", "Some-Type")) if s[2] == "pem"]
