@@ -8,8 +8,8 @@ where it ends, and no letter or digit may follow. It is reported if its bytes pa
 * ``der``: a sequence whose nested lengths all fit and that has a key's form: a version, an
   algorithm identifier, alone with an octet string if encrypted, or at least three integers;
 * ``openssh``: the key container's magic, followed by length-prefixed fields that fit;
-* ``jwt``: three dotted base64url parts, of which the first two decode to JSON objects and
-  the header names an algorithm;
+* ``jwt``: any three neighbours of dotted base64url parts, of which the first two decode to
+  JSON objects and the header names an algorithm; the header may end a longer part;
 * ``pem``: armour lines around base64 that decodes to ``der`` or ``openssh``, or that headers
   call encrypted.
 
@@ -50,7 +50,9 @@ _FORMS = (
     (re.compile(r"M[A-P]|b3Blbn"), re.compile(r"[A-Za-z0-9+/_-]+"), re.compile(r"[A-Za-z0-9+]"), lambda n: (4 * n + 2) // 3, lambda run: _decoded(run)),
     (re.compile(r"30|6[Ff]70"), re.compile(r"[0-9A-Fa-f]+"), re.compile(r"[0-9A-Fa-f]"), lambda n: 2 * n, bytes.fromhex),
 )
-_JWT = re.compile(r"[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")
+_DOTTED = re.compile(r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{8,}+(?:\.[A-Za-z0-9_-]{8,}+){2,}")
+#: How an object can begin; what stands before it in a part is not the header's.
+_OBJECT = re.compile(r"e[w-z0-9_-]")
 _ARMOUR = re.compile(r"-----BEGIN ([A-Z0-9 ]*KEY)-----")
 _ESCAPED = re.compile(r"\\+(?:([nrt]|u000[aAdD])|(?=/))")
 _QUOTES = re.compile(r"""["'][\s+.,&\\]*["']""")
@@ -211,14 +213,32 @@ def _armoured(text: str) -> Iterator[tuple[int, int, str]]:
             yield m.start(), close + len(mark), "pem"
 
 
-def is_signed_token(run: str) -> bool:
-    parts = []
-    for part in run.split(".")[:2]:
-        try:
-            parts.append(json.loads(_decoded(part) or b""))
-        except (ValueError, RecursionError):
-            return False
-    return all(isinstance(p, dict) for p in parts) and isinstance(parts[0].get("alg"), str)
+def _object(part: str) -> dict | None:
+    try:
+        found = json.loads(_decoded(part) or b"")
+    except (ValueError, RecursionError):
+        return None
+    return found if isinstance(found, dict) else None
+
+
+def _is_header(part: str) -> bool:
+    return isinstance((_object(part) or {}).get("alg"), str)
+
+
+def _tokens(text: str) -> Iterator[tuple[int, int, str]]:
+    for m in _DOTTED.finditer(text):
+        parts, at, k = m[0].split("."), m.start(), 0
+        while k + 2 < len(parts):
+            size = 1
+            if _object(parts[k + 1]) is not None:
+                header = parts[k]
+                starts = [0, *(o.start() for o in _OBJECT.finditer(header))]
+                start = next((n for n in starts if _is_header(header[n:])), None)
+                if start is not None:
+                    size = 3
+                    yield at + start, at + len(".".join(parts[k : k + 3])), "jwt"
+            at += sum(len(part) + 1 for part in parts[k : k + size])
+            k += size
 
 
 def _structure(data: bytes | None) -> str | None:
@@ -237,8 +257,8 @@ def spans_of(text: str) -> list[tuple[int, int, str]]:
         found += [(*m.span(), "access") for m in _ACCESS.finditer(text) if len(m[0]) >= 20]
     found += [(*m.span(), "hex") for m in _HEX.finditer(text)]
     found += _keys(text)
-    if "eyJ" in text or "." in text and "ey" in text:
-        found += [(*m.span(), "jwt") for m in _JWT.finditer(text) if is_signed_token(m[0])]
+    if "." in text:
+        found += _tokens(text)
     if "-----BEGIN " in text:
         found += _armoured(text)
     return sorted(set(found), key=lambda s: (s[0], KINDS.index(s[2]), s[1]))

@@ -167,3 +167,16 @@ def test_encrypted_armour_with_headers(end):
     text = end.join(lines)
     assert (0, len(text), "pem") in secret_scan.spans_of(text)
     assert not [s for s in secret_scan.spans_of(text.replace("Proc-Type", "Some-Type")) if s[2] == "pem"]
+
+
+LINED = ".".join([b64(b'{\n "alg": "HS256"}', True), b64(b'{\t"sub": "1"}', True), b64(b"t" * 32, True)])
+
+
+@pytest.mark.parametrize("token", [JWT, LINED])
+@pytest.mark.parametrize("before", ["refreshToken.", "com.example.application.refreshToken.", "a.", "token_", "id_token-", "refreshToken.new_"])
+def test_tokens_behind_others(token, before):
+    expected = [(len(before), len(before) + len(token), "jwt")]
+    assert [s for s in secret_scan.spans_of(before + token) if s[2] == "jwt"] == expected
+    n = len(before + token)
+    both = [s for s in secret_scan.spans_of(f"{before}{token}.{token}") if s[2] == "jwt"]
+    assert both == [*expected, (n + 1, n + 1 + len(token), "jwt")]
