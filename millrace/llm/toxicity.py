@@ -8,8 +8,9 @@ inverse root of the landmarks' own kernel matrix. Its decision is linear in the
 values and these are linear in the triples of a string, so a trained model folds into one
 weight per triple over the landmarks' alphabet, an exact table of fixed size.
 
-Labels are given per document, but an insult is a word or two of it. Sentences of labelled
-documents are the training examples; each is judged by its worst string, and in each of a
+Labels are given per document, but an insult is a word or two of it. Labelled documents are
+the training examples, as sets of strings, not as sentences: what is split by a space, or is an
+insult only as several words, is not seen as one. Each is judged by its worst string, and in each of a
 few rounds a toxic document's positive examples are its worst string and all plainly toxic
 ones by the model so far, beginning with those that are rarest outside toxic documents
 (multiple-instance learning). All strings of clean documents are negatives; those within the margin are added
@@ -218,7 +219,7 @@ def _curve(decisions: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
 
 
 def fit(examples: list[tuple[str, int]]) -> Model:
-    """A model from (text, label) pairs. Sentences count by the strings they hold."""
+    """A model from (text, label) pairs. Texts count by the strings they hold."""
     bags = [(sorted({p for s in strings_of(text) for p in _pieces(s)}), label) for text, label in sorted(examples)]
     bags = [(strings, label) for strings, label in bags if strings]
     seen = {0: Counter(), 1: Counter()}
