@@ -130,3 +130,7 @@ def test_calibration_of_cleanly_split_labels():
     decisions = np.array([-1.0] * 50 + [-0.9] * 950 + [0.8] * 3 + [1.0] * 20)
     slope, middle = toxicity._curve(decisions, (decisions > 0).astype(float))
     assert slope > 1 and -0.9 < middle < 0.8
+
+
+def test_quality_sample_is_not_cut():
+    assert quality.SAMPLE >= 8_000
