@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, chat, decontaminate, labelled, main_text, quality, secret_scan, simhash, token_counts, topk, toxicity
+from millrace.llm import bpe, chat, collocations, decontaminate, labelled, main_text, quality, secret_scan, simhash, token_counts, topk, toxicity
 from millrace.llm.tables import QUERIES, query, table
 from millrace.session import pin, shared_folder
 
@@ -276,3 +276,46 @@ def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", main_text.extracted(F.col("html")).alias("text"))
     return pages.select("*", F.length("text").cast("bigint").alias("n_chars"))
+
+
+@query(
+    r"""
+    WITH docs AS (
+        SELECT row_number() OVER () AS d, coalesce(lang, 'und') AS lang,
+               """
+    + _LOWER.format("coalesce(text, '')")
+    + r""" AS text FROM documents
+    ),
+    pieces AS (SELECT d, lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM docs),
+    words AS (SELECT row_number() OVER () AS p, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+    totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang),
+    grams AS (
+        SELECT lang, size, array_to_string(list_slice(w, i, i + size - 1), ' ') AS phrase
+        FROM (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM words, (SELECT unnest([1, 2, 3, 4]) AS size)
+              WHERE len(w) >= size)
+    ),
+    f AS (SELECT lang, size, phrase, CAST(count(*) AS BIGINT) AS f FROM grams GROUP BY ALL HAVING count(*) >= 30),
+    cuts AS (
+        SELECT lang, size, phrase, f AS a, k, list_slice(string_split(phrase, ' '), 1, k) AS x,
+               list_slice(string_split(phrase, ' '), k + 1, size) AS y
+        FROM (SELECT *, unnest(range(1, size)) AS k FROM f WHERE size > 1)
+    ),
+    rated AS (
+        SELECT c.*, u.f AS l, v.f AS r, CAST(2000000 * CAST(a AS HUGEINT) // (CAST(u.f AS HUGEINT) + v.f) AS BIGINT) AS score
+        FROM cuts c JOIN f u ON u.lang = c.lang AND u.phrase = array_to_string(x, ' ')
+        JOIN f v ON v.lang = c.lang AND v.phrase = array_to_string(y, ' ')
+    ),
+    lowest AS (SELECT * FROM rated QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+    kept AS (
+        SELECT * FROM lowest s WHERE NOT EXISTS (
+            SELECT 1 FROM f t WHERE t.lang = s.lang AND t.size > s.size
+              AND contains(' ' || t.phrase || ' ', ' ' || s.phrase || ' ') AND 100 * CAST(t.f AS HUGEINT) >= 80 * CAST(s.a AS HUGEINT)
+        )
+    )
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+    FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000
+    """
+)
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 phrases of each language whose words keep together most."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
