@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, chat, collocations, decontaminate, labelled, main_text, quality, secret_scan, simhash, token_counts, topk, toxicity
+from millrace.llm import bpe, chat, collocations, decontaminate, forest, labelled, main_text, quality, secret_scan, simhash, structure, token_counts, topk, toxicity
 from millrace.llm.tables import QUERIES, query, table
 from millrace.session import pin, shared_folder
 
@@ -319,3 +319,143 @@ def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 2,000 phrases of each language whose words keep together most."""
     return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def _damaged(rows: DataFrame) -> DataFrame:
+    """Rows dropped, emptied, cut, repeated or given to the user by a checksum of their place."""
+    space = F.lit(" ")
+    place = F.concat(F.coalesce(F.col("conv_id").cast("string"), space), F.lit(":"), F.coalesce(F.col("turn").cast("string"), space))
+    given = rows.select(
+        "conv_id", "turn", (F.crc32(place.cast("binary")) % 20).alias("kind"),
+        F.coalesce("role", space).alias("role"), F.coalesce("text", space).alias("text"),
+    )
+    kind = F.col("kind")
+    text = F.when(kind == 1, "").when(kind == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    copies = F.when(kind == 3, 2).otherwise(1)
+    changed = given.where(kind != 0).select(
+        "conv_id", "turn", F.when(kind == 4, "user").otherwise(F.col("role")).alias("role"), text.alias("text"), copies.alias("copies")
+    )
+    return changed.select("conv_id", "turn", "role", "text", F.explode(F.array_repeat(F.lit(0), F.col("copies")))).drop("col")
+
+
+#: One step of the repair in SQL: the least (cost, edits) of options, the next ones after an edit.
+def _least(*options: str) -> str:
+    return f"list_sort([{', '.join(options)}])[1]"
+
+
+def _then(state: str, edit: str, cost: str) -> str:
+    return f"{{'c': ({state}).c + {cost}, 'a': ({state}).a || '{edit}'}}"
+
+
+_FAR = "{'c': CAST(1000000000000 AS BIGINT), 'a': ''}"
+_CUT = "CASE WHEN x.f = 't' THEN 3 ELSE 0 END"
+
+
+def _edited(role: str, kept: list[str], reroled: list[str], own: str) -> str:
+    """The least way into a state by a row: deleted in it, kept or reroled into it."""
+    options = [_then(own, "D", "4")]
+    options += [f"CASE WHEN x.f NOT IN ('b', 'd') AND x.r = '{role}' THEN {_then(s, 'K', _CUT)} ELSE {_FAR} END" for s in kept]
+    options += [f"CASE WHEN x.f NOT IN ('b', 'd') THEN {_then(s, 'R', f'3 + {_CUT}')} ELSE {_FAR} END" for s in reroled]
+    return _least(*options)
+
+
+@query(
+    rf"""
+    WITH RECURSIVE
+    crc AS (
+        SELECT list_transform(range(256), lambda i: list_reduce(
+            list_prepend(i, range(8)), lambda c, j: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+    ),
+    keyed AS (
+        SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+               list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''),
+                              lambda ch: CAST(ord(ch) AS BIGINT)) AS codes
+        FROM conversations
+    ),
+    kinds AS (
+        SELECT conv_id, turn, role, text,
+               xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), codes), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])),
+                   4294967295) % 20 AS kind
+        FROM keyed, crc
+    ),
+    damaged AS (
+        SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+               CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+               unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy
+        FROM kinds WHERE kind <> 0
+    ),
+    rows AS (
+        SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+               left(role, 1) AS r, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare
+        FROM damaged
+    ),
+    faulty AS (
+        SELECT *, CASE WHEN bare = '' THEN 'b'
+                       WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'd'
+                       WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS f,
+               lead(r) OVER (PARTITION BY conv_id ORDER BY i) AS following
+        FROM rows
+    ),
+    counts AS (
+        SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+               count(*) FILTER (f = 'b') AS blank, count(*) FILTER (f = 'd') AS duplicate, count(*) FILTER (f = 't') AS truncated,
+               count(*) FILTER (following IS NOT NULL AND (r || following) NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n
+        FROM faulty GROUP BY conv_id
+    ),
+    steps AS (
+        SELECT conv_id, n, CAST(0 AS BIGINT) AS i, {{'c': CAST(0 AS BIGINT), 'a': ''}} AS s0, {_FAR} AS s1,
+               {{'c': CAST(3 AS BIGINT), 'a': 'I'}} AS u, {{'c': CAST(6 AS BIGINT), 'a': 'II'}} AS a FROM counts
+        UNION ALL
+        SELECT conv_id, n, i, s0, s1, {_least("bu", _then("ba", "I", "3"), _then("s0", "I", "3"), _then("s1", "I", "3"))},
+               {_least("ba", _then(_least("bu", _then("s0", "I", "3"), _then("s1", "I", "3")), "I", "3"))}
+        FROM (
+            SELECT p.conv_id, p.n, p.i + 1 AS i, {_then("p.s0", "D", "4")} AS s0, {_edited("s", ["p.s0"], [], "p.s1")} AS s1,
+                   {_edited("u", ["p.s0", "p.s1", "p.a"], ["p.s0", "p.s1", "p.a"], "p.u")} AS bu,
+                   {_edited("a", ["p.u"], ["p.u"], "p.a")} AS ba
+            FROM steps p JOIN faulty x ON x.conv_id IS NOT DISTINCT FROM p.conv_id AND x.i = p.i + 1
+        )
+    ),
+    best AS (SELECT conv_id, {_least("s0", "a")} AS b FROM steps WHERE i = n),
+    edits AS (
+        SELECT conv_id, unnest(string_split(b.a, '')) AS edit, unnest(range(len(b.a))) AS p FROM best WHERE b.a <> ''
+    ),
+    placed AS (
+        SELECT *, count(*) FILTER (edit <> 'I') OVER (PARTITION BY conv_id ORDER BY p) AS i,
+               count(*) FILTER (edit <> 'D') OVER (PARTITION BY conv_id ORDER BY p) AS j FROM edits
+    ),
+    lined AS (
+        SELECT e.*, x.role, CASE WHEN edit = 'I' THEN '' ELSE x.text END AS text,
+               coalesce(max(CASE WHEN j = 1 AND edit = 'K' AND x.r = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY e.conv_id), 0) AS system
+        FROM placed e LEFT JOIN faulty x ON x.conv_id IS NOT DISTINCT FROM e.conv_id AND x.i = e.i
+    ),
+    texts AS (
+        SELECT conv_id, string_agg(CASE WHEN edit = 'K' THEN role WHEN (j - system) % 2 = 1 THEN 'user' ELSE 'assistant' END
+                                   || ':' || text, chr(10) ORDER BY p) AS repaired
+        FROM lined WHERE edit <> 'D' GROUP BY conv_id
+    )
+    SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+           coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(b.c, 0) AS cost,
+           coalesce(b.a, '') AS audit, sha256(coalesce(repaired, '')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id FROM conversations) o
+    LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+    LEFT JOIN best t ON t.conv_id IS NOT DISTINCT FROM o.conv_id
+    LEFT JOIN texts s ON s.conv_id IS NOT DISTINCT FROM o.conv_id
+    """
+)
+def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, damaged by checksum, with its faults and its cheapest repair."""
+    rows = table(spark, sf_dir, "conversations")
+    found = structure.audited(_damaged(rows)).withColumnRenamed("conv_id", "of")
+    every = rows.select("conv_id").distinct().join(found, F.col("conv_id").eqNullSafe(F.col("of")), "left").drop("of")
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return every.select(
+        "conv_id", *[F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in counts], F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(b""), 256)).alias("repaired_sha256"),
+    )
+
+
+@query()
+def op12_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest rows that the forest finds for every twentieth vector."""
+    vectors = forest.vectors_of(table(spark, sf_dir, "embeddings"), "embedding")
+    return forest.Forest(vectors, 20).search(vectors.where("vec_id % 20 = 0"))
