@@ -82,10 +82,12 @@ def _apply(
     *,
     kept: Sequence[str] | None = None,
     timed: tuple[str, str] | None = None,
+    expiring: bool = False,
 ) -> DataFrame:
     """Run ``processor`` on the rows of each key; its results are a row's text and ``added``.
 
-    ``timed`` names the event time and the delay of its watermark.
+    ``timed`` names the event time and the delay of its watermark; ``expiring`` is for
+    processors whose state has a time to live.
     """
     if not keys:
         raise ValueError("a stream without keys would keep all its state in one task")
@@ -105,7 +107,7 @@ def _apply(
     types = ["string", *added.values()]
     schema = ", ".join(f"{n} {t}" for n, t in zip(processor.names, types, strict=True))
     found = rows.groupBy(*[f"k{i}" for i in range(len(keys))]).transformWithState(
-        processor, schema, "append", "eventTime" if timed else "none"
+        processor, schema, "append", "eventTime" if timed else "processingTime" if expiring else "none"
     )
     text = F.from_json("row", stream.select(*kept).schema, JSON_FORMATS).alias("row")
     found = found.select(text, *[F.col(f"r{i}").alias(name) for i, name in enumerate(added)])
