@@ -1,6 +1,6 @@
 """The registered queries."""
 
-from millrace.plans import basic, flows, related, timed
+from millrace.plans import basic, flows, related, streams, timed
 from millrace.plans.registry import QUERIES
 
-__all__ = ["QUERIES", "basic", "flows", "related", "timed"]
+__all__ = ["QUERIES", "basic", "flows", "related", "streams", "timed"]

@@ -249,7 +249,7 @@ last AS (SELECT * FROM log QUALIFY row_number() OVER (PARTITION BY user_id ORDER
 """
 
 
-def _log(spark, sf):
+def change_log(spark, sf):
     kind = F.col("event_type")
     op = F.when(kind == "signup", "c").when(kind == "error", "d").otherwise("u")
     return table(spark, sf, "events").select("event_id", "ts", "user_id", "value", op.alias("op"))
@@ -257,13 +257,13 @@ def _log(spark, sf):
 
 @query(LOG + "SELECT event_id, ts, user_id, value FROM last WHERE op <> 'd'")
 def cdc_latest(spark, sf):
-    return cdc.current_table(_log(spark, sf), ["user_id"], ["ts", "event_id"])
+    return cdc.current_table(change_log(spark, sf), ["user_id"], ["ts", "event_id"])
 
 
 @query(LOG + "SELECT user_id, value, epoch_us(ts) // 1000 AS ts_ms FROM last WHERE op <> 'd'")
 def cdc_envelopes(spark, sf):
     row = F.struct("user_id", "event_id", "value")
-    log = _log(spark, sf).select(
+    log = change_log(spark, sf).select(
         F.to_json(
             F.struct(
                 "op",
@@ -296,7 +296,7 @@ c AS (SELECT user_id, ts, event_id, value, 'r' AS op FROM t
 SELECT user_id, ts, event_id, value FROM c
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1 AND op <> 'd'""")
 def mirrored_table(spark, sf):
-    log = _log(spark, sf)
+    log = change_log(spark, sf)
     order = ["ts", "event_id"]
     base = cdc.upsert_latest(log.filter(F.col("op") == "c").drop("op"), ["user_id"], order)
     return cdc.upserted(base, log.filter(F.col("op") != "c"), ["user_id"], order)
@@ -306,7 +306,7 @@ def mirrored_table(spark, sf):
 SELECT o_orderkey, o_custkey, o_totalprice, l.value AS last_value
 FROM orders LEFT JOIN (SELECT * FROM last WHERE op <> 'd') l ON o_custkey = user_id""")
 def enriched_orders(spark, sf):
-    current = cdc.current_table(_log(spark, sf), ["user_id"], ["ts", "event_id"])
+    current = cdc.current_table(change_log(spark, sf), ["user_id"], ["ts", "event_id"])
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     current = current.withColumnRenamed("value", "last_value")
     return cdc.enriched(orders, current, "o_custkey", "user_id", ["last_value"])

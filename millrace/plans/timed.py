@@ -170,7 +170,7 @@ m AS (SELECT *, max(ts) OVER (ORDER BY arrival, event_id ROWS BETWEEN UNBOUNDED
 """
 
 
-def _classified(lateness: int) -> str:
+def classified_sql(lateness: int) -> str:
     start = bucket("ts", 6 * HOUR)
     last = f"{start} + INTERVAL 6 HOUR - INTERVAL 1 MILLISECOND"
     return ARRIVED + f""",
@@ -199,19 +199,19 @@ def watermark_trace(spark, sf):
     return late.watermarked(rows, "ts", ARRIVAL, "1 hour").select("event_id", "max_ts", "watermark")
 
 
-@query(_classified(0) + "SELECT event_id, window_start, status FROM c")
+@query(classified_sql(0) + "SELECT event_id, window_start, status FROM c")
 def late_split(spark, sf):
     return _statuses(spark, sf).select("event_id", "window_start", "status")
 
 
-@query(_classified(0) + f"""
+@query(classified_sql(0) + f"""
 SELECT window_start, event_type, {MONEY} / count(*) AS mean FROM c WHERE status = 'on_time' GROUP BY ALL""")
 def late_window_avg(spark, sf):
     parts = late.window_results(_statuses(spark, sf), ["event_type"], windows.mean_outputs(cents("value")))
     return parts.select("window_start", "event_type", (amount("total") / F.col("n")).alias("mean"))
 
 
-@query(_classified(1) + f"""
+@query(classified_sql(1) + f"""
 SELECT window_start, event_type, {MONEY} / count(*) AS mean, count(*) AS n FROM c WHERE status <> 'late' GROUP BY ALL""")
 def allowed_lateness(spark, sf):
     parts = late.window_results(
@@ -220,7 +220,7 @@ def allowed_lateness(spark, sf):
     return parts.select("window_start", "event_type", (amount("total") / F.col("n")).alias("mean"), "n")
 
 
-@query(_classified(1) + f""",
+@query(classified_sql(1) + f""",
 r AS (SELECT *, sum({CENTS}) OVER w AS total, count(*) OVER w AS n, lead(status) OVER w AS following FROM c
   WHERE status <> 'late' WINDOW w AS (PARTITION BY event_type, window_start ORDER BY arrival, event_id))
 SELECT event_id, window_start, event_type, status, CAST(total AS DOUBLE) / 100 / n AS mean FROM r
