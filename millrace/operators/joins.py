@@ -65,6 +65,69 @@ def keep_matching(df: DataFrame, table: DataFrame, on: Sequence[str]) -> DataFra
     return df.join(table.select(*on), list(on), "left_semi")
 
 
+#: Words of 64 bits in a key filter, which is what it sends to every task: 2 MB of bits.
+FILTER_WORDS = 1 << 18
+
+
+def key_filter(table: DataFrame, on: Sequence[str], words: int = FILTER_WORDS) -> DataFrame:
+    """Bits of a table's keys: at most ``words`` rows (word, bits), however many keys there are.
+
+    A key sets three bits of one word. Null keys, which match nothing, set none.
+    """
+    word, mask = _bits(on, words)
+    keys = table.select(*on).dropna()
+    return keys.select(word.alias("__word"), mask.alias("__mask")).groupBy("__word").agg(F.bit_or("__mask").alias("__bits"))
+
+
+def _bits(on: Sequence[str], words: int) -> tuple[Column, Column]:
+    """The word of a key and the bits that it sets there."""
+    first, second = F.xxhash64(*on), F.xxhash64(F.lit(7), *on)
+    mask = F.lit(0).cast("bigint")
+    for part in range(3):
+        at = F.shiftright(second, 6 * part).bitwiseAND(F.lit(63)).cast("int")
+        mask = mask.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), at))
+    return F.pmod(first, F.lit(words)), mask
+
+
+def _marked(df: DataFrame, bits: DataFrame, on: Sequence[str], words: int) -> DataFrame:
+    """Rows with ``__hit``, whether their key may be in the filter."""
+    word, mask = _bits(on, words)
+    rows = df.withColumns({"__word": word, "__mask": mask})
+    joined = rows.join(F.broadcast(bits), "__word", "left")
+    known = F.col("__bits").bitwiseAND(F.col("__mask")) == F.col("__mask")
+    for key in on:
+        known = known & F.col(key).isNotNull()
+    return joined.withColumn("__hit", F.coalesce(known, F.lit(False))).drop("__word", "__mask", "__bits")
+
+
+def possible(df: DataFrame, table: DataFrame, on: Sequence[str], words: int = FILTER_WORDS) -> DataFrame:
+    """Rows whose key may be in ``table``: all that are, and a few others.
+
+    A filter of the table's keys goes to every task, so rows without a partner are left out
+    where they are read. With many more keys than ``words`` nearly all rows pass.
+    """
+    return _marked(df, key_filter(table, on, words), on, words).filter("__hit").drop("__hit")
+
+
+def keep_matching_filtered(df: DataFrame, table: DataFrame, on: Sequence[str], words: int = FILTER_WORDS) -> DataFrame:
+    """``keep_matching`` for a large lookup table that matches few rows: only those are shuffled."""
+    return keep_matching(possible(df, table, on, words), table, on)
+
+
+def lookup_filtered(
+    df: DataFrame, table: DataFrame, on: Sequence[str], defaults: Mapping[str, object], words: int = FILTER_WORDS
+) -> DataFrame:
+    """``lookup`` for a large table that few rows are found in; the rest take the defaults unshuffled.
+
+    The input is read twice, once for each part.
+    """
+    marked = _marked(df, key_filter(table, on, words), on, words)
+    found = lookup(marked.filter("__hit").drop("__hit"), table, on, defaults)
+    kinds = {c: found.schema[c].dataType for c in defaults}
+    rest = marked.filter("NOT __hit").drop("__hit")
+    return found.unionByName(rest.withColumns({c: F.lit(v).cast(kinds[c]) for c, v in defaults.items()}))
+
+
 def on_time_join(classified: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left join within the window in which late rows find no partner.
 
