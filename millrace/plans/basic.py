@@ -10,9 +10,9 @@ from millrace.functions.mergeable import count, highest, lowest, total
 from millrace.functions.numbers import amount, cents
 from millrace.operators import aggregate, project
 from millrace.operators.bitmap import (
-    bitmaps, cardinality, dictionary as number_values, encoded, extended, number_lists, united,
+    bitmaps, cardinality, dictionary as number_values, encoded, extended, hashed_dictionary, hashed_extended, number_lists, united,
 )
-from millrace.operators.joins import keep_matching
+from millrace.operators.joins import keep_matching, keep_matching_filtered
 from millrace.plans.registry import DAY, bucket, query, table
 from millrace.session import pin
 from millrace.sinks.writers import as_lines, for_target, in_order, queue_records, routed
@@ -187,6 +187,16 @@ def semi_lookup(spark, sf):
     return keep_matching(orders, customers.withColumnRenamed("c_custkey", "o_custkey"), ["o_custkey"])
 
 
+@query("""
+SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem
+WHERE l_partkey IN (SELECT p_partkey FROM part WHERE p_size = 7)""")
+def semi_lookup_filtered(spark, sf):
+    """Few of many rows match: a filter of the keys leaves the others out before the shuffle."""
+    parts = table(spark, sf, "part").filter(F.col("p_size") == 7).select(F.col("p_partkey").alias("l_partkey"))
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    return keep_matching_filtered(lines, parts, ["l_partkey"]).drop("l_partkey")
+
+
 @query("SELECT p_partkey, unnest(string_split(p_name, ' ')) AS word, 1 AS weight FROM part")
 def split_udtf(spark, sf):
     return project.split_rows(table(spark, sf, "part"), "p_name", " ").select("p_partkey", "word", "weight")
@@ -312,6 +322,24 @@ def dictionary(spark, sf):
     return number_values(_users(spark, sf), "name")
 
 
+@query("""
+WITH o AS (SELECT count(DISTINCT o_orderpriority) AS known FROM orders),
+f AS (SELECT DISTINCT p_name AS name FROM part EXCEPT SELECT DISTINCT o_orderpriority FROM orders)
+SELECT known, known + (SELECT count(*) FROM f) AS n, known + (SELECT count(*) FROM f) AS different, CAST(1 AS BIGINT) AS low,
+  known + (SELECT count(*) FROM f) AS high, known AS high_of_known FROM o""")
+def dictionary_hashed(spark, sf):
+    """Numbers by hash bucket, extended: dense, each given once, the old ones in front."""
+    old = pin(hashed_dictionary(table(spark, sf, "orders"), "o_orderpriority"))
+    old = old.withColumnRenamed("o_orderpriority", "name")
+    both = hashed_extended(old, table(spark, sf, "part").withColumnRenamed("p_name", "name"), "name")
+    marked = both.join(old.select("name", F.lit(True).alias("known")), "name", "left")
+    highest = F.max(F.when(F.col("known"), F.col("id"))).alias("high_of_known")
+    return marked.agg(
+        F.count("known").alias("known"), F.count("id").alias("n"), F.countDistinct("id").alias("different"),
+        F.min("id").alias("low"), F.max("id").alias("high"), highest,
+    )
+
+
 @query("""
 WITH o AS (SELECT name, row_number() OVER (ORDER BY name) AS id
   FROM (SELECT DISTINCT o_orderpriority AS name FROM orders)),

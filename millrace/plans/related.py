@@ -121,6 +121,16 @@ def lookup_defaults(spark, sf):
     )
 
 
+@query("""
+SELECT l_orderkey, l_linenumber, l_partkey, coalesce(p_name, '') AS p_name, coalesce(p_size, 0) AS p_size
+FROM lineitem LEFT JOIN (SELECT * FROM part WHERE p_size < 4) ON l_partkey = p_partkey""")
+def lookup_filtered(spark, sf):
+    """Rows whose key is surely not in the table take the defaults without a shuffle."""
+    parts = table(spark, sf, "part").filter(F.col("p_size") < 4).withColumnRenamed("p_partkey", "l_partkey")
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    return joins.lookup_filtered(lines, parts, ["l_partkey"], {"p_name": "", "p_size": 0})
+
+
 NESTED = "regeocode struct<addressComponent: struct<province: string, city: string>>"
 
 

@@ -5,14 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.functions.mergeable import count, total
 from millrace.functions.numbers import amount, cents
+from millrace.operators import aggregate
 from millrace.plans.basic import CHANGES
 from millrace.plans.registry import DAY, bucket, query, table
 from millrace.plans.related import LOG, change_log
 from millrace.plans.timed import ARRIVAL, CENTS, MONEY, arrived, classified_sql
 from millrace.session import scratch
 from millrace.sources import epochs
-from millrace.streaming import carried, changes, firings
+from millrace.streaming import carried, changes, firings, handover, rules
 from millrace.streaming.batches import Output, run
 from millrace.streaming.tables import KeyedTable
 
@@ -165,3 +167,42 @@ def epochs_read_back(spark, sf):
     for part in (F.col("s_suppkey") % 2 == 0, F.col("s_suppkey") % 2 != 0):
         rows.filter(part).write.format("epochs").mode("append").save(f"{folder}/log")
     return spark.read.format("epochs").schema(rows.schema).load(f"{folder}/log")
+
+
+@query(f"SELECT user_id, count(*) AS n, {MONEY} AS total FROM events GROUP BY user_id")
+def continued_totals(spark, sf):
+    """Totals of the even events from a batch, carried on by a stream of the odd ones; read out of its state."""
+    folder = scratch(spark)
+    rows = table(spark, sf, "events").select("event_id", "user_id", cents("value").alias("value"))
+    odd = F.col("event_id") % 2 == 1
+    known = aggregate.grouped(rows.filter(~odd), ["user_id"], {"n": count(), "total": total("value")})
+    folds = {"n": ("count", None), "total": ("sum", "value")}
+    stream = dealt(rows.filter(odd), "event_id", f"{folder}/in")
+    found = handover.continued_stream(stream, ["user_id"], ["event_id"], folds, known)
+    run(found, Output(f"{folder}/out").write, f"{folder}/checkpoint").awaitTermination()
+    held = handover.state_now(spark, f"{folder}/checkpoint", ["user_id"], ["n", "total"])
+    return held.select("user_id", "n", amount("total").alias("total"))
+
+
+@query("""
+WITH r AS (SELECT event_id, user_id % 40 AS rule, user_id % 3 AS part, value AS least, event_id % 4 = 0 AS removed,
+    lead(event_id) OVER (PARTITION BY user_id % 40 ORDER BY event_id) AS until FROM events WHERE event_type = 'signup')
+SELECT d.event_id, r.rule, r.least FROM events d JOIN r ON d.event_id > r.event_id
+  AND (r.until IS NULL OR d.event_id < r.until) AND NOT r.removed AND d.user_id % 3 = r.part AND d.value >= r.least
+WHERE d.event_type = 'purchase'""")
+def rules_streamed(spark, sf):
+    """Purchases that reach the least value of rules for their part, forty rules that come, change and go."""
+    folder = scratch(spark)
+    events = table(spark, sf, "events").filter(F.col("event_type").isin("signup", "purchase"))
+    is_rule = F.col("event_type") == "signup"
+    rows = events.select(
+        "event_id", "value", (F.col("user_id") % 3).alias("part"), is_rule.alias("is_rule"),
+        F.when(is_rule, F.col("user_id") % 40).alias("rule"), F.when(is_rule, F.col("value")).alias("least"),
+    )
+    found = rules.rules_stream(
+        dealt(rows, "event_id", f"{folder}/in"), F.col("is_rule"), ["event_id"], "rule", ["least"],
+        removed=F.col("event_id") % 4 == 0, subject=(F.col("part"), F.col("part")),
+    )
+    out = Output(f"{folder}/out")
+    run(found, out.write, f"{folder}/checkpoint").awaitTermination()
+    return out.read(spark).filter("value >= least").select("event_id", "rule", "least")
