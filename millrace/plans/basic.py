@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from millrace.functions import text, times
 from millrace.functions.json import text_of
 from millrace.functions.mergeable import count, highest, lowest, total
-from millrace.functions.numbers import amount, cents
+from millrace.functions.numbers import as_double, exact
 from millrace.operators import aggregate, project
 from millrace.operators.bitmap import (
     bitmaps, cardinality, dictionary as number_values, encoded, extended, hashed_dictionary, hashed_extended, number_lists, united,
@@ -30,34 +30,34 @@ def word_count(spark, sf):
 
 
 @query("""
-SELECT l_returnflag, l_linestatus, CAST(sum(CAST(round(l_quantity * 100) AS BIGINT)) AS DOUBLE) / 100 AS quantity,
-  CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS DOUBLE) / 100 AS price, count(*) AS n
+SELECT l_returnflag, l_linestatus, CAST(sum(CAST(l_quantity AS DECIMAL(18,6))) AS DOUBLE) AS quantity,
+  CAST(sum(CAST(l_extendedprice AS DECIMAL(18,6))) AS DOUBLE) AS price, count(*) AS n
 FROM lineitem GROUP BY l_returnflag, l_linestatus""")
 def keyed_sum(spark, sf):
     sums = aggregate.grouped(
         table(spark, sf, "lineitem"),
         ["l_returnflag", "l_linestatus"],
-        {"quantity": total(cents("l_quantity")), "price": total(cents("l_extendedprice")), "n": count()},
+        {"quantity": total(exact("l_quantity")), "price": total(exact("l_extendedprice")), "n": count()},
     )
-    return sums.withColumns({c: amount(c) for c in ("quantity", "price")})
+    return sums.withColumns({c: as_double(c) for c in ("quantity", "price")})
 
 
 @query("""
-SELECT event_type, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS DOUBLE) / 100 AS total
+SELECT event_type, CAST(sum(CAST(value AS DECIMAL(18,6))) AS DOUBLE) AS total
 FROM events GROUP BY event_type ORDER BY total DESC""")
 def order_by_total(spark, sf):
-    sums = aggregate.grouped(table(spark, sf, "events"), ["event_type"], {"total": total(cents("value"))})
-    return sums.withColumn("total", amount("total")).orderBy(F.desc("total"))
+    sums = aggregate.grouped(table(spark, sf, "events"), ["event_type"], {"total": total(exact("value"))})
+    return sums.withColumn("total", as_double("total")).orderBy(F.desc("total"))
 
 
 @query(f"""
 SELECT {bucket('ts', DAY)} AS day, event_type, user_id,
-  CAST(sum(CAST(round(value * 100) AS BIGINT)) AS DOUBLE) / 100 AS total
+  CAST(sum(CAST(value AS DECIMAL(18,6))) AS DOUBLE) AS total
 FROM events GROUP BY ALL""")
 def composite_key_sum(spark, sf):
     rows = table(spark, sf, "events").withColumn("day", F.date_trunc("day", "ts").cast("timestamp_ntz"))
-    sums = aggregate.grouped(rows, ["day", "event_type", "user_id"], {"total": total(cents("value"))})
-    return sums.withColumn("total", amount("total"))
+    sums = aggregate.grouped(rows, ["day", "event_type", "user_id"], {"total": total(exact("value"))})
+    return sums.withColumn("total", as_double("total"))
 
 
 @query("""
@@ -68,12 +68,12 @@ def order_limit(spark, sf):
 
 
 @query("""
-SELECT event_id, user_id, CAST(sum(CAST(round(value * 100) AS BIGINT)) OVER w AS DOUBLE) / 100 AS total
+SELECT event_id, user_id, CAST(sum(CAST(value AS DECIMAL(18,6))) OVER w AS DOUBLE) AS total
 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)""")
 def running_sum(spark, sf):
     rows = table(spark, sf, "events").select("event_id", "ts", "user_id", "value")
-    sums = aggregate.running(rows, ["user_id"], ["ts", "event_id"], {"total": total(cents("value"))})
-    return sums.select("event_id", "user_id", amount("total").alias("total"))
+    sums = aggregate.running(rows, ["user_id"], ["ts", "event_id"], {"total": total(exact("value"))})
+    return sums.select("event_id", "user_id", as_double("total").alias("total"))
 
 
 @query("""

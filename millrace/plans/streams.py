@@ -11,7 +11,7 @@ from millrace.operators import aggregate
 from millrace.plans.basic import CHANGES
 from millrace.plans.registry import DAY, bucket, query, table
 from millrace.plans.related import LOG, change_log
-from millrace.plans.timed import ARRIVAL, CENTS, MONEY, arrived, classified_sql
+from millrace.plans.timed import ARRIVAL, EXACT, MONEY, arrived, classified_sql
 from millrace.session import scratch
 from millrace.sources import epochs
 from millrace.streaming import carried, changes, firings, handover, rules
@@ -41,10 +41,10 @@ def _events(spark: SparkSession, sf: str, by: str, folder: str, *columns: str) -
 
 
 @query(classified_sql(1) + f""",
-r AS (SELECT *, sum({CENTS}) OVER w AS total, count(*) OVER w AS n, lead(status) OVER w AS following FROM c
+r AS (SELECT *, sum({EXACT}) OVER w AS total, count(*) OVER w AS n, lead(status) OVER w AS following FROM c
   WHERE status <> 'late' WINDOW w AS (PARTITION BY event_type, window_start ORDER BY arrival, event_id)),
 e AS (SELECT max(ts) - INTERVAL 1 HOUR AS reached FROM events)
-SELECT event_id, window_start, event_type, status, CAST(total AS DOUBLE) / 100 / n AS mean FROM r, e
+SELECT event_id, window_start, event_type, status, CAST(total AS DOUBLE) / n AS mean FROM r, e
 WHERE status = 'allowed' OR following IS NOT NULL AND following <> 'on_time'
    OR following IS NULL AND window_start + INTERVAL 6 HOUR - INTERVAL 1 MILLISECOND <= reached""")
 def firings_streamed(spark, sf):
@@ -65,10 +65,10 @@ def firings_streamed(spark, sf):
 
 
 @query(f"""
-WITH d AS (SELECT {bucket('ts', DAY)} AS window_start, user_id, sum({CENTS}) AS c FROM events GROUP BY ALL),
+WITH d AS (SELECT {bucket('ts', DAY)} AS window_start, user_id, sum({EXACT}) AS c FROM events GROUP BY ALL),
 e AS (SELECT max(ts) - INTERVAL 2 DAY AS reached FROM events)
-SELECT window_start, user_id, CAST(c AS DOUBLE) / 100 AS total,
-  CAST(sum(c) OVER (PARTITION BY user_id ORDER BY window_start) AS DOUBLE) / 100 AS total_so_far FROM d, e
+SELECT window_start, user_id, CAST(c AS DOUBLE) AS total,
+  CAST(sum(c) OVER (PARTITION BY user_id ORDER BY window_start) AS DOUBLE) AS total_so_far FROM d, e
 WHERE window_start + INTERVAL 1 DAY <= reached""")
 def cumulative_streamed(spark, sf):
     """Closed windows feeding a total per user, in one query."""

@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.functions.mergeable import count, highest, total
-from millrace.functions.numbers import amount, cents
+from millrace.functions.numbers import as_double, exact
 from millrace.functions.times import local_day
 from millrace.operators import aggregate, late, state, windows
 from millrace.plans.registry import DAY, HOUR, bucket, query, table
 
-CENTS = "CAST(round(value * 100) AS BIGINT)"
-MONEY = f"CAST(sum({CENTS}) AS DOUBLE) / 100"
+EXACT = "CAST(value AS DECIMAL(18,6))"
+MONEY = f"CAST(sum({EXACT}) AS DOUBLE)"
 
 
 def _events(spark, sf):
@@ -31,16 +31,16 @@ WITH w AS (SELECT *, {bucket('ts', slide)} - to_seconds({slide} * CAST(i AS BIGI
 SELECT {bucket('ts', HOUR)} AS window_start, {bucket('ts', HOUR)} + INTERVAL 1 HOUR AS window_end,
   event_type, {MONEY} AS total FROM events GROUP BY ALL""")
 def tumbling_sum(spark, sf):
-    sums = windows.windowed(_events(spark, sf), "ts", "1 hour", ["event_type"], {"total": total(cents("value"))})
-    return sums.withColumn("total", amount("total"))
+    sums = windows.windowed(_events(spark, sf), "ts", "1 hour", ["event_type"], {"total": total(exact("value"))})
+    return sums.withColumn("total", as_double("total"))
 
 
 @query(f"SELECT {bucket('ts', HOUR)} AS window_start, {MONEY} AS total, count(*) AS n FROM events GROUP BY 1")
 def tumbling_all(spark, sf):
     sums = windows.windowed(
-        _events(spark, sf), "ts", "1 hour", [], {"total": total(cents("value")), "n": count()}
+        _events(spark, sf), "ts", "1 hour", [], {"total": total(exact("value")), "n": count()}
     )
-    return sums.withColumn("total", amount("total")).drop("window_end")
+    return sums.withColumn("total", as_double("total")).drop("window_end")
 
 
 @query(f"""
@@ -49,7 +49,7 @@ SELECT {bucket('ts', 10)} AS window_start, {bucket('ts', 10)} + INTERVAL 10 SECO
 def tumble_sql(spark, sf):
     return spark.sql("""
         SELECT window.start AS window_start, window.end AS window_end, user_id,
-          CAST(sum(CAST(round(value * 100) AS BIGINT)) AS DOUBLE) / 100 AS total
+          CAST(sum(CAST(value AS DECIMAL(18,6))) AS DOUBLE) AS total
         FROM {buys} GROUP BY window(ts, '10 seconds'), user_id""", buys=_events(spark, sf))
 
 
@@ -57,7 +57,7 @@ def tumble_sql(spark, sf):
 def hop_sql(spark, sf):
     return spark.sql("""
         SELECT window.start AS window_start, window.end AS window_end, user_id,
-          CAST(sum(CAST(round(value * 100) AS BIGINT)) AS DOUBLE) / 100 AS total
+          CAST(sum(CAST(value AS DECIMAL(18,6))) AS DOUBLE) AS total
         FROM {buys} GROUP BY window(ts, '10 seconds', '2 seconds'), user_id""", buys=_events(spark, sf))
 
 
@@ -72,9 +72,9 @@ def sliding_count(spark, sf):
 @query(_slides(6 * HOUR, HOUR) + f"SELECT window_start, {MONEY} AS total FROM w GROUP BY ALL")
 def sliding_all(spark, sf):
     sums = windows.windowed(
-        _events(spark, sf), "ts", "6 hours", [], {"total": total(cents("value"))}, slide="1 hour"
+        _events(spark, sf), "ts", "6 hours", [], {"total": total(exact("value"))}, slide="1 hour"
     )
-    return sums.select("window_start", amount("total").alias("total"))
+    return sums.select("window_start", as_double("total").alias("total"))
 
 
 @query(_slides(6 * HOUR, 3 * HOUR) + f"""
@@ -82,18 +82,18 @@ SELECT window_start, window_end, user_id, {MONEY} AS total, max(value) AS high F
 def sliding_reduce(spark, sf):
     sums = windows.windowed(
         _events(spark, sf), "ts", "6 hours", ["user_id"],
-        {"total": total(cents("value")), "high": highest("value")}, slide="3 hours",
+        {"total": total(exact("value")), "high": highest("value")}, slide="3 hours",
     )
-    return sums.withColumn("total", amount("total"))
+    return sums.withColumn("total", as_double("total"))
 
 
 @query(f"""
 SELECT {bucket('ts', DAY)} AS window_start, event_type, {MONEY} / count(*) AS mean FROM events GROUP BY ALL""")
 def window_avg(spark, sf):
     parts = windows.windowed(
-        _events(spark, sf), "ts", "1 day", ["event_type"], windows.mean_outputs(cents("value"))
+        _events(spark, sf), "ts", "1 day", ["event_type"], windows.mean_outputs(exact("value"))
     )
-    return parts.select("window_start", "event_type", (amount("total") / F.col("n")).alias("mean"))
+    return parts.select("window_start", "event_type", (as_double("total") / F.col("n")).alias("mean"))
 
 
 @query(f"""
@@ -108,9 +108,9 @@ WITH r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_
 SELECT user_id, (n - 1) // 5 AS chunk, {MONEY} AS total FROM r GROUP BY ALL HAVING count(*) = 5""")
 def count_window(spark, sf):
     sums = windows.count_windows(
-        _events(spark, sf), ["user_id"], ["ts", "event_id"], 5, {"total": total(cents("value"))}
+        _events(spark, sf), ["user_id"], ["ts", "event_id"], 5, {"total": total(exact("value"))}
     )
-    return sums.withColumn("total", amount("total"))
+    return sums.withColumn("total", as_double("total"))
 
 
 @query(f"""
@@ -118,9 +118,9 @@ WITH r AS (SELECT *, row_number() OVER (ORDER BY event_id) AS n FROM events)
 SELECT (n - 1) // 3 AS chunk, {MONEY} AS total FROM r GROUP BY ALL HAVING count(*) = 3""")
 def count_window_all(spark, sf):
     sums = windows.count_windows(
-        _events(spark, sf), [], ["event_id"], 3, {"total": total(cents("value"))}
+        _events(spark, sf), [], ["event_id"], 3, {"total": total(exact("value"))}
     )
-    return sums.withColumn("total", amount("total"))
+    return sums.withColumn("total", as_double("total"))
 
 
 @query(f"""
@@ -130,21 +130,21 @@ SELECT user_id, window_start, (n - 1) // 5 AS chunk, {MONEY} AS total, count(*)
 def count_or_time_trigger(spark, sf):
     sums = windows.count_or_time(
         _events(spark, sf), ["user_id"], "ts", ["ts", "event_id"], "1 day", 5,
-        {"total": total(cents("value")), "n": count()},
+        {"total": total(exact("value")), "n": count()},
     )
-    return sums.withColumn("total", amount("total")).drop("window_end")
+    return sums.withColumn("total", as_double("total")).drop("window_end")
 
 
 @query(f"""
-WITH d AS (SELECT {bucket('ts', DAY)} AS window_start, user_id, sum({CENTS}) AS c FROM events GROUP BY ALL)
-SELECT window_start, user_id, CAST(c AS DOUBLE) / 100 AS total,
-  CAST(sum(c) OVER (PARTITION BY user_id ORDER BY window_start) AS DOUBLE) / 100 AS total_so_far FROM d""")
+WITH d AS (SELECT {bucket('ts', DAY)} AS window_start, user_id, sum({EXACT}) AS c FROM events GROUP BY ALL)
+SELECT window_start, user_id, CAST(c AS DOUBLE) AS total,
+  CAST(sum(c) OVER (PARTITION BY user_id ORDER BY window_start) AS DOUBLE) AS total_so_far FROM d""")
 def window_cumulative(spark, sf):
     sums = windows.cumulative(
-        _events(spark, sf), "ts", "1 day", ["user_id"], {"total": total(cents("value"))}
+        _events(spark, sf), "ts", "1 day", ["user_id"], {"total": total(exact("value"))}
     )
     return sums.select(
-        "window_start", "user_id", amount("total").alias("total"), amount("total_so_far").alias("total_so_far")
+        "window_start", "user_id", as_double("total").alias("total"), as_double("total_so_far").alias("total_so_far")
     )
 
 
@@ -207,39 +207,39 @@ def late_split(spark, sf):
 @query(classified_sql(0) + f"""
 SELECT window_start, event_type, {MONEY} / count(*) AS mean FROM c WHERE status = 'on_time' GROUP BY ALL""")
 def late_window_avg(spark, sf):
-    parts = late.window_results(_statuses(spark, sf), ["event_type"], windows.mean_outputs(cents("value")))
-    return parts.select("window_start", "event_type", (amount("total") / F.col("n")).alias("mean"))
+    parts = late.window_results(_statuses(spark, sf), ["event_type"], windows.mean_outputs(exact("value")))
+    return parts.select("window_start", "event_type", (as_double("total") / F.col("n")).alias("mean"))
 
 
 @query(classified_sql(1) + f"""
 SELECT window_start, event_type, {MONEY} / count(*) AS mean, count(*) AS n FROM c WHERE status <> 'late' GROUP BY ALL""")
 def allowed_lateness(spark, sf):
     parts = late.window_results(
-        _statuses(spark, sf, "1 hour"), ["event_type"], windows.mean_outputs(cents("value"))
+        _statuses(spark, sf, "1 hour"), ["event_type"], windows.mean_outputs(exact("value"))
     )
-    return parts.select("window_start", "event_type", (amount("total") / F.col("n")).alias("mean"), "n")
+    return parts.select("window_start", "event_type", (as_double("total") / F.col("n")).alias("mean"), "n")
 
 
 @query(classified_sql(1) + f""",
-r AS (SELECT *, sum({CENTS}) OVER w AS total, count(*) OVER w AS n, lead(status) OVER w AS following FROM c
+r AS (SELECT *, sum({EXACT}) OVER w AS total, count(*) OVER w AS n, lead(status) OVER w AS following FROM c
   WHERE status <> 'late' WINDOW w AS (PARTITION BY event_type, window_start ORDER BY arrival, event_id))
-SELECT event_id, window_start, event_type, status, CAST(total AS DOUBLE) / 100 / n AS mean FROM r
+SELECT event_id, window_start, event_type, status, CAST(total AS DOUBLE) / n AS mean FROM r
 WHERE status = 'allowed' OR following IS DISTINCT FROM 'on_time'""")
 def lateness_firings(spark, sf):
     fired = late.window_firings(
-        _statuses(spark, sf, "1 hour"), ["event_type"], ARRIVAL, windows.mean_outputs(cents("value"))
+        _statuses(spark, sf, "1 hour"), ["event_type"], ARRIVAL, windows.mean_outputs(exact("value"))
     )
-    mean = (amount("total") / F.col("n")).alias("mean")
+    mean = (as_double("total") / F.col("n")).alias("mean")
     return fired.select("event_id", "window_start", "event_type", "status", mean)
 
 
 @query("""
 WITH r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i FROM events)
-SELECT user_id, (i - 1) // 2 AS chunk, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS DOUBLE) / 100 / 2 AS mean
+SELECT user_id, (i - 1) // 2 AS chunk, CAST(sum(CAST(value AS DECIMAL(18,6))) AS DOUBLE) / 2 AS mean
 FROM r GROUP BY ALL HAVING count(*) = 2""")
 def avg_every_two(spark, sf):
-    parts = state.average_every(_events(spark, sf), ["user_id"], ["ts", "event_id"], 2, cents("value"))
-    return parts.select("user_id", "chunk", (amount("total") / F.col("n")).alias("mean"))
+    parts = state.average_every(_events(spark, sf), ["user_id"], ["ts", "event_id"], 2, exact("value"))
+    return parts.select("user_id", "chunk", (as_double("total") / F.col("n")).alias("mean"))
 
 
 @query("""
@@ -317,10 +317,10 @@ def hot_topn_without_ties(spark, sf):
 
 
 @query(f"""
-SELECT event_id, user_id, CAST(sum({CENTS}) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS DOUBLE) / 100
+SELECT event_id, user_id, CAST(sum({EXACT}) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS DOUBLE)
     AS total_stay_time,
   row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts, event_id) AS visit_num FROM events""")
 def visitor_radar(spark, sf):
-    rows = _events(spark, sf).withColumn("day", F.to_date("ts")).withColumn("stay", cents("value"))
+    rows = _events(spark, sf).withColumn("day", F.to_date("ts")).withColumn("stay", exact("value"))
     visits = state.visitor_radar(rows, ["user_id"], "day", ["ts", "event_id"], "stay")
-    return visits.select("event_id", "user_id", amount("total_stay_time").alias("total_stay_time"), "visit_num")
+    return visits.select("event_id", "user_id", as_double("total_stay_time").alias("total_stay_time"), "visit_num")
