@@ -19,6 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.stateful_processor import MapState
 from pyspark.sql.types import (
     DataType, DateType, DoubleType, FloatType, IntegralType, StringType, TimestampNTZType, TimestampType,
 )
@@ -273,14 +274,20 @@ class Replay(Keyed):
         if self.waiting.containsKey((ms,)):
             events = sorted(json.loads(self.waiting.getValue((ms,))[0]), key=lambda e: [tuple(p) for p in e[3]])
             self.waiting.removeKey((ms,))
-        known = json.loads(self.state.get()[0]) if self.state.exists() else []
+        known = self.load()
         found = []
         for event in events:
             known = self.next(known, event[:3], found)
-        known = self.until(known, ms * 1000, found)
-        self.state.update((json.dumps(known),)) if known else self.state.clear()
+        self.save(self.until(known, ms * 1000, found))
         return iter(found)
 
+    def load(self) -> list:
+        """The few events that are remembered."""
+        return json.loads(self.state.get()[0]) if self.state.exists() else []
+
+    def save(self, known: list) -> None:
+        self.state.update((json.dumps(known),)) if known else self.state.clear()
+
     def expect(self, micros: int, mask: int) -> None:
         """Set further timers for an event. One set later, when the watermark may already
         have passed it, would fire a micro-batch late, or never at the end of a stream."""
@@ -292,42 +299,89 @@ class Replay(Keyed):
         return known
 
 
+class Queues:
+    """Open starts in one queue per step they wait for, each entry a row of a map state.
+
+    Entries are touched one by one, so what an event costs doesn't depend on how many wait.
+    """
+
+    def __init__(self, rows: MapState, ends: Sequence[int]) -> None:
+        self.rows, self.ends = rows, list(ends)
+
+    def size(self, step: int) -> int:
+        return self.ends[2 * step + 1] - self.ends[2 * step]
+
+    def append(self, step: int, start: int, row: str, times: Sequence[int]) -> None:
+        self.rows.updateValue((step, self.ends[2 * step + 1]), (start, row, json.dumps(list(times))))
+        self.ends[2 * step + 1] += 1
+
+    def first(self, step: int) -> tuple[int, str, list[int]]:
+        start, row, times = self.rows.getValue((step, self.ends[2 * step]))
+        return start, row, json.loads(times)
+
+    def drop(self, step: int) -> None:
+        self.rows.removeKey((step, self.ends[2 * step]))
+        self.ends[2 * step] += 1
+
+
 class Following(Replay):
-    """Every start with the times of its further steps, as match or timeout."""
+    """Every start with the times of its further steps, as match or timeout.
+
+    An event that fits a step takes all starts waiting for it one queue further, so each
+    start is handled once per step. Those in a later queue began earlier, and each queue is
+    in the order of the starts: the ones out of time stand in front.
+    """
 
     def __init__(self, steps: int, within: int, inclusive: bool) -> None:
         self.steps, self.within, self.inclusive = steps, within, inclusive
 
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.rows = handle.getMapState("open", "step int, place bigint", "start bigint, row string, times string")
+        self.ends = handle.getValueState("ends", "ends array<bigint>")
+
+    def load(self) -> Queues:
+        return Queues(self.rows, self.ends.get()[0] if self.ends.exists() else [0] * (2 * self.steps))
+
+    def save(self, known: Queues) -> None:
+        if any(known.size(step) for step in range(1, self.steps)):
+            self.ends.update((known.ends,))
+        else:
+            self.ends.clear()
+
     def expect(self, micros: int, mask: int) -> None:
         if mask & 1:
             # The next whole millisecond after the last one that could complete it.
             self.handle.registerTimer((micros + self.within) // 1000 + 1)
 
-    def next(self, known: list, event: list, found: list) -> list:
+    def next(self, known: Queues, event: list, found: list) -> Queues:
         micros, row, mask = event
-        known = self.until(known, micros, found)
-        still = []
-        for start, text, times in known:
-            if mask >> (len(times) + 1) & 1:
-                times = [*times, micros]
-            if len(times) == self.steps - 1:
-                found.append(self.result(text, times, MATCH))
-            else:
-                still.append([start, text, times])
+        self.until(known, micros, found)
+        # From the last step, so that an event takes a start one step only.
+        for step in range(self.steps - 1, 0, -1):
+            if not mask >> step & 1:
+                continue
+            for _ in range(known.size(step)):
+                start, text, times = known.first(step)
+                known.drop(step)
+                if step == self.steps - 1:
+                    found.append(self.result(text, [*times, micros], MATCH))
+                else:
+                    known.append(step + 1, start, text, [*times, micros])
         if mask & 1:
-            still.append([micros, row, []])
-        return still
+            known.append(1, micros, row, [])
+        return known
 
-    def until(self, known: list, micros: int, found: list) -> list:
-        still = []
-        for start, text, times in known:
-            end = start + self.within
-            over = micros > end if self.inclusive else micros >= end
-            if over:
+    def until(self, known: Queues, micros: int, found: list) -> Queues:
+        for step in range(self.steps - 1, 0, -1):
+            while known.size(step):
+                start, text, times = known.first(step)
+                end = start + self.within
+                if not (micros > end if self.inclusive else micros >= end):
+                    break
                 found.append(self.result(text, times, TIMEOUT))
-            else:
-                still.append([start, text, times])
-        return still
+                known.drop(step)
+        return known
 
 
 class NextFits(Replay):

@@ -166,6 +166,28 @@ def test_sequences(spark, events, tmp_path):
     assert 0 < found.filter(matched).count() < found.count() < batch.count()
 
 
+def test_many_open_starts_of_one_key(spark, tmp_path):
+    """Ten thousand starts wait while other steps pass; each is handled once per step."""
+    n = 10_000
+    rows = spark.range(n + 300).select(
+        F.col("id").alias("event_id"), F.lit("k").alias("k"),
+        F.when(F.col("id") < n, "a").when(F.col("id") < n + 200, "c").when(F.col("id") == n + 200, "b")
+        .when(F.col("id") == n + 250, "c").otherwise("x").alias("kind"),
+        F.timestamp_millis(1000 + F.floor(F.col("id") / 10)).alias("ts"),
+    )
+    end = spark.createDataFrame([(n + 300, "k", "x")], "event_id long, k string, kind string").withColumn(
+        "ts", F.timestamp_seconds(F.lit(100)))
+    stream = landed(spark, rows.unionByName(end), tmp_path / "in")
+    steps = [F.col("kind") == s for s in ("a", "b", "c")]
+    found = keyed.sequence_stream(stream, ["k"], ORDER, [*steps[:2], steps[2] | (F.col("kind") == "x")], "1 minute", "0 seconds")
+    began = time.monotonic()
+    done = collected(spark, found, "many_open", "append")
+    assert time.monotonic() - began < 150
+    times = [F.element_at("step_times", i).cast("double").alias(f"t{i}") for i in (1, 2)]
+    seen = done.groupBy("outcome", *times).agg(F.count(F.lit(1)).alias("n")).collect()
+    assert [(r.outcome, r.t1, r.t2, r.n) for r in seen] == [("match", 1 + (n + 200) / 10_000, 1 + (n + 200) / 10_000, n)]
+
+
 def test_strict_and_counted_sequences(spark, events, tmp_path):
     keys, within, view = ["user_id"], "2 days", F.col("event_type") == "view"
     click = F.col("event_type") == "click"
