@@ -5,11 +5,15 @@ block is boilerplate inside an element that is (menus, headers, footers, sidebar
 or one whose class, id or role says so), or if mostly links; it is text if long and rich in
 stop words. A name that only says so in part (``search-box``) holds where no block in the
 element is text by itself; no name holds against an article element, unless there is one
-elsewhere with text, nor where nothing would be left as text. All other blocks are short or ambiguous; in the second pass they take the
-label of the nearest decided neighbours, the stop-word richer one's if these differ and
+elsewhere with text, nor where nothing would be left as text. Names of reader comments hold
+whatever the prose, on any element beside or within the article, unless no other block is
+left. A paragraph or heading of an article may be one link. A menu or the like that is never
+closed counts as named in part. All other blocks are short or ambiguous; in the second pass
+they take the label of the nearest decided neighbours, the stop-word richer one's if these differ and
 are equally near. Where the page marks its article, the edges of that element count as
 decided neighbours: text on the inside, boilerplate on the outside. Where nothing is
-decided, what is left is text.
+decided, what is left is text. Stop words are those of a few languages: where no article is
+marked and most of the long unlinked text has too few of them, length and links alone decide.
 
 Comments, scripts, styles, heads and unfinished tags at a page's end are no text, nor is what
 closed noscript, template, svg, iframe and object elements hold; of these, one that is not
@@ -50,6 +54,8 @@ HINTS = frozenset(
     breadcrumbs pagination footer masthead cookie cookies consent gdpr notice banner popup modal newsletter subscribe
     signup login share sharing social related recommended comment comments disqus contentinfo complementary search""".split()
 )
+#: Parts of names that tell of reader comments.
+COMMENTS = frozenset("comment comments commentlist commentarea disqus".split())
 #: What is not text, in full, and runs to the end of the page where it is left open.
 _DROPPED = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style)\b.*?(?:</\1\s*>|\Z)", re.I | re.S)
 #: Elements whose content is not text, if they are closed.
@@ -62,7 +68,8 @@ _TAG = re.compile(r"""<(/?)([a-zA-Z][a-zA-Z0-9-]*)((?:[^<>"']|"[^"]*"|'[^']*')*)
 
 _MARKS = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 #: A name that begins or ends so tells of the page, not of the element.
-_STATES, _PAGES = frozenset("has no not with without".split()), frozenset(("page", "layout"))
+_STATES = frozenset("has no not with without".split())
+_PAGES = frozenset("page layout open closed enabled disabled".split())
 _HREF = re.compile(r"""(?:^|[\s"'/])href(?=[\s=/]|$)""", re.I)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
 _WORD = re.compile(r"[^\W\d_]+")
@@ -73,6 +80,8 @@ _INLINE = frozenset(
 )
 _VOID = frozenset("area base col embed hr input link meta param source track".split())
 _ARTICLE = frozenset(("article", "main"))
+#: Elements that hold a paragraph, which may be a link in full.
+_PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote figcaption dd dt".split())
 #: Characters and shares that decide.
 SHORT, LONG, LINKS, STOPS = 70, 200, 0.5, 0.3
 
@@ -90,9 +99,16 @@ class Block:
     """The same of those whose name says it in full."""
     outside: tuple[int, int] = (0, 0)
     """``named`` and ``said`` around its article element."""
+    comment: bool = False
+    """Whether an element around it, within its article, is named for comments."""
+    element: str = ""
+
+    def weight(self) -> int:
+        """The length; a sign of a script without spaces counts as three letters."""
+        return len(self.text) + 2 * sum(c >= "\u2e80" for c in self.text)
 
     def label(self) -> bool | None:
-        if self.boilerplate or self.linked > LINKS * len(self.text):
+        if self.boilerplate or self.linked > LINKS * len(self.text) and not (self.article and self.element in _PROSE):
             return False
         if len(self.text) < SHORT:
             return None
@@ -102,16 +118,16 @@ class Block:
 
 
 def _hint(name: str, attributes: str) -> int:
-    """Whether the element's names say boilerplate: 2 in full, 1 in part, 0 not."""
+    """Whether the element's names say boilerplate: 3 comments, 2 in full, 1 in part, 0 not."""
     if name in ("body", "html") or not attributes:
         return 0
     found = 0
     for match in _MARKS.finditer(attributes):
         for word in (match[1] or match[2] or match[3] or "").lower().split():
             parts = [part for part in re.split(r"[^a-z]+", word) if part]
-            hints = sum(part in HINTS for part in parts)
+            hints = sum(part in HINTS or part in COMMENTS for part in parts)
             if hints and parts[0] not in _STATES and parts[-1] not in _PAGES:
-                found = max(found, 2 if hints == len(parts) else 1)
+                found = max(found, 3 if COMMENTS & set(parts) else 2 if hints == len(parts) else 1)
     return found
 
 
@@ -124,6 +140,9 @@ def _confirm(blocks: list[Block], parents: list[int]) -> None:
 
     ``parents`` has, for each partly named element, the next one around it.
     """
+    if any(not block.comment and not block.boilerplate and block.weight() >= SHORT for block in blocks):
+        for block in blocks:
+            block.boilerplate = block.boilerplate or block.comment
     rich = [block.label() is True for block in blocks]
     # An article in named elements stands by itself if no other one has text.
     if not any(text and block.article and block.outside == (0, 0) for block, text in zip(blocks, rich)):
@@ -177,6 +196,29 @@ def _closed(tags: list[re.Match]) -> dict[int, int]:
     return found
 
 
+def _left_open(tags: list[re.Match]) -> set[int]:
+    """Starts of boilerplate elements that nothing closes but the end of an outer element or of the page."""
+    found: set[int] = set()
+    open_: list[tuple[str, int]] = []
+    count: dict[str, int] = {}
+    for tag in tags:
+        name = (tag[2] or "").lower()
+        if not name or name in _INLINE or name in _VOID or name == "p":
+            continue
+        if not tag[1]:
+            open_.append((name, tag.start()))
+            count[name] = count.get(name, 0) + 1
+        elif count.get(name):
+            while True:
+                last, start = open_.pop()
+                count[last] -= 1
+                if last == name:
+                    break
+                if last in BOILERPLATE:
+                    found.add(start)
+    return found | {start for name, start in open_ if name in BOILERPLATE}
+
+
 def _head_end(page: str, tags: list[re.Match], k: int, closed: dict[int, int]) -> int:
     """Where the head that opens with tag ``k`` ends."""
     at, title, ends = tags[k].end(), False, True
@@ -231,10 +273,11 @@ def blocks_of(page: str) -> list[Block]:
             if end and not tag[1]:
                 whole.add(tag.start())
             end = bool(tag[1])
+    left_open = _left_open(tags)
     out: list[Block] = []
-    # Name, boilerplate, article, innermost element named in part, in full, both around the article.
-    outer = ("", False, 0, 0, 0, (0, 0))
-    open_: list[tuple[str, bool, int, int, int, tuple[int, int]]] = []
+    # Name, boilerplate, article, innermost element named in part, in full, both around the article, comment.
+    outer = ("", False, 0, 0, 0, (0, 0), False)
+    open_: list[tuple[str, bool, int, int, int, tuple[int, int], bool]] = []
     parents = [0]
     parts: list[str] = []
     linked = articles = names = at = 0
@@ -245,7 +288,8 @@ def blocks_of(page: str) -> list[Block]:
         nonlocal linked
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
-            out.append(Block(text, min(linked, len(text)), *(open_[-1] if open_ else outer)[1:]))
+            element, *around = open_[-1] if open_ else outer
+            out.append(Block(text, min(linked, len(text)), *around, element))
         parts.clear()
         linked = 0
 
@@ -288,9 +332,16 @@ def blocks_of(page: str) -> list[Block]:
                     links = 0
                     break
             continue
-        _, bad, article, named, said, outside = open_[-1] if open_ else outer
+        _, bad, article, named, said, outside, comment = open_[-1] if open_ else outer
         hint = _hint(name, tag[3])
+        endless = tag.start() in left_open
+        if endless and not hint:
+            hint = 1
+        if hint == 3:
+            comment = comment or name not in _ARTICLE
         if name in _ARTICLE:
+            # A page's article may stand in what is named for its comments.
+            comment = comment and (bool(article) or hint == 3)
             # Names of article elements count only where one around them says the same.
             if not article:
                 articles += 1
@@ -300,21 +351,33 @@ def blocks_of(page: str) -> list[Block]:
         elif hint == 2:
             names += 1
             said = names
-        elif hint:
+        elif hint == 1:
             parents.append(named)
             named = len(parents) - 1
-        bad = bad or name in BOILERPLATE or name == "header" and not article or _hidden(name, tag[3])
-        open_.append((name, bad, article, named, said, outside))
+        bad = bad or name in BOILERPLATE and not endless or name == "header" and not article or _hidden(name, tag[3])
+        open_.append((name, bad, article, named, said, outside, comment))
     add(page[at:])
     end_block()
     _confirm(out, parents)
     return out
 
 
+def _by_length(blocks: list[Block], first: list[bool | None]) -> list[bool | None]:
+    """Labels of a page in a language whose stop words aren't known: long undecided blocks are text."""
+    known = sum(block.weight() for block, label in zip(blocks, first) if label)
+    for least in (LONG, SHORT) if not known else (LONG,):
+        long = [label is None and block.weight() >= least for block, label in zip(blocks, first)]
+        if sum(block.weight() for block, chosen in zip(blocks, long) if chosen) > known:
+            return [True if chosen else label for chosen, label in zip(long, first)]
+    return first
+
+
 def labelled(blocks: list[Block]) -> list[bool]:
     """Whether each block is text."""
     first = [block.label() for block in blocks]
     marked = any(block.article for block in blocks)
+    if not marked:
+        first = _by_length(blocks, first)
 
     def sweep(order) -> list[tuple[int, bool]]:
         """For each block the distance to the nearest decided one behind, and its label."""

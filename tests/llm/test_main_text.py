@@ -106,3 +106,68 @@ def test_links_left_open(anchor):
 def test_links_over_blocks():
     page = f"<p>{PROSE}</p><a href=1><p>one</p><p>two</p></a><ul><li><a href=1>three<li><a href=2>four</ul><p>{PROSE}</p>"
     assert main_text.main_text(page) == f"{PROSE}\n\n{PROSE}"
+
+
+#: Two paragraphs of over 200 letters in languages without listed stop words, and in other scripts.
+FOREIGN = {
+    "pl": "Wczoraj rano dzieci poszły razem przez las, aby znaleźć stary młyn, który stał kiedyś nad rzeką. Po drodze spotkały "
+          "leśniczego, który opowiedział im długą historię o powodzi sprzed stu lat oraz o młynarzu, który uratował całą wieś.",
+    "ru": "Вчера утром дети вместе пошли через лес, чтобы найти старую мельницу, которая когда-то стояла над рекой. По дороге они "
+          "встретили лесника, который рассказал им длинную историю о наводнении сто лет назад и о мельнике, спасшем деревню.",
+    "it": "Ieri mattina i bambini andarono insieme attraverso il bosco per trovare il vecchio mulino che stava sopra il fiume. "
+          "Lungo la strada incontrarono un guardaboschi che raccontò loro una lunga storia dell'alluvione di cento anni fa.",
+    "tr": "Dün sabah çocuklar bir zamanlar nehrin üstünde duran eski değirmeni bulmak için birlikte ormandan geçtiler. Yolda "
+          "onlara yüz yıl önceki sel ve bütün köyü kurtaran değirmenci hakkında uzun bir hikâye anlatan ormancıyla karşılaştılar.",
+    "zh": "昨天早上，孩子们一起穿过森林，去寻找曾经矗立在河边的老磨坊。路上他们遇到了一位护林员，他给他们讲了一个很长的故事，说的是一百年前的洪水，"
+          "以及救了全村的磨坊主。故事讲完时天已经黑了，大家只好在林中的小屋里过夜。",
+    "el": "Χθες το πρωί τα παιδιά πήγαν μαζί μέσα από το δάσος για να βρουν τον παλιό μύλο που κάποτε στεκόταν πάνω από το ποτάμι. "
+          "Στον δρόμο συνάντησαν έναν δασοφύλακα που τους διηγήθηκε μια μεγάλη ιστορία για την πλημμύρα πριν από εκατό χρόνια.",
+    "nl": "Gisteren liepen kinderen samen door bossen, zoekend naar oude molens langs kronkelende rivieren. Onderweg ontmoetten "
+          "ze boswachters, vertellend over overstromingen honderd jaar geleden, waarbij molenaars hele dorpen redden dankzij moed.",
+}
+
+
+@pytest.mark.parametrize("lang", FOREIGN)
+@pytest.mark.parametrize("wrap", ["{}", "<article>{}</article>", "<main>{}</main>", "<div class=content>{}</div>"])
+def test_languages_without_listed_stop_words(lang, wrap):
+    text = FOREIGN[lang]
+    page = "<nav><a href=/>Start</a></nav>" + wrap.format(f"<h1>{text[:20]}</h1><p>{text}</p><p>{text[5:]}</p>") + "<footer>x</footer>"
+    assert main_text.main_text(page) == f"{text[:20].strip()}\n\n{text}\n\n{text[5:].strip()}"
+
+
+@pytest.mark.parametrize("name", ["comment-list", "comment-body", "user-comments", "comments", "disqus-thread", "post_comments"])
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<article><p>{0}</p></article><div class='{1}'><p>{2}</p><p>{2}</p></div>",
+        "<article><p>{0}</p><div class='{1}'><p>{2}</p></div></article>",
+        "<p>{0}</p><section id='{1}'><div><p>{2}</p></div></section>",
+        "<div class='{1}'><p>{2}</p></div><main><p>{0}</p></main>",
+    ],
+)
+def test_reader_comments_go_whatever_their_prose(name, page):
+    assert main_text.main_text(page.format(PROSE, name, "I was there as well and it was the best of all the days that we had. " * 5)) == PROSE
+
+
+@pytest.mark.parametrize("name", ["comments-open", "has-comments", "post comments-enabled"])
+def test_pages_that_allow_comments_keep_their_text(name):
+    assert main_text.main_text(f"<div class='{name}'><h1>One</h1><p>{PROSE}</p></div>") == f"One\n\n{PROSE}"
+
+
+def test_page_of_comments_alone():
+    assert main_text.main_text(f"<div class='comment-list'><p>{PROSE}</p></div>") == PROSE
+
+
+def test_paragraph_of_an_article_that_is_one_link():
+    link = "<a href='/x'>The whole of this paragraph is one link to another page</a>"
+    page = f"<article><h2><a href=/t>Title</a></h2><p>{PROSE}</p><p>{link}</p><p>{PROSE}</p></article>"
+    assert main_text.main_text(page) == f"Title\n\n{PROSE}\n\nThe whole of this paragraph is one link to another page\n\n{PROSE}"
+
+
+@pytest.mark.parametrize("name", ["nav", "aside", "menu", "footer"])
+@pytest.mark.parametrize("rest", ["<article><p>{0}</p><p>Short.</p></article>", "<div><p>{0}</p><p>Short.</p></div>", "<main><p>{0}</p><p>Short.</p>"])
+def test_menu_that_is_never_closed(name, rest):
+    page = f"<body><div><{name}><ul><li><a href=/>Home</a><li><a href=/a>About us</a></ul></div>" + rest.format(PROSE)
+    assert main_text.main_text(page) == f"{PROSE}\n\nShort."
+    page = f"<body><{name}><ul><li><a href=/>Home</a><li><a href=/a>About us</a></ul>" + rest.format(PROSE)
+    assert main_text.main_text(page) == f"{PROSE}\n\nShort."
