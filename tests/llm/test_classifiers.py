@@ -134,3 +134,20 @@ def test_calibration_of_cleanly_split_labels():
 
 def test_quality_sample_is_not_cut():
     assert quality.SAMPLE >= 8_000
+
+
+def test_sample_is_of_documents_there_are(spark):
+    """Labels without a document take up no place, and given names don't clash."""
+    docs = spark.range(0, 100).select(F.col("id").alias("doc_id"), F.lit("t").alias("_id"), F.concat(F.lit("x"), "id").alias("text"))
+    labels = spark.range(0, 10_000).select(
+        ((F.col("id") * 7919) % 10_000).alias("doc_id"), (F.col("id") % 2).cast("int").alias("quality"), F.lit(1).alias("_id_"))
+    pairs = labelled.sample(docs, labels, "quality", 100, F.col("text"))
+    assert len(pairs) == 100 and len({v for v, _ in pairs}) == 100
+    again = labelled.sample(docs, labels, "quality", 10, F.col("text"))
+    assert len(again) == 10 and set(again) <= set(pairs)
+    assert labelled.sample(docs.where("false"), labels, "quality", 100, F.col("text")) == []
+
+
+def test_rows_without_an_id_are_not_held_out(spark):
+    df = spark.createDataFrame([(None,), (1,)], "doc_id long")
+    assert [r[0] for r in df.select(labelled.held_out(F.col("doc_id"), 3, 1)).collect()][0] is False
