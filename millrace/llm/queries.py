@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
-
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import bpe, chat, collocations, decontaminate, forest, labelled, main_text, quality, secret_scan, simhash, structure, token_counts, topk, toxicity
 from millrace.llm.tables import QUERIES, query, table
-from millrace.session import pin, shared_folder
+from millrace.session import scratch
 
 __all__ = ["QUERIES"]
 
@@ -57,7 +55,7 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         return rows.select("source", "lang", F.lit(op).alias("op"), F.inline(counts))
 
     by = {"source": "string", "lang": "string", "tokenizer": "string"}
-    totals = token_counts.TokenTotals(spark, f"{shared_folder(spark)}/token-totals-{uuid.uuid4().hex}", by)
+    totals = token_counts.TokenTotals(spark, f"{scratch(spark)}/totals", by)
     batches = {
         "load": changes(docs, "insert"),
         "take-downs": changes(docs.where(down), "delete"),
@@ -250,24 +248,24 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     """
     WITH given AS (
-        SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+        SELECT row_number() OVER () AS n, vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
         FROM embeddings
         WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
           AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
     ),
-    parts AS (SELECT vec_id, unnest(v) AS x, unnest(range(len(v))) AS i FROM given),
+    parts AS (SELECT n, vec_id, unnest(v) AS x, unnest(range(len(v))) AS i FROM given),
     scores AS (
-        SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.x * c.x) AS BIGINT) AS score
+        SELECT q.n AS q, q.vec_id AS query_id, c.n, c.vec_id, CAST(sum(q.x * c.x) AS BIGINT) AS score
         FROM parts q JOIN parts c USING (i)
-        WHERE q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id GROUP BY ALL
+        WHERE q.vec_id % 20 = 0 AND q.n <> c.n GROUP BY ALL
     ),
-    ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM scores)
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, vec_id) AS r FROM scores)
     SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score FROM ranked WHERE r <= 20
     """
 )
 def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 best rows for every twentieth vector."""
-    vectors = pin(topk.vectors_of(table(spark, sf_dir, "embeddings"), topk.whole(F.col("embedding"))))
+    vectors = topk.vectors_of(table(spark, sf_dir, "embeddings"), topk.whole(F.col("embedding")))
     return topk.PivotIndex(vectors).search(vectors.where("vec_id % 20 = 0"), 20)
 
 

@@ -17,8 +17,8 @@ depend on the index. Pivots are fitted on at most ``SAMPLE`` vectors; all are in
 
 Defined cases: null vectors and those with null or non-finite components take no part, nor
 does a null id; vectors of unequal lengths are filled up with zeros, so an empty one scores
-0; an id that occurs more than once counts once, with the smallest of its vectors; equal
-scores are ranked by id; an empty table has no answers. Components are floor(64 x) as whole
+0; rows that share an id are candidates of each other, and each query row has answers of its
+own; equal scores are ranked by id; an empty table has no answers. Components are floor(64 x) as whole
 numbers of 64 bits; scores beyond that are held at its ends. Other columns are ignored.
 """
 
@@ -52,9 +52,15 @@ def whole(vector: Column, scale: int = 64) -> Column:
 
 
 def vectors_of(rows: DataFrame, vector: Column, vec_id: str = "vec_id") -> DataFrame:
-    """(vec_id, v): one row per id that has a vector."""
+    """(row, vec_id, v): the rows that have an id and a vector, written once with a number each."""
     found = rows.select(F.col(vec_id).cast("bigint").alias("vec_id"), vector.alias("v"))
-    return found.where("vec_id IS NOT NULL AND v IS NOT NULL").groupBy("vec_id").agg(F.min("v").alias("v"))
+    found = found.where("vec_id IS NOT NULL AND v IS NOT NULL")
+    return pin(found.select(F.monotonically_increasing_id().alias("row"), "vec_id", "v"))
+
+
+def _numbered(vectors: DataFrame) -> DataFrame:
+    """Rows without a number are told apart by their ids."""
+    return vectors if "row" in vectors.columns else vectors.withColumn("row", F.col("vec_id"))
 
 
 def _matrix(vectors: pa.Array, dims: int) -> np.ndarray:
@@ -83,7 +89,7 @@ def fitted_pivots(vectors: DataFrame, dims: int, pivots: int = PIVOTS, sample: i
 
 
 class PivotIndex:
-    """An index over (vec_id, v array<bigint>)."""
+    """An index over (row, vec_id, v array<bigint>); without ``row`` the ids must be unique."""
 
     def __init__(self, vectors: DataFrame, block: int = BLOCK):
         spark = vectors.sparkSession
@@ -97,7 +103,7 @@ class PivotIndex:
         )
 
     def _placed(self, vectors: DataFrame, size: int) -> DataFrame:
-        """vec_id, vector (packed), norm, far (distance to each pivot), pivot, dist, block."""
+        """row, vec_id, vector (packed), norm, far (distance to each pivot), pivot, dist, block."""
         dims, pivots = self.dims, self.pivots
         filled = F.slice(F.concat("v", F.array_repeat(F.lit(0).cast("bigint"), dims)), 1, dims) if dims else F.col("v")
 
@@ -109,6 +115,7 @@ class PivotIndex:
                 far = np.stack([np.sqrt(np.sum((real - c) ** 2, axis=1)) for c in centres], axis=1)
                 near = np.argmin(far, axis=1).astype(np.int32) if len(x) else np.zeros(0, np.int32)
                 columns = [
+                    batch.column("row"),
                     batch.column("vec_id"),
                     pa.array([row.tobytes() for row in x], pa.binary()),
                     pa.array(np.sqrt(np.sum(real**2, axis=1))),
@@ -116,10 +123,10 @@ class PivotIndex:
                     pa.array(near),
                     pa.array(far[np.arange(len(x)), near]),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, ["vec_id", "vector", "norm", "far", "pivot", "dist"])
+                yield pa.RecordBatch.from_arrays(columns, ["row", "vec_id", "vector", "norm", "far", "pivot", "dist"])
 
-        kind = "vec_id bigint, vector binary, norm double, far array<double>, pivot int, dist double"
-        rows = vectors.select("vec_id", filled.alias("v")).mapInArrow(place, kind)
+        kind = "row bigint, vec_id bigint, vector binary, norm double, far array<double>, pivot int, dist double"
+        rows = _numbered(vectors).select("row", "vec_id", filled.alias("v")).mapInArrow(place, kind)
 
         def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             base, block, pivot, used = TaskContext.get().partitionId() << 32, 0, None, 0
@@ -132,7 +139,7 @@ class PivotIndex:
                     numbers.append(base + block)
                 yield batch.append_column("block", pa.array(numbers, pa.int64()))
 
-        order = ["pivot", "dist", "vec_id"]
+        order = ["pivot", "dist", "vec_id", "row"]
         return rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(cut, f"{kind}, block bigint")
 
     def search(self, queries: DataFrame, k: int = 20) -> DataFrame:
@@ -145,7 +152,7 @@ class PivotIndex:
         order = Window.partitionBy("qblock").orderBy(F.desc(_bound(gap)), gap, "block")
         sorted_ = pin(
             reach.join(self.annuli, "pivot").select(
-                "qblock", "block", "pivot", "inner", "outer", "most", F.row_number().over(order).alias("nth")
+                "qblock", "block", "pivot", "inner", "outer", "most", _bound(gap).alias("reach"), F.row_number().over(order).alias("nth")
             )
         )
         best, begin = None, 0
@@ -154,25 +161,30 @@ class PivotIndex:
             found = self._scored(step, asked, best, k)
             best = pin(_ranked(found if best is None else found.unionByName(best.drop("rank")), k))
             begin = end
-        return best
+        return best.select("query_id", "rank", "vec_id", "score")
 
     def _scored(self, step: DataFrame, asked: DataFrame, best: DataFrame | None, k: int) -> DataFrame:
-        """The scores of one step that can matter: query_id, vec_id, score."""
-        asked = asked.select("qblock", "vec_id", "vector", "norm", "far")
+        """The scores of one step that can matter: q and row (numbers), query_id, vec_id, score."""
+        asked = asked.select("qblock", "row", "vec_id", "vector", "norm", "far")
         if best is None:
             asked = asked.withColumn("floor", F.lit(None).cast("bigint"))
         else:
-            floors = best.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("floor"))
-            asked = asked.join(floors, "vec_id", "left")
+            floors = best.where(F.col("rank") == k).select(F.col("q").alias("row"), F.col("score").alias("floor"))
+            asked = asked.join(floors, "row", "left")
+            # Annuli that no query of a block can want any more form no pairs.
+            least = F.min(F.coalesce("floor", F.lit(-(1 << 63)))).alias("least")
+            blocks = asked.groupBy("qblock").agg(least)
+            step = step.join(blocks, "qblock").where(F.col("reach") >= F.col("least")).drop("least")
+        step = step.drop("reach")
         pairs = asked.join(step, "qblock")
         d = F.get("far", "pivot")
         gap = F.greatest(F.lit(0.0), F.col("inner") - d, d - F.col("outer"))
         pairs = pairs.where(F.col("floor").isNull() | (_bound(gap) >= F.col("floor")))
-        pairs = pairs.select("block", F.lit(1).alias("kind"), "vec_id", "vector", "floor")
+        pairs = pairs.select("block", F.lit(1).alias("kind"), "row", "vec_id", "vector", "floor")
         rows = self.rows.join(pairs.select("block").distinct(), "block", "left_semi")
-        rows = rows.select("block", F.lit(0).alias("kind"), "vec_id", "vector", F.lit(None).cast("bigint").alias("floor"))
-        both = rows.unionByName(pairs).repartition("block").sortWithinPartitions("block", "kind", "vec_id")
-        return both.mapInArrow(_products(self.dims, k), "query_id bigint, vec_id bigint, score bigint")
+        rows = rows.select("block", F.lit(0).alias("kind"), "row", "vec_id", "vector", F.lit(None).cast("bigint").alias("floor"))
+        both = rows.unionByName(pairs).repartition("block").sortWithinPartitions("block", "kind", "vec_id", "row")
+        return both.mapInArrow(_products(self.dims, k), "q bigint, query_id bigint, row bigint, vec_id bigint, score bigint")
 
 
 def _bound(gap: Column) -> Column:
@@ -182,9 +194,8 @@ def _bound(gap: Column) -> Column:
 
 
 def _ranked(found: DataFrame, k: int) -> DataFrame:
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    order = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id", "row")
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
 def _products(dims: int, k: int):
@@ -201,21 +212,22 @@ def _products(dims: int, k: int):
                 run = batch.slice(begin, end - begin)
                 if blocks[begin] != block:
                     block, parts, members = blocks[begin], [], None
-                ids, matrix = run.column("vec_id").to_numpy(), _matrix(run.column("vector"), dims)
+                keys, ids = run.column("row").to_numpy(), run.column("vec_id").to_numpy()
+                matrix = _matrix(run.column("vector"), dims)
                 if kinds[begin] == 0:
-                    parts.append((ids, matrix))
+                    parts.append((keys, ids, matrix))
                     continue
                 if members is None:
                     members = tuple(map(np.concatenate, zip(*parts)))
                 floors = run.column("floor").fill_null(-(1 << 63)).to_numpy()
                 for at in range(0, len(ids), QUERIES):
                     span = slice(at, at + QUERIES)
-                    yield _best(ids[span], matrix[span], floors[span], *members, k)
+                    yield _best(keys[span], ids[span], matrix[span], floors[span], *members, k)
 
     return scored
 
 
-def _best(query_ids, queries, floors, ids, vectors, k: int) -> pa.RecordBatch:
+def _best(query_keys, query_ids, queries, floors, keys, ids, vectors, k: int) -> pa.RecordBatch:
     """The ``k`` best of ``vectors``, which are in order of id, that reach a query's floor."""
     n = len(ids)
     most = np.sqrt((queries.astype(float) ** 2).sum(axis=1).max() * (vectors.astype(float) ** 2).sum(axis=1).max())
@@ -223,14 +235,15 @@ def _best(query_ids, queries, floors, ids, vectors, k: int) -> pa.RecordBatch:
         scores = (queries.astype(np.float64) @ vectors.T.astype(np.float64)).astype(np.int64)
         # Of equal scores the one that comes first is the greater.
         ranks = scores * n + np.arange(n - 1, -1, -1)
-        ranks[query_ids[:, None] == ids[None, :]] = -(1 << 63)
+        ranks[query_keys[:, None] == keys[None, :]] = -(1 << 63)
         top = np.argpartition(ranks, max(n - k, 0), axis=1)[:, max(n - k, 0) :]
     else:
         exact = queries.astype(object) @ vectors.T.astype(object)
         scores = np.clip(exact, -(1 << 63), (1 << 63) - 1).astype(np.int64)
-        own = query_ids[:, None] == ids[None, :]
-        top = np.stack([np.lexsort((ids, [-int(s) for s in row], mine))[:k] for row, mine in zip(scores, own)])
+        own = query_keys[:, None] == keys[None, :]
+        top = np.stack([np.lexsort((keys, ids, [-int(s) for s in row], mine))[:k] for row, mine in zip(scores, own)])
     rows = np.arange(len(query_ids))[:, None]
-    keep = (scores[rows, top] >= floors[:, None]) & (ids[top] != query_ids[:, None])
-    columns = (np.broadcast_to(query_ids[:, None], top.shape)[keep], ids[top][keep], scores[rows, top][keep])
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["query_id", "vec_id", "score"])
+    keep = (scores[rows, top] >= floors[:, None]) & (keys[top] != query_keys[:, None])
+    asked = [np.broadcast_to(column[:, None], top.shape)[keep] for column in (query_keys, query_ids)]
+    columns = (*asked, keys[top][keep], ids[top][keep], scores[rows, top][keep])
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["q", "query_id", "row", "vec_id", "score"])
