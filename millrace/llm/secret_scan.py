@@ -50,10 +50,11 @@ _FORMS = (
     (re.compile(r"M[A-P]|b3Blbn"), re.compile(r"[A-Za-z0-9+/_-]+"), re.compile(r"[A-Za-z0-9+]"), lambda n: (4 * n + 2) // 3, lambda run: _decoded(run)),
     (re.compile(r"30|6[Ff]70"), re.compile(r"[0-9A-Fa-f]+"), re.compile(r"[0-9A-Fa-f]"), lambda n: 2 * n, bytes.fromhex),
 )
-_DOTTED = re.compile(r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{8,}+(?:\.[A-Za-z0-9_-]{8,}+){2,}")
+#: A header of an object with ``alg`` has eight characters at least; a payload may be ``{}``, a signature empty.
+_DOTTED = re.compile(r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{8,}+(?:\.[A-Za-z0-9_-]*+){2,}")
 #: How an object can begin; what stands before it in a part is not the header's.
 _OBJECT = re.compile(r"e[w-z0-9_-]")
-_ARMOUR = re.compile(r"-----BEGIN ([A-Z0-9 ]*KEY)-----")
+_ARMOUR = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----")
 _ESCAPED = re.compile(r"\\+(?:([nrt]|u000[aAdD])|(?=/))")
 _QUOTES = re.compile(r"""["'][\s+.,&\\]*["']""")
 _SSH_MAGIC = b"openssh-key-v1\0"
@@ -109,12 +110,14 @@ def is_der_key(data: bytes) -> bool:
     if not inner or len(inner) < 2:
         return False
     tags = [tag for tag, _, _ in inner]
-    if tags[:3] == [0x02] * 3 and set(tags) <= {0x02, 0x30}:  # numbers of an RSA or DSA key
+    if tags[0] == 0x02 and (inner[0][2] - inner[0][1] != 1 or data[inner[0][1]] > 1):  # no version
+        return False
+    if tags[:4] == [0x02] * 4 and set(tags) <= {0x02, 0x30}:  # version and numbers of a private RSA or DSA key
         return True
     if tags[0] == 0x02 and tags[1] in (0x30, 0x04):  # version, then algorithm or EC scalar
         algorithm = _elements(data, *inner[1][1:]) if tags[1] == 0x30 else None
         return tags[1] == 0x04 or bool(algorithm) and algorithm[0][0] == 0x06 and 0x04 in tags[2:]
-    if tags[0] == 0x30 and (tags[1] == 0x03 or tags == [0x30, 0x04]):  # algorithm, and public key bits or an encrypted key
+    if tags == [0x30, 0x04]:  # algorithm and an encrypted key; public keys are no secrets
         algorithm = _elements(data, *inner[0][1:])
         return bool(algorithm) and algorithm[0][0] == 0x06
     return False
@@ -141,13 +144,43 @@ def is_openssh_key(data: bytes) -> bool:
     return _openssh_size(lambda n: data[:n] if n <= len(data) else None) > 0
 
 
-def _der_size(head: bytes) -> int:
-    """The length of a sequence that begins so, 0 if no key does."""
-    size = head[1] & 0x7F if head[1] >= 0x80 else 0
-    if head[0] != 0x30 or size > 4 or head[1] == 0x80 or head[2 + size] not in (0x02, 0x30):
+def _length(data: bytes, at: int) -> tuple[int, int] | None:
+    """Where the content of the element at ``at`` begins and ends."""
+    if at + 2 > len(data):
+        return None
+    size = data[at + 1] & 0x7F if data[at + 1] >= 0x80 else 0
+    if size > 4 or data[at + 1] == 0x80 or at + 2 + size > len(data):
+        return None
+    begin = at + 2 + size
+    return begin, begin + (int.from_bytes(data[at + 2 : begin], "big") if size else data[at + 1])
+
+
+def _der_size(read: Callable[[int], bytes | None]) -> int:
+    """The length of a sequence that begins as a key does, 0 if none does.
+
+    A version of one byte, or an algorithm with its identifier, comes first, and the element
+    behind it fits into the sequence: so only the beginnings of keys are read in full.
+    """
+    head = read(9)
+    outer = _length(head, 0) if head and head[0] == 0x30 else None
+    if outer is None or outer[1] < 24:
         return 0
-    total = 2 + size + (int.from_bytes(head[2 : 2 + size], "big") if size else head[1])
-    return total if total >= 24 else 0
+    begin, end = outer
+    first = head[begin] if begin < len(head) else 0
+    if first not in (0x02, 0x30):
+        return 0
+    # Headers of up to six bytes within and behind the first element.
+    data = read(min(begin + 12, end))
+    inner = data and _length(data, begin)
+    if not inner or inner[1] >= end:
+        return 0
+    if first == 0x02 and (inner[1] - inner[0] != 1 or data[inner[0]] > 1):
+        return 0
+    if first == 0x30 and (inner[0] >= len(data) or data[inner[0]] != 0x06 or inner[1] > begin + 512):
+        return 0
+    data = read(min(inner[1] + 6, end))
+    following = data and _length(data, inner[1])
+    return end if following and following[1] <= end and data[inner[1]] in (0x02, 0x04, 0x30) else 0
 
 
 def _gathered(text: str, at: int, n: int, run: re.Pattern) -> tuple[str, int] | None:
@@ -182,7 +215,7 @@ def _keys(text: str) -> Iterator[tuple[int, int, str]]:
             if _SSH_MAGIC.startswith(head):
                 kind, size = "openssh", _openssh_size(read)
             else:
-                kind, size = "der", _der_size(head)
+                kind, size = "der", _der_size(read)
             if not size or not (part := _gathered(text, start, chars(size), run)):
                 continue
             end = part[1]
@@ -221,8 +254,23 @@ def _object(part: str) -> dict | None:
     return found if isinstance(found, dict) else None
 
 
-def _is_header(part: str) -> bool:
-    return isinstance((_object(part) or {}).get("alg"), str)
+def _header(part: str) -> tuple[int, str] | None:
+    """Where a token's header begins in a part, and its algorithm; each of the four alignments is decoded once."""
+    decoded: dict[int, bytes | None] = {}
+    for start in [0, *(o.start() for o in _OBJECT.finditer(part))]:
+        turn = start % 4
+        if turn not in decoded:
+            decoded[turn] = _decoded(part[turn:])
+        data, at = decoded[turn], (start - turn) // 4 * 3
+        if not data or data[at : at + 1] != b"{" or not data.rstrip().endswith(b"}"):
+            continue
+        try:
+            found = json.loads(data[at:])
+        except (ValueError, RecursionError):
+            continue
+        if isinstance(found, dict) and isinstance(found.get("alg"), str):
+            return start, found["alg"]
+    return None
 
 
 def _tokens(text: str) -> Iterator[tuple[int, int, str]]:
@@ -230,13 +278,12 @@ def _tokens(text: str) -> Iterator[tuple[int, int, str]]:
         parts, at, k = m[0].split("."), m.start(), 0
         while k + 2 < len(parts):
             size = 1
-            if _object(parts[k + 1]) is not None:
-                header = parts[k]
-                starts = [0, *(o.start() for o in _OBJECT.finditer(header))]
-                start = next((n for n in starts if _is_header(header[n:])), None)
-                if start is not None:
+            if parts[k + 1][:1] == "e" and _object(parts[k + 1]) is not None:
+                header = _header(parts[k])
+                # Only a token that says so goes unsigned.
+                if header and (parts[k + 2] or header[1].lower() == "none"):
                     size = 3
-                    yield at + start, at + len(".".join(parts[k : k + 3])), "jwt"
+                    yield at + header[0], at + len(".".join(parts[k : k + 3])), "jwt"
             at += sum(len(part) + 1 for part in parts[k : k + size])
             k += size
 

@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import json
+import time
 import re
 
 import pytest
@@ -180,3 +181,58 @@ def test_tokens_behind_others(token, before):
     n = len(before + token)
     both = [s for s in secret_scan.spans_of(f"{before}{token}.{token}") if s[2] == "jwt"]
     assert both == [*expected, (n + 1, n + 1 + len(token), "jwt")]
+
+
+SPKI = der(0x30, der(0x30, der(6, b"\x2a\x86\x48\x86\xf7\x0d\1\1\1") + b"\5\0") + der(3, b"\0" + der(0x30, der(2, bytes(range(1, 65))) + der(2, b"\1\0\1"))))
+RSA_PUBLIC = der(0x30, der(2, bytes(range(1, 65))) + der(2, b"\1\0\1"))
+DSA_PARAMETERS = der(0x30, der(2, bytes(range(1, 65))) + der(2, bytes(range(1, 21))) + der(2, bytes(range(2, 66))))
+
+
+@pytest.mark.parametrize(
+    "text",
+    [b64(SPKI), RSA_PUBLIC.hex().upper(), b64(RSA_PUBLIC), b64(DSA_PARAMETERS),
+     f"-----BEGIN PUBLIC KEY-----\n{b64(SPKI)}\n-----END PUBLIC KEY-----",
+     f"-----BEGIN RSA PUBLIC KEY-----\n{b64(RSA_PUBLIC)}\n-----END RSA PUBLIC KEY-----"],
+)
+def test_public_keys_are_no_secrets(text):
+    assert [s for s in secret_scan.spans_of(f"see {text} there") if s[2] not in secret_scan.BASE] == []
+
+
+def _token(header, payload, signature):
+    return ".".join([b64(json.dumps(header, separators=(",", ":")).encode(), True), b64(json.dumps(payload).encode(), True), signature])
+
+
+@pytest.mark.parametrize(
+    "token, found",
+    [
+        (_token({"alg": "HS256"}, {}, "c2lnbmF0dXJl"), True),
+        (_token({"alg": "HS256"}, {}, "sig"), True),
+        (_token({"alg": "none"}, {"sub": "1"}, ""), True),
+        (_token({"alg": "NONE"}, {}, ""), True),
+        (_token({"alg": "HS256"}, {"sub": "1"}, ""), False),
+        (_token({"typ": "JWT"}, {"sub": "1"}, "c2lnbmF0dXJl"), False),
+        (_token({"alg": 5}, {"sub": "1"}, "c2lnbmF0dXJl"), False),
+    ],
+)
+def test_short_and_unsigned_tokens(token, found):
+    for before in ("see ", "see prefix-", "see refreshToken.", "see a.b."):
+        spans = [s for s in secret_scan.spans_of(f"{before}{token} there") if s[2] == "jwt"]
+        assert spans == ([(len(before), len(before) + len(token), "jwt")] if found else [])
+
+
+def _seconds(text):
+    best = 1e9
+    for _ in range(3):
+        began = time.perf_counter()
+        secret_scan.spans_of(text)
+        best = min(best, time.perf_counter() - began)
+    return best
+
+
+@pytest.mark.parametrize("unit", ["MIMB////", "MIICXQIBAAKB", "MIIEvQIBADANBgkqhkiG9w0BAQEFAASC", "ey", "eyJhbGciOiJ", "M", "30820122", "a.eyJ.", "."])
+def test_time_grows_with_the_text(unit):
+    """Up to a megabyte, twice the text takes about twice the time."""
+    small, large = (unit * (n // len(unit)) for n in (250_000, 500_000))
+    tail = "." + b64(b"{}", True) + ".x"
+    first, second = _seconds(small + tail), _seconds(large + tail)
+    assert second < max(3.0 * first, 0.4)
