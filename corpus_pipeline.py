@@ -8,13 +8,11 @@ no tokens. Columns beyond those of ``documents`` are ignored.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import decontaminate, queries, secret_scan, simhash, toxicity
-from millrace.session import shared_folder
+from millrace.session import scratch
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -82,7 +80,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each result written and read again."""
     docs = queries.table(spark, sf_dir, "documents")
-    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    # Gone when the driver's JVM ends, results included: write them elsewhere to keep them.
+    folder = scratch(spark)
     for number, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{number}")
         docs = spark.read.parquet(f"{folder}/{number}")
