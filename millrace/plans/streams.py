@@ -13,8 +13,10 @@ from millrace.plans.registry import DAY, bucket, query, table
 from millrace.plans.related import LOG, change_log
 from millrace.plans.timed import ARRIVAL, EXACT, MONEY, arrived, classified_sql
 from millrace.session import scratch
+from millrace.sinks.writers import write_lines
 from millrace.sources import epochs
-from millrace.streaming import carried, changes, firings, handover, rules
+from millrace.sources.lines import parse_lines, stream_lines
+from millrace.streaming import carried, changes, event_time, firings, handover, rules, sinks
 from millrace.streaming.batches import Output, run
 from millrace.streaming.tables import KeyedTable
 
@@ -206,3 +208,46 @@ def rules_streamed(spark, sf):
     out = Output(f"{folder}/out")
     run(found, out.write, f"{folder}/checkpoint").awaitTermination()
     return out.read(spark).filter("value >= least").select("event_id", "rule", "least")
+
+
+@query("SELECT s_suppkey AS id, s_name AS name, s_nationkey AS nation FROM supplier")
+def lines_streamed(spark, sf):
+    """Text lines that land in a folder, parsed as they come."""
+    folder = scratch(spark)
+    rows = table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    for part in range(3):
+        write_lines(rows.filter(F.col("s_suppkey") % 3 == part), f"{folder}/in", "append")
+    out = Output(f"{folder}/out")
+    parsed = parse_lines(stream_lines(spark, f"{folder}/in", 1), "id bigint, name string, nation int")
+    run(parsed, out.write, f"{folder}/checkpoint").awaitTermination()
+    return out.read(spark)
+
+
+@query(f"""
+WITH e AS (SELECT max(ts) - INTERVAL 2 DAY AS reached FROM events)
+SELECT {bucket('ts', DAY)} AS window_start, event_type, count(*) AS n FROM events, e
+WHERE {bucket('ts', DAY)} + INTERVAL 1 DAY <= reached GROUP BY ALL""")
+def windows_streamed(spark, sf):
+    """Windows that a watermark two days behind has closed."""
+    folder = scratch(spark)
+    rows = _events(spark, sf, "event_id", f"{folder}/in", "event_id", "ts", "event_type")
+    counts = event_time.window_stream(rows, "ts", "1 day", ["event_type"], {"n": count()}, delay="2 days")
+    out = Output(f"{folder}/out")
+    run(counts, out.write, f"{folder}/checkpoint").awaitTermination()
+    return out.read(spark).select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "n")
+
+
+@query("""
+SELECT user_id, event_id, event_type FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1""")
+def upserts_streamed(spark, sf):
+    """The last row of each user in every micro-batch, into a table that replaces by user."""
+    folder = scratch(spark)
+    held = KeyedTable(f"{folder}/table", ["user_id"], ["event_id"], compact=2)
+    rows = _events(spark, sf, "event_id", f"{folder}/in", "event_id", "user_id", "event_type")
+
+    def write(batch: DataFrame, number: int) -> None:
+        held.write(batch.withColumn(changes.KIND, F.lit(changes.UPDATE)), number)
+
+    sinks.upsert_sink(rows, ["user_id"], ["event_id"], write, f"{folder}/checkpoint").awaitTermination()
+    return held.read(spark).select("user_id", "event_id", "event_type")

@@ -56,7 +56,9 @@ def upsert_sink(
     """Hands ``write`` the last row per key of every micro-batch.
 
     ``write`` gets the batch number as well. It must replace rows by key, or remember
-    the number, because a batch may be written again after a failure.
+    the number, because a batch may be written again after a failure. Rows are compared
+    within a micro-batch only: where an older one may come in a later micro-batch, use
+    ``changes.current_stream``, which keeps the positions of the rows.
     """
 
     def handle(batch: DataFrame, number: int) -> None:
