@@ -84,10 +84,18 @@ def window_firings(
     keys: Sequence[str],
     arrival: Sequence[str],
     outputs: Mapping[str, Mergeable],
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Every result a window emits: one when it closes, one more per allowed late row."""
-    # Read several times below, and itself the result of a scan over all rows.
-    counted = pin(classified.filter(F.col("status") != LATE))
+    """Every result a window emits: one when it closes, one more per allowed late row.
+
+    The rows are written once on the way, as they are read several times. Name in ``columns``
+    what the outputs read and the results should show, beside keys, window, status and
+    arrival; without it all columns are written.
+    """
+    counted = classified.filter(F.col("status") != LATE)
+    if columns is not None:
+        counted = counted.select(*dict.fromkeys([*keys, "window_start", "window_end", "status", *arrival, *columns]))
+    counted = pin(counted)
     rows = (
         Ordered.of(counted, [*keys, "window_start"], arrival)
         .scan(outputs)

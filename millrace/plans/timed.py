@@ -227,7 +227,7 @@ SELECT event_id, window_start, event_type, status, CAST(total AS DOUBLE) / n AS
 WHERE status = 'allowed' OR following IS DISTINCT FROM 'on_time'""")
 def lateness_firings(spark, sf):
     fired = late.window_firings(
-        _statuses(spark, sf, "1 hour"), ["event_type"], ARRIVAL, windows.mean_outputs(exact("value"))
+        _statuses(spark, sf, "1 hour"), ["event_type"], ARRIVAL, windows.mean_outputs(exact("value")), ["value"]
     )
     mean = (as_double("total") / F.col("n")).alias("mean")
     return fired.select("event_id", "window_start", "event_type", "status", mean)
