@@ -7,10 +7,14 @@ threshold, whatever lengths are under way, and until it has seen every shard onc
 count is then exact: no phrase is more frequent than its parts, so none that reaches the
 threshold is missed. Counting ends one circle after the last part has reached it.
 
-A scan counts in its tasks by the numbers that words have there. It looks up parts in
-bitmaps of ``2 ** BITS`` bits per length, to which each stop adds what its executors have
-gathered; a false hit is dropped by the join with the parts themselves. So what is
-broadcast is bounded, and beyond that size more rows are shuffled with the same result.
+Until then phrases go by 62 bits of a hash and two for their length, which halves what is
+shuffled: phrases that share them are counted together, so a count is never too low and no
+phrase is lost. The phrases that remain are then counted once more by their words, which
+makes all counts exact. A phrase that reaches the threshold has its ``SHARDS``-th part of it
+in some shard; only such phrases are followed from stop to stop, with what the scans of the
+circle hold of them, so the many rare phrases are not handled again. Parts and followed
+phrases are looked up in bitmaps of ``2 ** BITS`` bits, gathered on the executors, so what
+is broadcast is bounded; false hits add counts that are true.
 
 Defined cases: a null text is empty, a null language is ``und`` and shares its counts with
 that word itself; repeated rows count each; an empty table has no phrases. Texts of any
@@ -34,7 +38,9 @@ from millrace.session import pin, scratch
 
 SHARDS, LONGEST, LEAST = 3, 4, 30
 BITS = 24
-SECTION, TOKENS, WORDS, ROWS = 1 << 20, 1 << 18, 1 << 20, 1 << 20
+SECTION, TOKENS, WORDS, ROWS = 1 << 20, 1 << 18, 1 << 20, 1 << 22
+#: Bytes of text that a task should count at least, as phrases then meet again within it.
+TASK = 128 << 20
 #: A phrase goes for a longer one that holds it at this many hundredths of its occurrences.
 SHARE = 80
 SCALE = 2_000_000
@@ -42,8 +48,7 @@ _SEPARATORS = b".,;:!?\n\x0b\x0c\r"
 _PLAIN = bytes.maketrans(_SEPARATORS + b"\t", b"\n" * len(_SEPARATORS) + b" ")
 _GAP, _BREAK = -2, -1
 _STEP, _STIR = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
-_KEY = ["lang", "words", "phrase"]
-_COUNTED = "lang string, words int, phrase string, f bigint"
+_LENGTHS = np.uint64(3)
 
 
 def _longer(codes: np.ndarray, following: np.ndarray) -> np.ndarray:
@@ -51,22 +56,29 @@ def _longer(codes: np.ndarray, following: np.ndarray) -> np.ndarray:
     return (codes * _STEP) ^ (following + (codes >> np.uint64(29)))
 
 
-def _slots(codes: np.ndarray, lang: str, bits: int) -> np.ndarray:
+def _hashed(codes: np.ndarray, lang: str, size: int) -> np.ndarray:
+    """The hash of phrases, whose last two bits are their length."""
     mixed = (codes ^ np.uint64(xxhash.xxh64_intdigest(lang.encode()))) * _STIR
-    return mixed >> np.uint64(64 - bits)
+    return (mixed & ~_LENGTHS) | np.uint64(size - 1)
 
 
 class _Bitmap:
-    """Which codes may be among the parts."""
+    """Which hashes may be among the marked ones."""
 
-    def __init__(self, bits: int, words: np.ndarray) -> None:
-        self.bits, self.words = bits, words
+    def __init__(self, words: np.ndarray) -> None:
+        self.words = words
+        self.shift = np.uint64(64 - 6 - (len(words) - 1).bit_length())
 
-    def holds(self, codes: np.ndarray, lang: str) -> np.ndarray:
-        slot = _slots(codes, lang, self.bits)
+    def holds(self, hashes: np.ndarray) -> np.ndarray:
+        slot = hashes >> self.shift
         return (self.words[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) != 0
 
 
+def _united(marks: list[np.ndarray | None]) -> _Bitmap | None:
+    found = [m for m in marks if m is not None]
+    return _Bitmap(reduce(np.bitwise_or, found)) if found else None
+
+
 class _Vocabulary(dict):
     """Numbers of words, in the order of their first appearance."""
 
@@ -81,47 +93,50 @@ class _Vocabulary(dict):
 
 
 class _Grouped:
-    """Counts by two 64-bit keys."""
+    """Occurrences by one or two 64-bit keys, counted when they are many, or at the end."""
 
     def __init__(self) -> None:
-        self.parts: list[tuple[np.ndarray, ...]] = []
+        self.parts: list[tuple[np.ndarray, np.ndarray | None]] = []
+        self.counts: list[np.ndarray | None] = []
         self.size = 0
 
-    def add(self, first: np.ndarray, second: np.ndarray) -> None:
-        self._append(first, second, np.ones(len(first), np.int64))
-        if self.size > ROWS:
-            self.size = 0
-            self._append(*self.merged())
-
-    def _append(self, *part: np.ndarray) -> None:
-        part = _summed(*part)
-        self.parts = [*self.parts, part] if self.size else [part]
-        self.size += len(part[0])
-
-    def merged(self) -> tuple[np.ndarray, ...]:
-        return _summed(*map(np.concatenate, zip(*self.parts)))
-
-
-def _summed(first: np.ndarray, second: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
-    if not len(first):
-        return first, second, n
-    order = np.lexsort((second, first))
-    first, second = first[order], second[order]
-    new = np.flatnonzero(np.r_[True, (first[1:] != first[:-1]) | (second[1:] != second[:-1])])
-    return first[new], second[new], np.add.reduceat(n[order], new)
+    def add(self, first: np.ndarray, second: np.ndarray | None = None) -> None:
+        self.parts.append((first, second))
+        self.counts.append(None)
+        self.size += len(first)
+        if self.size > 2 * ROWS:
+            *keys, n = self.merged()
+            self.parts, self.counts, self.size = [tuple(keys)], [n], len(n)
+
+    def merged(self) -> tuple[np.ndarray, np.ndarray | None, np.ndarray]:
+        first = np.concatenate([f for f, _ in self.parts])
+        second = None if self.parts[0][1] is None else np.concatenate([s for _, s in self.parts])
+        if second is None and not any(n is not None for n in self.counts):
+            first, n = np.unique(first, return_counts=True)
+            return first, None, n
+        sizes = [np.ones(len(f), np.int64) if n is None else n for (f, _), n in zip(self.parts, self.counts)]
+        order = np.argsort(first) if second is None else np.lexsort((second, first))
+        first, n = first[order], np.concatenate(sizes)[order]
+        new = first[1:] != first[:-1]
+        if second is not None:
+            second = second[order]
+            new |= second[1:] != second[:-1]
+        at = np.flatnonzero(np.r_[True, new])
+        return first[at], None if second is None else second[at], np.add.reduceat(n, at)
 
 
 class _Tally:
-    """Counts of one task, for one shard and the parts known at its stop."""
+    """Counts of one task, by hash; or by words of the ``chosen`` phrases only."""
 
-    def __init__(self, words: bool, parts: dict[tuple[int, bool], _Bitmap]) -> None:
-        self.count_words, self.parts = words, parts
+    def __init__(self, words: bool, every: _Bitmap | None, recent: _Bitmap | None, chosen: _Bitmap | None) -> None:
+        self.count_words, self.every, self.recent, self.chosen = words, every, recent, chosen
         self.clear()
 
     def clear(self) -> None:
         self.vocabulary = _Vocabulary()
         self.codes = np.zeros(0, np.uint64)
         self.single: dict[str, np.ndarray] = {}
+        self.hashes = _Grouped()
         self.several: dict[tuple[str, int], _Grouped] = {}
         # By language: numbers of words that wait, and how many of them were counted before.
         self.waiting: dict[str, tuple[list[np.ndarray], int]] = {}
@@ -169,105 +184,116 @@ class _Tally:
         if not known:
             return
         # A break takes the code of any word; its sequences aren't whole.
-        single = self.codes[np.maximum(numbers, 0)]
-        codes = single
-        for size in range(2, LONGEST + 1):
-            every, recent = self.parts.get((size - 1, False)), self.parts.get((size - 1, True))
+        single = codes = self.codes[np.maximum(numbers, 0)]
+        parts: tuple[np.ndarray, np.ndarray] | None = None
+        for size in range(1, LONGEST + 1):
             n = len(numbers) - size + 1
-            if every is None or n <= 0:
+            if n <= 0:
                 return
-            hit, late = every.holds(codes, lang), recent.holds(codes, lang) if recent else None
-            whole = whole[:n] & (numbers[size - 1 :] >= 0)
-            passed = whole & hit[:n] & hit[1 : n + 1]
-            passed &= (late[:n] | late[1 : n + 1]) if recent else False
+            if size > 1:
+                whole = whole[:n] & (numbers[size - 1 :] >= 0)
+                codes = _longer(codes[:n], single[size - 1 :])
+            hashes = _hashed(codes, lang, size)
+            if self.chosen:
+                passed = whole & self.chosen.holds(hashes)
+            elif parts:
+                hit, late = parts
+                passed = whole & hit[:n] & hit[1 : n + 1] & (late[:n] | late[1 : n + 1])
+            else:
+                passed = np.zeros(n, bool)
             passed[: max(0, old - size + 1)] = False
             at = np.flatnonzero(passed)
-            if len(at):
-                pairs = [numbers[at + i] if i < size else np.zeros(len(at), np.int64) for i in range(4)]
+            if self.chosen and len(at):
+                words = [numbers[at + i] if i < size else np.zeros(len(at), np.int64) for i in range(LONGEST)]
                 group = self.several.setdefault((lang, size), _Grouped())
-                group.add((pairs[0] << 32) | pairs[1], (pairs[2] << 32) | pairs[3])
-            codes = _longer(codes[:n], single[size - 1 :])
-
-    def counted(self) -> Iterator[pa.RecordBatch]:
-        """All counts so far; the tally is empty afterwards."""
-        for lang in list(self.waiting):
-            self._take(lang)
-        words = self.vocabulary.words
+                group.add((words[0] << 32) | words[1], (words[2] << 32) | words[3] if size > 2 else None)
+            elif len(at):
+                self.hashes.add(hashes[at])
+            if not self.chosen:
+                if self.every is None or self.recent is None:
+                    return
+                parts = self.every.holds(hashes), self.recent.holds(hashes)
+
+    def full(self) -> bool:
+        groups = [self.hashes, *self.several.values()]
+        return len(self.vocabulary.words) > WORDS or sum(g.size for g in groups) > ROWS
+
+    def hashed(self) -> Iterator[pa.RecordBatch]:
+        """All counts by hash so far; the tally is empty afterwards."""
+        self._end()
         for lang, counts in self.single.items():
             some = np.flatnonzero(counts)
-            yield from _batches(lang, 1, some, lambda i: words[i], counts[some])
-        low = (1 << 32) - 1
+            yield from _batches(_hashed(self.codes[some], lang, 1), counts[some])
+        if self.hashes.size:
+            hashes, _, n = self.hashes.merged()
+            yield from _batches(hashes, n)
+        self.clear()
+
+    def exact(self) -> Iterator[pa.RecordBatch]:
+        """All counts by words so far; the tally is empty afterwards."""
+        self._end()
+        words, low = self.vocabulary.words, (1 << 32) - 1
         for (lang, size), group in self.several.items():
             first, second, n = group.merged()
-            rows = np.stack([first >> 32, first & low, second >> 32, second & low], axis=1)[:, :size]
-            yield from _batches(lang, size, rows, lambda row: b" ".join([words[i] for i in row.tolist()]), n)
+            pairs = [first >> 32, first & low, *([] if second is None else [second >> 32, second & low])]
+            rows = np.stack(pairs, axis=1)[:, :size]
+            for at in range(0, len(rows), 10_000):
+                span = slice(at, at + 10_000)
+                texts = [b" ".join([words[i] for i in row]).decode() for row in rows[span].tolist()]
+                columns = [pa.array([lang] * len(texts)), pa.array([size] * len(texts), pa.int32()), pa.array(texts)]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(n[span], pa.int64())], ["lang", "words", "phrase", "f"])
         self.clear()
 
+    def _end(self) -> None:
+        for lang in list(self.waiting):
+            self._take(lang)
 
-def _batches(lang: str, size: int, rows, phrase, n: np.ndarray) -> Iterator[pa.RecordBatch]:
-    for at in range(0, len(rows), 10_000):
-        texts = [phrase(row).decode() for row in rows[at : at + 10_000]]
-        columns = [pa.array([lang] * len(texts)), pa.array([size] * len(texts), pa.int32()), pa.array(texts)]
-        yield pa.RecordBatch.from_arrays(
-            [*columns, pa.array(n[at : at + 10_000], pa.int64())], ["lang", "words", "phrase", "f"]
-        )
 
+def _batches(hashes: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for at in range(0, len(hashes), 100_000):
+        span = slice(at, at + 100_000)
+        yield pa.RecordBatch.from_arrays([pa.array(hashes[span].view(np.int64)), pa.array(n[span], pa.int64())], ["h", "f"])
 
-def _scan(shard: DataFrame, words: bool, parts: dict[tuple[int, bool], _Bitmap]) -> DataFrame:
-    """(lang, words, phrase, f) of one shard, of phrases whose parts may be known."""
-    shared = shard.sparkSession.sparkContext.broadcast(parts)
+
+def _tallied(corpus: DataFrame, exact: bool, *options) -> DataFrame:
+    """What the tallies of the tasks give, flushed where a vocabulary gets large."""
+    shared = corpus.sparkSession.sparkContext.broadcast(options)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tally = _Tally(words, shared.value)
+        tally = _Tally(*shared.value)
+        flushed = tally.exact if exact else tally.hashed
         for batch in batches:
             for lang, text in zip(batch.column("lang"), batch.column("text")):
                 tally.add(lang.as_py(), text.as_py())
-                if len(tally.vocabulary.words) > WORDS:
-                    yield from tally.counted()
-        yield from tally.counted()
-
-    return shard.mapInArrow(counted, _COUNTED).groupBy(*_KEY).agg(F.sum("f").alias("f"))
+                if tally.full():
+                    yield from flushed()
+        yield from flushed()
 
+    return corpus.mapInArrow(counted, "lang string, words int, phrase string, f bigint" if exact else "h bigint, f bigint")
 
-def _marks(parts: DataFrame, bits: int) -> dict[int, np.ndarray]:
-    """The bits of the parts, by length, gathered on the executors; ``2 ** bits / 64`` numbers at most for each."""
 
-    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            slots = []
-            for lang, phrase in zip(batch.column("lang").to_pylist(), batch.column("phrase").to_pylist()):
-                codes = np.array([xxhash.xxh64_intdigest(w) for w in phrase.encode().split(b" ")], np.uint64)
-                code = reduce(_longer, [codes[i : i + 1] for i in range(len(codes))])
-                slots.append(int(_slots(code, lang, bits)[0]))
-            yield pa.RecordBatch.from_arrays([batch.column("words"), pa.array(slots, pa.int64())], ["words", "slot"])
-
-    slots = parts.select(*_KEY).mapInArrow(placed, "words int, slot bigint")
+def _marks(rows: DataFrame, bits: int) -> np.ndarray | None:
+    """The bits of some hashes, gathered on the executors: at most ``2 ** bits / 64`` numbers."""
+    slot = F.expr(f"shiftrightunsigned(h, {64 - bits})")
     mark = F.expr("shiftleft(1L, int(slot & 63))")
-    marked = slots.groupBy("words", F.expr("slot >> 6").alias("at")).agg(F.bit_or(mark).alias("mark"))
+    marked = rows.select(slot.alias("slot")).groupBy(F.expr("slot >> 6").alias("at")).agg(F.bit_or(mark).alias("mark"))
     found = marked.toArrow()
-    sizes, at, marks = (found[c].to_numpy() for c in ("words", "at", "mark"))
-    out = {}
-    for size in set(sizes.tolist()):
-        out[size] = np.zeros(1 << (bits - 6), np.uint64)
-        out[size][at[sizes == size]] = marks[sizes == size].view(np.uint64)
+    if not len(found):
+        return None
+    out = np.zeros(1 << (bits - 6), np.uint64)
+    out[found["at"].to_numpy()] = found["mark"].to_numpy().view(np.uint64)
     return out
 
 
-def _bitmaps(marks: list[dict[int, np.ndarray]], shards: int, bits: int) -> dict[tuple[int, bool], _Bitmap]:
-    """By length, of all parts and of those that have reached the threshold within the last circle."""
-    out = {}
-    for late, chosen in ((False, marks), (True, marks[-shards:])):
-        for size in {size for stop in chosen for size in stop}:
-            merged = reduce(np.bitwise_or, [stop[size] for stop in chosen if size in stop])
-            out[size, late] = _Bitmap(bits, merged)
-    return out
+def _among(scan: DataFrame, marks: _Bitmap) -> DataFrame:
+    """The counts of hashes that may be among the marked ones."""
+    shared = scan.sparkSession.sparkContext.broadcast(marks)
 
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(shared.value.holds(batch.column("h").to_numpy().view(np.uint64))))
 
-def _part(first: bool) -> Column:
-    """A phrase without its last, or without its first word."""
-    if first:
-        return F.expr("substring_index(phrase, ' ', words - 1)")
-    return F.expr("substring(phrase, locate(' ', phrase) + 1)")
+    return scan.mapInArrow(kept, scan.schema)
 
 
 def _hashable(docs: DataFrame) -> list[str]:
@@ -289,41 +315,55 @@ def frequent_phrases(
     given.write.mode("append").partitionBy("shard").parquet(folder)
     corpus = spark.read.schema("lang string, text binary, shard int").parquet(folder)
 
-    opened, done, parts, marks, last, stop = None, [], None, [], shards - 1, 0
+    bytes_ = corpus.agg(F.sum(F.length("text"))).first()[0] or 0
+    parallel = spark.sparkContext.defaultParallelism
+
+    def dealt(rows: DataFrame, share: int) -> DataFrame:
+        """Neighbouring files in one task, unless tasks would stand idle."""
+        return rows.coalesce(max(parallel, -(-bytes_ // (share * TASK))))
+
+    few = -(-least // shards)
+    counts = [f"c{shard}" for shard in range(shards)]
+    scans: list[DataFrame] = []
+    # By stop: marks of the parts that reached the threshold, and of the phrases followed from then on.
+    parts, followed = [], []
+    state, last, stop = None, shards - 1, 0
     while stop <= last:
-        shard = corpus.where(F.col("shard") == stop % shards).select("lang", "text")
-        found = _scan(shard, stop < shards, _bitmaps(marks, shards, bits))
-        rows = found.where("words = 1").withColumn("start", F.lit(0))
-        if stop:
-            rows = rows.unionByName(_started(found.where("words > 1"), parts, stop, shards))
-        rows = rows.withColumn("reached", F.lit(None).cast("int"))
-        if opened is not None:
-            rows = rows.unionByName(opened)
-        totals = rows.groupBy(*_KEY).agg(F.sum("f").alias("f"), F.max("start").alias("start"), F.max("reached").alias("reached"))
-        reached = F.coalesce("reached", F.when(F.col("f") >= least, F.lit(stop)))
-        totals = pin(totals.withColumn("reached", reached))
-        # A circle is over for phrases counted at the last `shards` stops.
-        over = F.col("start") + shards - 1 <= stop
-        opened = totals.where(~over)
-        done.append(totals.where(over & (F.col("f") >= least)))
-        parts = reduce(DataFrame.unionByName, [*done, opened.where("reached IS NOT NULL")])
-        parts = parts.where(F.col("words") < LONGEST).select(*_KEY, "reached")
-        marks.append(_marks(totals.where((F.col("reached") == stop) & (F.col("words") < LONGEST)), bits))
-        if marks[-1]:
+        shard = dealt(corpus.where(F.col("shard") == stop % shards).select("lang", "text"), shards)
+        found = _tallied(shard, False, stop < shards, _united(parts), _united(parts[-shards:]), None)
+        scans.append(pin(found.groupBy("h").agg(F.sum("f").alias("f"))))
+        new = _marks(scans[stop].where(F.col("f") >= few), bits)
+        followed.append(new)
+        rows = [] if state is None else [state]
+        if known := _united(followed):
+            rows.append(_at(_among(scans[stop], known), stop % shards, counts))
+        if fresh := _united([new]):
+            rows += [_at(_among(scans[s], fresh), s % shards, counts) for s in range(max(0, stop - shards + 1), stop)]
+        if rows:
+            totals = reduce(DataFrame.unionByName, rows).groupBy("h").agg(
+                *[F.max(c).alias(c) for c in counts], F.max("reached").alias("reached")
+            )
+            f = sum((F.col(c) for c in counts), F.lit(0).cast("bigint"))
+            state = pin(totals.withColumn("reached", F.coalesce("reached", F.when(f >= least, F.lit(stop)))))
+            part = (F.col("reached") == stop) & (F.col("h").bitwiseAND(F.lit(3)) < LONGEST - 1)
+            parts.append(_marks(state.where(part), bits))
+        else:
+            parts.append(None)
+        if parts[stop] is not None:
             last = max(last, stop + shards)
         stop += 1
-    return reduce(DataFrame.unionByName, done).select(*_KEY, "f")
+    chosen = None if state is None else _marks(state.where(F.col("reached").isNotNull()), bits)
+    if chosen is None:
+        return spark.createDataFrame([], "lang string, words int, phrase string, f bigint")
+    exact = _tallied(dealt(corpus.select("lang", "text"), 1), True, False, None, None, _Bitmap(chosen))
+    return exact.groupBy("lang", "words", "phrase").agg(F.sum("f").alias("f")).where(F.col("f") >= least)
 
 
-def _started(found: DataFrame, parts: DataFrame, stop: int, shards: int) -> DataFrame:
-    """The counts of phrases that are in their circle at this stop, with its first stop."""
-    for name, first in (("head", True), ("tail", False)):
-        part = parts.select(
-            "lang", (F.col("words") + 1).alias("words"), F.col("phrase").alias("part"), F.col("reached").alias(name)
-        )
-        found = found.withColumn("part", _part(first)).join(part, ["lang", "words", "part"]).drop("part")
-    found = found.withColumn("start", F.greatest("head", "tail") + 1).drop("head", "tail")
-    return found.where((F.col("start") <= stop) & (F.col("start") > stop - shards))
+def _at(rows: DataFrame, shard: int, counts: list[str]) -> DataFrame:
+    """The counts of a scan in the column of its shard."""
+    none = F.lit(0).cast("bigint")
+    columns = [(F.col("f") if at == shard else none).alias(c) for at, c in enumerate(counts)]
+    return rows.select("h", *columns, F.lit(None).cast("int").alias("reached"))
 
 
 def word_totals(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
@@ -353,7 +393,7 @@ def scored(frequent: DataFrame) -> DataFrame:
     wide = cuts.withColumns({"wide_a": _wide("a"), "both": _wide("l") + _wide("r")})
     score = F.expr(f"CAST({SCALE} AS DECIMAL(8,0)) * CAST(wide_a AS DECIMAL(29,0)) div both")
     lowest = F.min(F.struct(score.alias("score"), "k", "l", "r")).alias("cut")
-    return wide.groupBy(*_KEY, "a").agg(lowest).select(*_KEY, "a", "cut.l", "cut.r", "cut.score")
+    return wide.groupBy("lang", "words", "phrase", "a").agg(lowest).select("lang", "words", "phrase", "a", "cut.l", "cut.r", "cut.score")
 
 
 def covered(frequent: DataFrame) -> DataFrame:
