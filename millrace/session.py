@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def local_session(cores: int | str = 8, **conf: str) -> SparkSession:
     """A local session for tests and the bench; clusters bring their own."""
@@ -17,9 +22,7 @@ def local_session(cores: int | str = 8, **conf: str) -> SparkSession:
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
         "spark.driver.memory": os.environ.get("MILLRACE_DRIVER_MEMORY", "8g"),
-        "spark.sql.streaming.stateStore.providerClass": (
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-        ),
+        STATE_STORE: ROCKSDB,
         **conf,
     }
     builder = SparkSession.builder.master(f"local[{cores}]").appName("millrace")
@@ -30,6 +33,23 @@ def local_session(cores: int | str = 8, **conf: str) -> SparkSession:
     return spark
 
 
+@contextmanager
+def keyed_state(spark: SparkSession) -> Iterator[None]:
+    """Streams that start within keep their state in RocksDB, unless the session names a store.
+
+    Spark's default store can't hold the states of ``transformWithState``. A stream keeps
+    the settings it started with, so those of the session are as before afterwards.
+    """
+    if spark.conf.get(STATE_STORE, None):
+        yield
+        return
+    spark.conf.set(STATE_STORE, ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.unset(STATE_STORE)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 

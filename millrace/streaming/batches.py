@@ -12,6 +12,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from millrace.session import keyed_state
+
 Handler = Callable[[DataFrame, int], None]
 
 
@@ -29,7 +31,8 @@ def run(
 
     writer = stream.writeStream.foreachBatch(on_batch).outputMode(mode).option("checkpointLocation", checkpoint)
     trigger = {"processingTime": every} if every else {"availableNow": True}
-    return writer.trigger(**trigger).start()
+    with keyed_state(stream.sparkSession):
+        return writer.trigger(**trigger).start()
 
 
 def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:

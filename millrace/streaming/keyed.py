@@ -4,7 +4,8 @@ A micro-batch costs as much as its rows and the keys they touch, however many ke
 known. The rows a key has in one micro-batch are sorted by one task, so bound the batches
 (``maxFilesPerTrigger``) where single keys dominate. Spark drops rows behind the watermark
 before a timed stream sees them; ``carried.late_split_stream`` keeps such rows apart.
-Needs the RocksDB state store; write the results in append mode.
+Needs the RocksDB state store, which ``batches.run`` sees to; a query started otherwise needs
+it in the session (``session.keyed_state``). Write the results in append mode.
 
 Rows pass the Python worker as JSON text beside the few plain values that a processor
 reads, and leave it with the columns and types they came with.
