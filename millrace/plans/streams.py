@@ -1,10 +1,11 @@
-"""Streams over the test tables, dealt into files that come one per micro-batch, to the end."""
+"""Streams over the test tables, dealt into micro-batches, to the end."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.functions import times
 from millrace.functions.mergeable import count, total
 from millrace.functions.numbers import amount, cents
 from millrace.operators import aggregate
@@ -20,28 +21,44 @@ from millrace.streaming import carried, changes, event_time, firings, handover,
 from millrace.streaming.batches import Output, run
 from millrace.streaming.tables import KeyedTable
 
-FILES = 4
+#: Micro-batches of a table, and rows that a file of it should have at most.
+BATCHES, ROWS = 4, 500_000
 
 
-def dealt(df: DataFrame, by: str, folder: str) -> DataFrame:
-    """``df`` as a stream of files in the order of ``by``, a whole number; one per micro-batch."""
-    low, high = df.agg(F.min(by), F.max(by)).first()
+def dealt(df: DataFrame, by: str, folder: str, *, nulls: bool = False) -> DataFrame:
+    """``df`` as a stream whose micro-batches follow the order of ``by``, a whole number.
+
+    Rows without ``by`` are left out, unless ``nulls`` puts them into the last one.
+    """
+    low, high, rows = df.agg(F.min(by), F.max(by), F.count(by)).first()
+    # A micro-batch is a number of files, in the order of their times, so each part gets as many.
+    files = max(1, -(-rows // (BATCHES * ROWS)))
+    spark, empty = df.sparkSession, df.limit(0)
     if low is None:
-        df.write.mode("append").parquet(folder)
+        df.repartition(1).write.mode("append").parquet(folder)
     else:
-        step = (high - low) // FILES + 1
-        # The stream follows the times of the files.
-        for i in range(FILES):
-            part = df.filter((F.col(by) >= low + i * step) & (F.col(by) < low + (i + 1) * step))
-            part.write.mode("append").parquet(folder)
-    stream = df.sparkSession.readStream.schema(df.schema)
-    return stream.option("maxFilesPerTrigger", 1).parquet(folder)
+        step = (high - low) // BATCHES + 1
+        for i in range(BATCHES):
+            within = (F.col(by) >= low + i * step) & (F.col(by) < low + (i + 1) * step)
+            if nulls and i == BATCHES - 1:
+                within |= F.col(by).isNull()
+            part = df.filter(within)
+            part.repartition(files).write.mode("append").parquet(folder)
+            written = len(spark.read.schema(df.schema).parquet(folder).inputFiles())
+            for _ in range(written, (i + 1) * files):
+                empty.write.mode("append").parquet(folder)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(folder)
 
 
 def _events(spark: SparkSession, sf: str, by: str, folder: str, *columns: str) -> DataFrame:
     return dealt(table(spark, sf, "events").select(*columns), by, folder)
 
 
+def _timely(rows: DataFrame, folder: str, *, nulls: bool = False) -> DataFrame:
+    """Rows that come in the order of their ``ts``, whatever that of their ids."""
+    return dealt(rows.withColumn("at", times.wall_millis("ts")), "at", folder, nulls=nulls).drop("at")
+
+
 @query(classified_sql(1) + f""",
 r AS (SELECT *, sum({EXACT}) OVER w AS total, count(*) OVER w AS n, lead(status) OVER w AS following FROM c
   WHERE status <> 'late' WINDOW w AS (PARTITION BY event_type, window_start ORDER BY arrival, event_id)),
@@ -77,7 +94,7 @@ def cumulative_streamed(spark, sf):
     folder = scratch(spark)
     rows = table(spark, sf, "events").select("event_id", "ts", "user_id", cents("value").alias("value"))
     sums = firings.cumulative_stream(
-        dealt(rows, "event_id", f"{folder}/in"), "ts", "1 day", ["user_id"], {"total": ("sum", "value")}, delay="2 days")
+        _timely(rows, f"{folder}/in"), "ts", "1 day", ["user_id"], {"total": ("sum", "value")}, delay="2 days")
     out = Output(f"{folder}/out")
     run(sums, out.write, f"{folder}/checkpoint").awaitTermination()
     start = F.col("window_start").cast("timestamp_ntz").alias("window_start")
@@ -88,8 +105,10 @@ def cumulative_streamed(spark, sf):
 def changelog_streamed(spark, sf):
     """Every change that a running count makes to its table, out of a stream's state."""
     folder = scratch(spark)
-    stream = _events(spark, sf, "event_id", f"{folder}/in", "event_id", "event_type")
-    log = changes.changelog_stream(stream, ["event_type"], ["event_id"], {"n": ("count", None)})
+    # Events without a time come last, as in the SQL.
+    untimed = F.col("ts").isNull().cast("int").alias("untimed")
+    stream = _timely(table(spark, sf, "events").select("event_id", "ts", "event_type", untimed), f"{folder}/in", nulls=True)
+    log = changes.changelog_stream(stream, ["event_type"], ["untimed", "ts", "event_id"], {"n": ("count", None)})
     out = Output(f"{folder}/out")
     run(log, out.write, f"{folder}/checkpoint").awaitTermination()
     return out.read(spark).select("event_type", "event_id", "kind", "n")
@@ -230,7 +249,7 @@ WHERE {bucket('ts', DAY)} + INTERVAL 1 DAY <= reached GROUP BY ALL""")
 def windows_streamed(spark, sf):
     """Windows that a watermark two days behind has closed."""
     folder = scratch(spark)
-    rows = _events(spark, sf, "event_id", f"{folder}/in", "event_id", "ts", "event_type")
+    rows = _timely(table(spark, sf, "events").select("event_id", "ts", "event_type"), f"{folder}/in")
     counts = event_time.window_stream(rows, "ts", "1 day", ["event_type"], {"n": count()}, delay="2 days")
     out = Output(f"{folder}/out")
     run(counts, out.write, f"{folder}/checkpoint").awaitTermination()
