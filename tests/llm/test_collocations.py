@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from millrace.llm import collocations
@@ -78,3 +79,55 @@ def test_covered_phrases_go(spark):
     """Only the longest of phrases that always occur together stays, even if it ranks below ``top``."""
     rows = [("so long as it takes", "en")] * 30 + [("so long", "en")] * 3 + [("as it", "en")] * 20
     assert [r[2] for r in run(spark, rows)] == [r[2] for r in plain(rows, 30, 2000)]
+
+
+def marked(*phrases, lang="en"):
+    words = np.zeros(1 << 10, np.uint64)
+    for phrase in phrases:
+        single = [np.array([collocations.xxhash.xxh64_intdigest(w.encode())], np.uint64) for w in phrase.split(" ")]
+        code = single[0]
+        for following in single[1:]:
+            code = collocations._longer(code, following)
+        slot = int(collocations._hashed(code, lang, len(single))[0]) >> 48
+        words[slot >> 6] |= np.uint64(1 << (slot & 63))
+    return collocations._Bitmap(words)
+
+
+def counted(tally):
+    rows = [row for batch in tally.exact() for row in batch.to_pylist()]
+    assert len({(r["lang"], r["phrase"]) for r in rows}) == len(rows)
+    return {r["phrase"]: r["f"] for r in rows}
+
+
+def test_few_phrases_that_occur_often_are_given_once(monkeypatch):
+    monkeypatch.setattr(collocations, "ROWS", 20)
+    monkeypatch.setattr(collocations, "TOKENS", 8)
+    tally = collocations._Tally(False, None, None, marked("a", "b", "c", "a b", "b c", "a b c"))
+    for _ in range(100):
+        tally.add("en", b"A b c")
+        assert not tally.full()
+    assert counted(tally) == {p: 100 for p in ("a", "b", "c", "a b", "b c", "a b c")}
+
+
+def test_false_hits_without_marked_parts_make_no_rows():
+    tally = collocations._Tally(False, None, None, marked("a", "b", "a b", "x y", "a b x"))
+    tally.add("en", b"a b x y. a b")
+    assert counted(tally) == {"a": 2, "b": 2, "a b": 2}
+
+
+def test_counts_of_scans_are_one_row_for_a_range(spark):
+    rng = random.Random(3)
+    texts = spark.createDataFrame([("en", rng.choice("abcdefgh").encode()) for _ in range(500)], "lang string, text binary").repartition(5)
+    options = spark.sparkContext.broadcast((True, None, None, None))
+    scan = collocations._combined(collocations._tallied(texts, 64, options))
+    rows = scan.toArrow()
+    assert len(set(rows["block"].to_pylist())) == len(rows) <= 8
+    found = [(hashes, n) for hashes, n in collocations._unpacked(rows)]
+    assert sum(len(h) for h, _ in found) == 8 and sum(int(n.sum()) for _, n in found) == 500
+
+
+def test_texts_in_many_languages(spark, monkeypatch):
+    monkeypatch.setattr(collocations, "TOKENS", 6)
+    monkeypatch.setattr(collocations, "LANGUAGES", 2)
+    rows = [(f"a b{i % 3} a b{i % 3}", f"l{i % 20}") for i in range(200)]
+    assert run(spark, rows, least=4, top=30) == plain(rows, 4, 30)
