@@ -8,21 +8,26 @@ keeps them needs the kind only, see ``tables.KeyedTable``.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessorHandle
+from pyspark.sql.types import StructType
 
 from millrace.operators.cdc import DELETED
 from millrace.operators.ordered import JSON_FORMATS
-from millrace.streaming.keyed import Fold, Folding, Keyed, _apply, _folds
+from millrace.streaming.keyed import Fold, Folding, Keyed, _apply, _folds, _sortable
+from millrace.streaming.paged import FIELD, PART, Bucketed, Pages, apply, name_of
 
 KIND = "kind"
 INSERT, WITHDRAW, UPDATE, DELETE = "+I", "-U", "+U", "-D"
 #: Kinds that say what holds from now on.
 HOLDS = (INSERT, UPDATE)
+#: A row of the left or the right side of a join that holds from now on, or that is gone.
+LEFT, RIGHT = ("l+", "l-"), ("r+", "r-")
+HELD = (LEFT[0], RIGHT[0])
 
 
 class Changing(Folding):
@@ -65,10 +70,10 @@ def changelog_stream(
     return _apply(stream, keys, order, values, processor, {KIND: "string", **types}, kept=kept)
 
 
-class Current(Keyed):
-    """The newest version of a row, by its position in the log, which outlives the row for a while."""
+class Forgetting(Keyed):
+    """``Current`` whose positions of deleted rows have a time to live, in milliseconds; each key has its own state."""
 
-    def __init__(self, kept: int | None) -> None:
+    def __init__(self, kept: int) -> None:
         self.kept = kept
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -97,6 +102,45 @@ class Current(Keyed):
         yield self.result(newest.row, INSERT if old is None else UPDATE)
 
 
+class Current(Bucketed):
+    """The newest version of each row, by its position in the log, which outlives the row."""
+
+    def __init__(self, places: Sequence[str]) -> None:
+        self.places = places
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.pages = Pages(handle, "rows")
+
+    def handle_lines(self, lines: Iterator[list[str]]) -> Iterator[str]:
+        newest: dict[str, tuple[str, str]] = {}
+        for name, *entry in lines:
+            if name not in newest or self.later(entry[0], newest[name][0]):
+                newest[name] = tuple(entry)
+        for entries, names in self.pages.touched(newest):
+            for name in names:
+                place, row = newest[name]
+                seen, old = entries[name].split(FIELD) if name in entries else (None, "")
+                if seen is not None and not self.later(place, seen):
+                    continue
+                entries[name] = f"{place}{FIELD}{row}"
+                # A deleted row has a place and no text.
+                if old:
+                    yield self.line(old, WITHDRAW if row else DELETE)
+                if row:
+                    yield self.line(row, UPDATE if old else INSERT)
+
+    def later(self, one: str, other: str) -> bool:
+        return one != other and self.placed(one) > self.placed(other)
+
+    def placed(self, text: str) -> list:
+        """Nulls first, as in an ascending sort of Spark; the text leaves them out."""
+        place = json.loads(text)
+        return [(place.get(c) is not None, place.get(c)) for c in self.places]
+
+    def line(self, row: str, kind: str) -> str:
+        return f'{{"row":{row},"{KIND}":"{kind}"}}'
+
+
 def current_stream(
     changes: DataFrame, keys: Sequence[str], order: Sequence[str], op: str = "op", *, remembered: str | None = None
 ) -> DataFrame:
@@ -109,66 +153,96 @@ def current_stream(
     without it positions are kept for ever. A key makes at most one withdrawal and one
     addition per micro-batch.
     """
-    gone = F.coalesce(F.lower(F.col(op)).isin(*DELETED), F.lit(False)).alias("gone")
+    gone = F.coalesce(F.lower(F.col(op)).isin(*DELETED), F.lit(False))
     kept = [c for c in changes.columns if c != op]
-    processor = Current(pd.Timedelta(remembered) // pd.Timedelta(milliseconds=1) if remembered else None)
-    expiring = remembered is not None
-    return _apply(changes, keys, order, {"gone": gone}, processor, {KIND: "string"}, kept=kept, expiring=expiring)
-
-
-class Paired(Keyed):
-    """Rows of two tables with one join key, in a map each, and the pairs that changes make or undo."""
-
-    names = ("left", "right", "made")
+    if remembered is not None:
+        processor = Forgetting(pd.Timedelta(remembered) // pd.Timedelta(milliseconds=1))
+        return _apply(changes, keys, order, {"gone": gone}, processor, {KIND: "string"}, kept=kept, expiring=True)
+    if not keys:
+        raise ValueError("a stream without keys would keep all its state in one task")
+    places = {f"o{i}": _sortable(changes, c) for i, c in enumerate(order)}
+    place = F.to_json(F.struct(*[c.alias(n) for n, c in places.items()]))
+    row = F.when(gone, "").otherwise(F.to_json(F.struct(*kept), JSON_FORMATS))
+    named = changes.select(name_of(changes, keys).alias("name"), place.alias("place"), row.alias("row"))
+    rows = named.select("name", F.concat_ws(FIELD, "name", "place", "row").alias("line"))
+    schema = StructType().add("row", changes.select(*kept).schema).add(KIND, "string")
+    return apply(rows, Current(list(places)), schema).select("row.*", KIND)
+
+
+class Paired(Bucketed):
+    """Rows of two tables by join key, and the pairs that changes make or undo."""
 
     def __init__(self, outer: bool) -> None:
         self.outer = outer
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.lefts = handle.getMapState("lefts", "id string", "row string")
-        self.rights = handle.getMapState("rights", "id string", "row string")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        changed: dict[bool, dict[str, str | None]] = {True: {}, False: {}}
-        for row in rows:
+        self.lefts = Pages(handle, "lefts")
+        self.rights = Pages(handle, "rights")
+
+    def handle_lines(self, lines: Iterator[list[str]]) -> Iterator[str]:
+        lefts: dict[str, str | None] = {}
+        rights: dict[str, dict[str, str | None]] = {}
+        for key, what, id, row in lines:
+            changed, name = (lefts, f"{key}{PART}{id}") if what in LEFT else (rights.setdefault(key, {}), id)
             # A withdrawal and an addition of one row may come in any order.
-            if row.holds:
-                changed[row.is_left][row.id] = row.row
+            if what in HELD:
+                changed[name] = row
             else:
-                changed[row.is_left].setdefault(row.id, None)
-        if key[0] is None:
-            changed[False] = {}
-        before = {k[0]: v[0] for k, v in self.rights.iterator()}
-        after = {k: v for k, v in {**before, **changed[False]}.items() if v is not None}
-        for id, row in changed[True].items():
-            old = self.lefts.getValue((id,))[0] if self.lefts.containsKey((id,)) else None
-            yield from self._differences(old, before, row, after)
-        if before != after:
-            # Rows of the left side pass one by one; only the right side is held.
-            for k, v in self.lefts.iterator():
-                if k[0] not in changed[True]:
-                    yield from self._differences(v[0], before, v[0], after)
-        for state, side in ((self.lefts, True), (self.rights, False)):
-            for id, row in changed[side].items():
-                if row is not None:
-                    state.updateValue((id,), (row,))
-                elif state.containsKey((id,)):
-                    state.removeKey((id,))
-
-    def _differences(self, old: str | None, before: dict, new: str | None, after: dict) -> Iterator[Row]:
-        gone, come = self._pairs(old, before), self._pairs(new, after)
-        for left, _, right in gone - come:
-            yield self.result(left, right, False)
-        for left, _, right in come - gone:
-            yield self.result(left, right, True)
-
-    def _pairs(self, left: str | None, rights: dict) -> set[tuple]:
-        """A left row with the id and row of each right one."""
-        if left is None:
-            return set()
-        if not rights:
-            return {(left, None, None)} if self.outer else set()
-        return {(left, *right) for right in rights.items()}
+                changed.setdefault(name, None)
+        before, after, differences = self._partners({_key(name) for name in lefts}, rights)
+        # Pages of the left side pass one by one; all of them where the right side changes.
+        for entries, names in self.lefts.touched(lefts, all_pages=bool(differences)):
+            if differences:
+                for name, row in entries.items():
+                    if (key := _key(name)) in differences and (name not in lefts or lefts[name] == row):
+                        gone, come = differences[key]
+                        yield from _pairs(row, gone, False)
+                        yield from _pairs(row, come, True)
+            for name in names:
+                key, old, row = _key(name), entries.get(name), lefts[name]
+                if old == row:
+                    continue
+                if old is not None:
+                    yield from _pairs(old, before[key], False)
+                if row is None:
+                    del entries[name]
+                else:
+                    yield from _pairs(row, after[key], True)
+                    entries[name] = row
+
+    def _partners(self, keys: set[str], rights: dict[str, dict[str, str | None]]) -> tuple[dict, dict, dict]:
+        """The right rows of each key before and after the changes; where they differ, those that go and come."""
+        before, after, differences = {}, {}, {}
+        for entries, names in self.rights.touched(keys | rights.keys()):
+            for key in names:
+                parts = entries[key].split(PART) if key in entries else []
+                old = dict(zip(parts[::2], parts[1::2], strict=True))
+                new = {id: row for id, row in {**old, **rights.get(key, {})}.items() if row is not None}
+                before[key], after[key] = self._shown(old.values()), self._shown(new.values())
+                if old == new:
+                    continue
+                gone = [row for id, row in old.items() if new.get(id) != row]
+                come = [row for id, row in new.items() if old.get(id) != row]
+                differences[key] = gone if old else before[key], come if new else after[key]
+                if new:
+                    entries[key] = PART.join(part for pair in new.items() for part in pair)
+                else:
+                    del entries[key]
+        return before, after, differences
+
+    def _shown(self, rows: Iterable[str]) -> list[str]:
+        """What a left row is paired with; a null where it has no partner."""
+        return list(rows) or ["null"] * self.outer
+
+
+def _key(name: str) -> str:
+    return name[:name.index(PART)]
+
+
+def _pairs(left: str, rights: Sequence[str], made: bool) -> Iterator[str]:
+    end = "true}" if made else "false}"
+    for right in rights:
+        yield f'{{"left":{left},"right":{right},"made":{end}'
 
 
 def enriched_stream(
@@ -195,20 +269,20 @@ def enriched_stream(
     kind = left.schema[left_key].dataType
     data = [c for c in left.columns if c != KIND]
 
-    def side(df: DataFrame, key: str, ids: Sequence[str], kept: Sequence[str], is_left: bool) -> DataFrame:
+    def side(df: DataFrame, key: str, ids: Sequence[str], kept: Sequence[str], whats: Sequence[str]) -> DataFrame:
+        holds = F.col(KIND).isin(*HOLDS)
+        cast = df.withColumn("__k", F.col(key).cast(kind))
         text = [F.to_json(F.struct(*names), JSON_FORMATS) for names in (ids, kept)]
-        return df.select(
-            F.col(key).cast(kind).alias("k"), F.lit(is_left).alias("is_left"), text[0].alias("id"),
-            text[1].alias("row"), F.col(KIND).isin(*HOLDS).alias("holds"),
+        named = cast.select(
+            "__k", name_of(cast, ["__k"]).alias("name"), F.when(holds, whats[0]).otherwise(whats[1]).alias("what"),
+            text[0].alias("id"), F.when(holds, text[1]).otherwise("").alias("row"),
         )
+        # Only left rows are shown without a key.
+        named = named if whats == LEFT else named.filter(F.col("__k").isNotNull())
+        return named.select("name", F.concat_ws(FIELD, "name", "what", "id", "row").alias("line"))
 
-    both = side(left, left_key, left_id, data, True).unionByName(side(right, right_key, right_id, columns, False))
-    schema = "left string, right string, made boolean"
-    pairs = both.groupBy("k").transformWithState(Paired(how == "left"), schema, "append", "none")
-
-    def parsed(text: str, df: DataFrame, names: Sequence[str]) -> Column:
-        return F.from_json(text, df.select(*names).schema, JSON_FORMATS).alias(text)
-
-    rows = pairs.select(parsed("left", left, data), parsed("right", right, columns), "made")
+    both = side(left, left_key, left_id, data, LEFT).unionByName(side(right, right_key, right_id, columns, RIGHT))
+    schema = StructType().add("left", left.select(*data).schema).add("right", right.select(*columns).schema)
+    rows = apply(both, Paired(how == "left"), schema.add("made", "boolean"))
     made = F.when(F.col("made"), F.lit(INSERT)).otherwise(F.lit(DELETE)).alias(KIND)
     return rows.select("left.*", *[F.col("right").getField(c).alias(c) for c in columns], made)
