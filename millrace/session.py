@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: MB that each state of a task gathers in memory before it goes to disk, which RocksDB would do at 64.
+WRITE_BUFFER, WRITE_BUFFER_MB = "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB", "8"
 
 
 def local_session(cores: int | str = 8, **conf: str) -> SparkSession:
@@ -37,17 +39,19 @@ def local_session(cores: int | str = 8, **conf: str) -> SparkSession:
 def keyed_state(spark: SparkSession) -> Iterator[None]:
     """Streams that start within keep their state in RocksDB, unless the session names a store.
 
-    Spark's default store can't hold the states of ``transformWithState``. A stream keeps
-    the settings it started with, so those of the session are as before afterwards.
+    Spark's default store can't hold the states of ``transformWithState``. Write buffers, which an executor
+    holds outside its heap for every state of every task, are small unless the session says how
+    large. A stream keeps the settings it started with, so those of the session are as before afterwards.
     """
-    if spark.conf.get(STATE_STORE, None):
-        yield
-        return
-    spark.conf.set(STATE_STORE, ROCKSDB)
+    given = {STATE_STORE: ROCKSDB, WRITE_BUFFER: WRITE_BUFFER_MB}
+    missing = {name: value for name, value in given.items() if not spark.conf.get(name, None)}
+    for name, value in missing.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.unset(STATE_STORE)
+        for name in missing:
+            spark.conf.unset(name)
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -31,7 +31,7 @@ BUCKETS = 2048
 #: Entries that a page should have at most.
 ENTRIES = 1024
 #: Bytes that a task deals to buckets at once, and those of a text after which another one begins.
-HELD_BYTES, TEXT_BYTES = 32 << 20, 32 << 10
+HELD_BYTES, TEXT_BYTES = 16 << 20, 32 << 10
 #: Result lines of a row.
 LINES = 1000
 

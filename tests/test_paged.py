@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
+from millrace.session import WRITE_BUFFER, WRITE_BUFFER_MB, keyed_state
 from millrace.streaming import changes, paged
 from millrace.streaming.batches import run
 from millrace.streaming.paged import FIELD, LINE, PART, Pages
@@ -170,3 +171,16 @@ def test_many_keys_take_few_entries_of_state(spark, tmp_path):
     states = [s.numRowsTotal for s in query.lastProgress.stateOperators]
     # A text and the number of pages, of one table or of two.
     assert len(states) == 3 and max(states) <= 4 * paged.BUCKETS < keys
+
+
+def test_write_buffers_are_small_unless_the_session_names_them(spark):
+    with keyed_state(spark):
+        assert spark.conf.get(WRITE_BUFFER) == WRITE_BUFFER_MB
+    assert spark.conf.get(WRITE_BUFFER, None) is None
+    spark.conf.set(WRITE_BUFFER, "32")
+    try:
+        with keyed_state(spark):
+            assert spark.conf.get(WRITE_BUFFER) == "32"
+        assert spark.conf.get(WRITE_BUFFER) == "32"
+    finally:
+        spark.conf.unset(WRITE_BUFFER)
